@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.splits import (
     BEFORE_ALL,
-    Profile,
+    Extent,
+    extents,
     micros,
-    pick_edges,
-    profile,
+    quantile_edges,
     split_count,
     with_split,
 )
@@ -54,15 +54,16 @@ def pit_join(
 
     features = _feature_side(view_df, view, spine_keys)
     left = spine.withColumn("__us", F.coalesce(micros(spine_ts), F.lit(BEFORE_ALL)))
-    ends = profile([(spine, micros(spine_ts)), (features, F.col("__us"))])
+    ends = extents((spine, micros(spine_ts)), (features, F.col("__us")))
     features = _bounded(features, ends[0], view.ttl)
 
     if window_seconds:
         edges, tied = None, False
     else:
         at_least = 1 if spine_keys else spine.sparkSession.sparkContext.defaultParallelism
-        rows = ends[0].rows + ends[1].rows
-        edges, tied = pick_edges(ends, split_count(rows, rows_per_split, at_least))
+        count = split_count(ends[0].rows + ends[1].rows, rows_per_split, at_least)
+        sides = (spine, micros(spine_ts)), (features, F.col("__us"))
+        edges, tied = quantile_edges(count, *sides)
 
     def place(df: DataFrame) -> DataFrame:
         if window_seconds:
@@ -101,7 +102,7 @@ def _feature_side(view_df: DataFrame, view: ViewSpec, spine_keys: Sequence[str])
     )
 
 
-def _bounded(features: DataFrame, spine: Profile, ttl: int) -> DataFrame:
+def _bounded(features: DataFrame, spine: Extent, ttl: int) -> DataFrame:
     """Literal time bounds from the spine, which Catalyst pushes to the scan."""
     if spine.low is None:
         return features.limit(0)

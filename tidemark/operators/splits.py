@@ -29,41 +29,35 @@ def micros(column: Column | str) -> Column:
 
 
 @dataclass(frozen=True)
-class Profile:
-    """Row count, bounds and quantile edges of one ordering column."""
+class Extent:
+    """Row count and bounds of one ordering column."""
 
     rows: int
     low: int | None
     high: int | None
-    edges: tuple[int, ...]
 
 
-def profile(sides: Sequence[tuple[DataFrame, Column]]) -> list[Profile]:
-    """Profile several ordering columns in one job; the result is a few numbers per side."""
-    grid = MAX_SPLITS
-    union = None
-    for number, (df, order) in enumerate(sides):
-        side = df.select(F.lit(number).alias("side"), order.cast("long").alias("v"))
-        union = side if union is None else union.unionAll(side)
-    probabilities = [i / grid for i in range(1, grid)]
+def _stack(sides: Sequence[tuple[DataFrame, Column]]) -> DataFrame:
+    parts = [
+        df.select(F.lit(number).alias("side"), order.cast("long").alias("v"))
+        for number, (df, order) in enumerate(sides)
+    ]
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionAll(part)
+    return union
+
+
+def extents(*sides: tuple[DataFrame, Column]) -> list[Extent]:
+    """Extents of several ordering columns in one job; a few numbers come back."""
     found = {
-        row["side"]: row
-        for row in union.groupBy("side")
-        .agg(
-            F.count("v").alias("rows"),
-            F.min("v").alias("low"),
-            F.max("v").alias("high"),
-            F.percentile_approx("v", probabilities, 10 * grid).alias("edges"),
-        )
+        row["side"]: Extent(row["rows"], row["low"], row["high"])
+        for row in _stack(sides)
+        .groupBy("side")
+        .agg(F.count("v").alias("rows"), F.min("v").alias("low"), F.max("v").alias("high"))
         .collect()
     }
-    empty = Profile(0, None, None, ())
-    return [
-        Profile(r["rows"], r["low"], r["high"], tuple(r["edges"] or ()))
-        if (r := found.get(number))
-        else empty
-        for number in range(len(sides))
-    ]
+    return [found.get(number, Extent(0, None, None)) for number in range(len(sides))]
 
 
 def split_count(rows: int, rows_per_split: int | None, at_least: int = 1) -> int:
@@ -71,20 +65,27 @@ def split_count(rows: int, rows_per_split: int | None, at_least: int = 1) -> int
     return max(at_least, min(wanted, MAX_SPLITS), 1)
 
 
-def pick_edges(profiles: Sequence[Profile], count: int) -> tuple[list[int], bool]:
-    """Edges for ``count`` splits, and whether one single value fills a whole split.
+def quantile_edges(count: int, *sides: tuple[DataFrame, Column]) -> tuple[list[int], bool]:
+    """Edges of ``count`` equal-frequency splits per side, merged.
 
-    A value that does so cannot be divided by its order; callers then collapse
-    equal values first.
+    Also tells whether one single value fills a whole split: such a value
+    cannot be divided by its order, so callers collapse equal values first.
     """
+    if count <= 1:
+        return [], False
+    steps = [i / count for i in range(1, count)]
+    found = (
+        _stack(sides)
+        .groupBy("side")
+        .agg(F.percentile_approx("v", steps, 20 * count).alias("edges"), F.count("v").alias("n"))
+        .collect()
+    )
     chosen: set[int] = set()
     tied = False
-    for item in profiles:
-        if count > 1 and item.edges:
-            step = max(1, len(item.edges) // count)
-            picked = item.edges[step - 1 :: step]
-            tied = tied or len(set(picked)) < len(picked) <= item.rows
-            chosen.update(picked)
+    for row in found:
+        edges = list(row["edges"] or ())
+        tied = tied or (len(set(edges)) < len(edges) and row["n"] >= count)
+        chosen.update(edges)
     return sorted(chosen), tied
 
 
