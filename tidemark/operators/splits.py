@@ -10,6 +10,7 @@ to the next.  The edges are quantiles of the whole ordering column, so no
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -33,13 +34,13 @@ class Extent:
     """Row count and bounds of one ordering column."""
 
     rows: int
-    low: int | None
-    high: int | None
+    low: float | None
+    high: float | None
 
 
 def _stack(sides: Sequence[tuple[DataFrame, Column]]) -> DataFrame:
     parts = [
-        df.select(F.lit(number).alias("side"), order.cast("long").alias("v"))
+        df.select(F.lit(number).alias("side"), order.alias("v"))
         for number, (df, order) in enumerate(sides)
     ]
     union = parts[0]
@@ -65,7 +66,7 @@ def split_count(rows: int, rows_per_split: int | None, at_least: int = 1) -> int
     return max(at_least, min(wanted, MAX_SPLITS), 1)
 
 
-def quantile_edges(count: int, *sides: tuple[DataFrame, Column]) -> tuple[list[int], bool]:
+def quantile_edges(count: int, *sides: tuple[DataFrame, Column]) -> tuple[list[float], bool]:
     """Edges of ``count`` equal-frequency splits per side, merged.
 
     Also tells whether one single value fills a whole split: such a value
@@ -80,7 +81,7 @@ def quantile_edges(count: int, *sides: tuple[DataFrame, Column]) -> tuple[list[i
         .agg(F.percentile_approx("v", steps, 20 * count).alias("edges"), F.count("v").alias("n"))
         .collect()
     )
-    chosen: set[int] = set()
+    chosen: set[float] = set()
     tied = False
     for row in found:
         edges = list(row["edges"] or ())
@@ -89,7 +90,7 @@ def quantile_edges(count: int, *sides: tuple[DataFrame, Column]) -> tuple[list[i
     return sorted(chosen), tied
 
 
-def with_split(df: DataFrame, order: str, edges: Sequence[int], out: str) -> DataFrame:
+def with_split(df: DataFrame, order: str, edges: Sequence[float], out: str) -> DataFrame:
     """Add the split number of ``order``; equal values always share a split."""
     if not edges:
         return df.withColumn(out, F.lit(0))
@@ -143,3 +144,33 @@ def running_total(
         .withColumn(out, F.col(out) + F.col(offset))
         .drop(offset, *(f"{k}__t" for k in group))
     )
+
+
+def row_index(df: DataFrame, column: str, out: str, rows_per_split: int | None = None) -> DataFrame:
+    """0-based position of each row in ascending order of a distinct column.
+
+    A table within one split's size is numbered by a plain window; a larger
+    one is split by the order of the column first.
+    """
+    limit = rows_per_split or ROWS_PER_SPLIT
+    string = dict(df.dtypes)[column] == "string"
+    if string:
+        low, high, rows = df.agg(F.min(column), F.max(column), F.count("*")).first()
+        shared = len(os.path.commonprefix([low or "", high or ""]))
+        order = _prefix_number(F.col(column), shared)
+    else:
+        rows = df.count()
+        order = F.col(column)
+    if rows <= limit:
+        return df.withColumn(out, F.row_number().over(Window.orderBy(column)) - 1)
+    ordered = df.withColumn(f"{out}_key", order)
+    edges, _ = quantile_edges(split_count(rows, limit), (ordered, F.col(f"{out}_key")))
+    placed = with_split(ordered, f"{out}_key", edges, f"{out}_split")
+    numbered = running_total(placed, [], f"{out}_split", [column], F.lit(1), out)
+    return numbered.withColumn(out, (F.col(out) - 1).cast("int")).drop(f"{out}_split", f"{out}_key")
+
+
+def _prefix_number(column: Column, skip: int) -> Column:
+    """A number that never decreases as the string does not, from its next six bytes."""
+    head = F.substring(F.encode(F.substring(column, skip + 1, 6), "UTF-8"), 1, 6)
+    return F.conv(F.rpad(F.hex(head), 12, "0"), 16, 10).cast("long")
