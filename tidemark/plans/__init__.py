@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("retrieval", "sources", "columns")
+MODULES = ("retrieval", "sources", "columns", "aggregates")
 
 
 def load_all() -> None:
