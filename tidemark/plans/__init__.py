@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("retrieval", "sources", "columns", "aggregates")
+MODULES = (
+    "retrieval",
+    "sources",
+    "columns",
+    "aggregates",
+    "search",
+    "serving",
+    "transforms",
+)
 
 
 def load_all() -> None:
