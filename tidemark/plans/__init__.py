@@ -12,6 +12,10 @@ MODULES = (
     "search",
     "serving",
     "transforms",
+    "streams",
+    "quality",
+    "models",
+    "lineage",
 )
 
 
