@@ -52,16 +52,16 @@ def pit_join(
     if clash:
         raise ValueError(f"feature names collide with spine columns: {sorted(clash)}")
 
-    features = _feature_side(view_df, view, spine_keys)
     left = spine.withColumn("__us", F.coalesce(micros(spine_ts), F.lit(BEFORE_ALL)))
-    ends = extents((spine, micros(spine_ts)), (features, F.col("__us")))
-    features = _bounded(features, ends[0], view.ttl)
+    (asked,) = extents((spine, micros(spine_ts)))
+    features = _feature_side(_bounded(view_df, view, asked), view, spine_keys)
 
     if window_seconds:
         edges, tied = None, False
     else:
+        (stored,) = extents((features, F.col("__us")))
         at_least = 1 if spine_keys else spine.sparkSession.sparkContext.defaultParallelism
-        count = split_count(ends[0].rows + ends[1].rows, rows_per_split, at_least)
+        count = split_count(asked.rows + stored.rows, rows_per_split, at_least)
         sides = (spine, micros(spine_ts)), (features, F.col("__us"))
         edges, tied = quantile_edges(count, *sides)
 
@@ -102,12 +102,19 @@ def _feature_side(view_df: DataFrame, view: ViewSpec, spine_keys: Sequence[str])
     )
 
 
-def _bounded(features: DataFrame, spine: Extent, ttl: int) -> DataFrame:
-    """Literal time bounds from the spine, which Catalyst pushes to the scan."""
+def _bounded(view_df: DataFrame, view: ViewSpec, spine: Extent) -> DataFrame:
+    """Literal time bounds from the spine, in the column's own type so the scan can use them."""
     if spine.low is None:
-        return features.limit(0)
-    features = features.filter(F.col("__us") <= spine.high)
-    return features.filter(F.col("__us") >= spine.low - ttl * SECOND) if ttl else features
+        return view_df.limit(0)
+    kind = view_df.schema[view.ts].dataType
+
+    def at(us: int) -> Column:
+        return F.timestamp_micros(F.lit(us)).cast(kind)
+
+    bounded = view_df.filter(F.col(view.ts) <= at(spine.high))
+    if view.ttl:
+        bounded = bounded.filter(F.col(view.ts) >= at(spine.low - view.ttl * SECOND))
+    return bounded
 
 
 def _newest(column: str = "__feat") -> Column:

@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import cut_lineage
+
 METRICS = ("cosine", "L1", "L2", "inner_product")
 QUERY_BYTES = 64 * 1024 * 1024
 MERGE_BUCKETS = 64
@@ -290,14 +292,25 @@ def _joined(fields: Sequence[str]) -> Column:
 
 
 def _with_counts(df: DataFrame, id_col: str, fields: Sequence[str], words: list[str]) -> DataFrame:
-    """Document length and the count of each query word, read in one pass over the text."""
-    split = df.select(id_col, tokens(_joined(fields)).alias("__t"))
+    """Document length and the count of each query word.
+
+    The words are bound once per row and opened by a generator, so a filter on
+    the counts is not pushed below the split and does not repeat it.
+    """
+
+    def count_of(held: Column, word: str) -> Column:
+        return F.size(F.filter(held, lambda t: t == word))
+
+    def counts(held: Column) -> Column:
+        each = [count_of(held, word).alias(f"__n{i}") for i, word in enumerate(words)]
+        return F.struct(F.size(held).alias("__len"), *each)
+
+    bound = F.transform(F.array(tokens(_joined(fields))), counts)
+    return df.select(id_col, F.inline(bound))
 
-    def count_of(word: str) -> Column:
-        return F.size(F.filter("__t", lambda t: t == word))
 
-    counts = [count_of(word).alias(f"__n{i}") for i, word in enumerate(words)]
-    return split.select(id_col, F.size("__t").alias("__len"), *counts)
+def _every(words: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"__n{i}") > 0 for i in range(len(words))])
 
 
 def text_search_contains(
@@ -313,10 +326,11 @@ def text_search_rank(
 ) -> DataFrame:
     """Rows holding every word, ranked by how often the words occur."""
     words = _words(query)
-    counted = _with_counts(df, id_col, fields, words)
-    every = reduce(lambda a, b: a & b, [F.col(f"__n{i}") > 0 for i in range(len(words))])
+    text = F.lower(_joined(fields))
+    likely = df.filter(reduce(lambda a, b: a & b, [text.contains(w) for w in words]))
+    counted = _with_counts(likely, id_col, fields, words).filter(_every(words))
     total = reduce(lambda a, b: a + b, [F.col(f"__n{i}") for i in range(len(words))])
-    found = counted.filter(every).select(id_col, total.alias("text_rank"))
+    found = counted.select(id_col, total.alias("text_rank"))
     return found.orderBy(F.desc("text_rank"), id_col).limit(k)
 
 
@@ -331,11 +345,12 @@ def bm25_search(
 ) -> DataFrame:
     """BM25 top k over rows holding every query word, all fields weighing the same.
 
-    Document counts and the mean length come back as one scalar subquery; rows
-    are scored where they are read and only k per partition are merged.
+    The text is read once, into a checkpoint of ids, lengths and word counts.
+    Document counts and the mean length come back from it as one scalar
+    subquery, and scoring keeps k rows per partition.
     """
     words = _words(query)
-    counted = _with_counts(df, id_col, fields, words)
+    counted = cut_lineage(_with_counts(df, id_col, fields, words))
     stats = counted.agg(
         F.struct(
             F.count(F.lit(1)).alias("n"),
@@ -343,9 +358,7 @@ def bm25_search(
             *[F.count_if(F.col(f"__n{i}") > 0).alias(f"d{i}") for i in range(len(words))],
         ).alias("s")
     ).scalar()
-    held = counted.filter(
-        reduce(lambda a, b: a & b, [F.col(f"__n{i}") > 0 for i in range(len(words))])
-    ).withColumn("__s", stats)
+    held = counted.filter(_every(words)).withColumn("__s", stats)
     damping = BM25_K1 * (1 - BM25_B + BM25_B * F.col("__len") / F.col("__s.mean"))
     score = F.lit(0.0)
     for i in range(len(words)):
@@ -368,6 +381,9 @@ def hybrid_search(
     metric: str = "L2",
 ) -> DataFrame:
     """Rows holding every query word, in order of vector distance."""
-    have = tokens(_joined(fields))
-    every = reduce(lambda a, b: a & b, [F.array_contains(have, w) for w in _words(query_text)])
-    return vector_topk(df.filter(every), id_col, vector, queries, k, metric)
+    words = _words(query_text)
+    text = _joined(fields)
+    likely = reduce(lambda a, b: a & b, [F.lower(text).contains(w) for w in words])
+    wanted = F.array(*[F.lit(w) for w in words])
+    every = F.size(F.array_intersect(wanted, tokens(text))) == len(words)
+    return vector_topk(df.filter(likely & every), id_col, vector, queries, k, metric)
