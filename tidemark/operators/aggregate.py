@@ -8,14 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import outer_join_windows
-from tidemark.operators.splits import (
-    extents,
-    micros,
-    quantile_edges,
-    running_total,
-    split_count,
-    with_split,
-)
+from tidemark.operators.splits import micros, ordered_total
 from tidemark.spec import Aggregation
 
 # Aggregate names that differ from the function they mean.
@@ -79,12 +72,8 @@ def running_sum(
 ) -> DataFrame:
     """Cumulative sum per key in time order, with time splits carrying their totals on."""
     timed = df.withColumn("__us", micros(ts))
-    (extent,) = extents((timed, F.col("__us")))
-    count = split_count(extent.rows, rows_per_split)
-    edges, _ = quantile_edges(count, (timed, F.col("__us")))
-    placed = with_split(timed, "__us", edges, "__split")
-    totalled = running_total(placed, keys, "__split", ["__us", *tie], value, out)
-    return totalled.drop("__us", "__split")
+    order = ["__us", *tie]
+    return ordered_total(timed, keys, "__us", order, value, out, rows_per_split).drop("__us")
 
 
 def class_weight(df: DataFrame, label: str) -> DataFrame:
@@ -127,12 +116,9 @@ def roc_auc(df: DataFrame, label: str, score: str, rows_per_split: int | None =
     scores = df.groupBy(F.col(score).alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    (extent,) = extents((scores, F.col("score")))
-    edges, _ = quantile_edges(
-        split_count(extent.rows, rows_per_split), (scores, F.col("score"))
+    ranked = ordered_total(
+        scores, [], "score", ["score"], F.col("neg"), "neg_upto", rows_per_split
     )
-    placed = with_split(scores, "score", edges, "split")
-    ranked = running_total(placed, [], "split", ["score"], F.col("neg"), "neg_upto")
     wins = F.sum(F.col("pos") * (F.col("neg_upto") - F.col("neg") / 2.0))
     pairs = F.sum("pos").cast("double") * F.sum("neg")
     return ranked.agg((wins / F.when(pairs > 0, pairs)).alias("roc_auc"))

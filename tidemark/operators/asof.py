@@ -1,22 +1,28 @@
 """Point-in-time joins: for each spine row the newest feature row not after it.
 
-Plan: spine and feature rows are unioned, grouped by (keys, time split) and
-scanned once in time order, carrying the last feature row forward.  What a
-split needs from earlier splits is one carried row per (key, split), taken from
-a partially aggregated summary.  Every spine row gives exactly one output row,
-no pair of rows is ever built, and the TTL is tested on the newest candidate
-only (an older candidate can never pass when the newest one does not).
+Plan: spine and feature rows are unioned, grouped by key and scanned once in
+time order, carrying the last feature row forward.  Every spine row gives
+exactly one output row, no pair of rows is ever built, and the TTL is tested on
+the newest candidate only (an older candidate can never pass when the newest
+one does not).
+
+A crowded key, one with more rows than a task should sort, is cut by time into
+splits of equal size.  What a split needs from earlier ones is one carried row,
+taken from a partially aggregated summary of (key, split).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.splits import (
     BEFORE_ALL,
+    MAX_SPLITS,
+    ROWS_PER_SPLIT,
     Extent,
     extents,
     micros,
@@ -25,9 +31,11 @@ from tidemark.operators.splits import (
     with_split,
 )
 from tidemark.operators.windows import tie_break
+from tidemark.session import cut_lineage
 from tidemark.spec import ViewSpec
 
 SECOND = 1_000_000
+MAX_CROWDED = 100_000
 
 
 def pit_join(
@@ -57,23 +65,18 @@ def pit_join(
     features = _feature_side(_bounded(view_df, view, asked), view, spine_keys)
 
     if window_seconds:
-        edges, tied = None, False
-    else:
-        (stored,) = extents((features, F.col("__us")))
-        at_least = 1 if spine_keys else spine.sparkSession.sparkContext.defaultParallelism
-        count = split_count(asked.rows + stored.rows, rows_per_split, at_least)
-        sides = (spine, micros(spine_ts)), (features, F.col("__us"))
-        edges, tied = quantile_edges(count, *sides)
+        width = window_seconds * SECOND
 
-    def place(df: DataFrame) -> DataFrame:
-        if window_seconds:
-            return df.withColumn("__split", F.floor(F.col("__us") / (window_seconds * SECOND)))
-        return with_split(df, "__us", edges, "__split")
+        def place(df: DataFrame) -> DataFrame:
+            return df.withColumn("__split", F.floor(F.col("__us") / width))
 
+        split, tied = True, False
+    else:
+        place, split, tied = _splits(left, features, spine_keys, rows_per_split)
     if tied:
         joined = _join_collapsed(left, features, spine_keys, place)
     else:
-        joined = _scan(left, features, spine_keys, place, bool(window_seconds or edges))
+        joined = _scan(left, features, spine_keys, place, split)
     alive = F.col("__feat").isNotNull()
     if view.ttl:
         alive = alive & (F.col("__us") - F.col("__feat.us") <= view.ttl * SECOND)
@@ -117,6 +120,56 @@ def _bounded(view_df: DataFrame, view: ViewSpec, spine: Extent) -> DataFrame:
     return bounded
 
 
+def _splits(
+    left: DataFrame, features: DataFrame, keys: Sequence[str], rows_per_split: int | None
+) -> tuple[Callable[[DataFrame], DataFrame], bool, bool]:
+    """How rows are split: a function adding ``__split``, whether it splits, and if ties fill one.
+
+    Keys within one split's size stay whole.  There are at most
+    rows / rows_per_split crowded keys and never more than MAX_CROWDED, which
+    bounds the list that is broadcast to mark their rows.
+    """
+    limit = rows_per_split or ROWS_PER_SPLIT
+    sides = left.select(*keys, "__us"), features.select(*keys, "__us")
+    if not keys:
+        rows = sum(side.count() for side in sides)
+        count = split_count(rows, limit, left.sparkSession.sparkContext.defaultParallelism)
+        edges, tied = quantile_edges(count, *[(side, F.col("__us")) for side in sides])
+        return lambda df: with_split(df, "__us", edges, "__split"), bool(edges), tied
+
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    sizes = sides[0].unionAll(sides[1]).filter(known).groupBy(*keys).agg(F.count("*").alias("__n"))
+    many = F.col("__n") > limit
+    total = sizes.agg(F.count_if(many).alias("crowded"), F.sum("__n").alias("rows")).first()
+    scattered = F.when(~known, -1 - F.pmod(F.xxhash64(F.to_json("__spine")), F.lit(MAX_SPLITS)))
+    if not total["crowded"]:
+
+        def whole(df: DataFrame) -> DataFrame:
+            return df.withColumn("__split", scattered.otherwise(0))
+
+        return whole, False, False
+
+    limit = max(limit, total["rows"] // MAX_CROWDED)
+    crowded = cut_lineage(
+        sizes.filter(F.col("__n") > limit).select(*[F.col(k).alias(f"{k}__c") for k in keys])
+    ).withColumn("__crowded", F.lit(True))
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"{k}__c") for k in keys])
+
+    def marked(df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(crowded), same, "left").drop(*[f"{k}__c" for k in keys])
+
+    hot = [marked(side).filter("__crowded") for side in sides]
+    count = split_count(sum(side.count() for side in hot), limit)
+    edges, tied = quantile_edges(count, *[(side, F.col("__us")) for side in hot])
+
+    def place(df: DataFrame) -> DataFrame:
+        placed = with_split(marked(df), "__us", edges, "__at")
+        split = scattered.when(F.col("__crowded"), F.col("__at")).otherwise(0)
+        return placed.withColumn("__split", split).drop("__crowded", "__at")
+
+    return place, True, tied
+
+
 def _newest(column: str = "__feat") -> Column:
     feat = F.col(column)
     return F.max_by(feat, F.struct(feat["us"], feat["created"], feat["tie"]))
@@ -134,14 +187,13 @@ def _scan(left, features, keys, place, split: bool) -> DataFrame:
             F.lit(None).cast(feat_type).alias("__feat"),
         )
     )
-    placed = place(features)
-    none = F.lit(None).cast(spine.schema["__spine"].dataType).alias("__spine")
-    shape = [*keys, "__split", "__us", F.lit(0).alias("__side"), none, "__feat"]
-    both = spine.select(*keys, "__split", "__us", "__side", "__spine", "__feat").unionAll(
-        placed.select(*shape)
-    )
+    none = F.lit(None).cast(spine.schema["__spine"].dataType)
+    placed = place(features.withColumn("__spine", none))
+    shape = [*keys, "__split", "__us", "__side", "__spine", "__feat"]
+    both = spine.select(*shape).unionAll(placed.withColumn("__side", F.lit(0)).select(*shape))
     if split:
-        both = both.unionAll(_carried(spine, placed, keys).select(*shape))
+        carried = _carried(spine, placed, keys).withColumn("__spine", none)
+        both = both.unionAll(carried.withColumn("__side", F.lit(0)).select(*shape))
     walk = (
         Window.partitionBy(*keys, "__split")
         .orderBy("__us", "__side", F.col("__feat.created"), F.col("__feat.tie"))
@@ -223,11 +275,7 @@ def broadcast_asof(
     """
     spine_keys = view.spine_keys()
     features = _feature_side(view_df, view, spine_keys)
-    per_key = features.groupBy(*spine_keys).agg(
-        F.count("*").alias("n"), F.sum(F.octet_length(F.to_json("__feat"))).alias("b")
-    )
-    size = per_key.agg(F.max("n").alias("versions"), F.sum("b").alias("bytes")).first()
-    if (size["bytes"] or 0) > max_bytes or (size["versions"] or 0) > max_versions:
+    if not _fits(features, spine_keys, max_bytes, max_versions):
         return pit_join(spine, view_df, view, spine_ts, full_names=full_names)
     versions = features.groupBy(*spine_keys, "__us").agg(_newest().alias("__feat"))
     until = F.lead("__us").over(Window.partitionBy(*spine_keys).orderBy("__us"))
@@ -254,6 +302,17 @@ def broadcast_asof(
     )
 
 
+def _fits(features: DataFrame, keys: Sequence[str], max_bytes: int, max_versions: int) -> bool:
+    """Measured size against the bounds; rows are counted first, which reads no payload."""
+    if features.count() > max_bytes // 16:
+        return False
+    per_key = features.groupBy(*keys).agg(
+        F.count("*").alias("n"), F.sum(F.octet_length(F.to_json("__feat"))).alias("b")
+    )
+    size = per_key.agg(F.max("n").alias("versions"), F.sum("b").alias("bytes")).first()
+    return (size["bytes"] or 0) <= max_bytes and (size["versions"] or 0) <= max_versions
+
+
 def windowed_asof(
     spine: DataFrame, view_df: DataFrame, view: ViewSpec, spine_ts: str, window_seconds: int, **kw
 ) -> DataFrame:

@@ -8,13 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.splits import (
-    quantile_edges,
-    row_index,
-    running_total,
-    split_count,
-    with_split,
-)
+from tidemark.operators.splits import ordered_total, row_index
 from tidemark.operators.windows import first_per_key
 
 DIRECT_MEDIAN_ROWS = 100_000
@@ -136,9 +130,7 @@ def _bracketed_median(df: DataFrame, column: str, rows: int, low: float, high: f
         .groupBy(column)
         .agg(F.count("*").alias("weight"))
     )
-    edges, _ = quantile_edges(split_count(rows // 50, None), (counts, F.col(column)))
-    placed = with_split(counts, column, edges, "split")
-    ranked = running_total(placed, [], "split", [column], F.col("weight"), "upto")
+    ranked = ordered_total(counts, [], column, [column], F.col("weight"), "upto")
     first, second = (rows - 1) // 2 - below, rows // 2 - below
     found = ranked.agg(
         F.min(F.when(F.col("upto") > first, F.col(column))).alias("a"),

@@ -146,28 +146,44 @@ def running_total(
     )
 
 
+def ordered_total(
+    df: DataFrame,
+    keys: Sequence[str],
+    by: str,
+    order: Sequence[Column | str],
+    value: Column,
+    out: str,
+    rows_per_split: int | None = None,
+) -> DataFrame:
+    """Running sum per key in ``order``, whose first column is the number ``by``.
+
+    A table within one split's size takes a plain window; a larger one is split.
+    """
+    edges, _ = quantile_edges(split_count(df.count(), rows_per_split), (df, F.col(by)))
+    if not edges:
+        upto = Window.partitionBy(*keys).orderBy(*order)
+        frame = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(out, F.sum(value).over(frame))
+    split = f"{out}_split"
+    placed = with_split(df, by, edges, split)
+    return running_total(placed, keys, split, order, value, out).drop(split)
+
+
 def row_index(df: DataFrame, column: str, out: str, rows_per_split: int | None = None) -> DataFrame:
     """0-based position of each row in ascending order of a distinct column.
 
-    A table within one split's size is numbered by a plain window; a larger
-    one is split by the order of the column first.
+    Strings are split by a number made from the bytes after their shared prefix.
     """
-    limit = rows_per_split or ROWS_PER_SPLIT
-    string = dict(df.dtypes)[column] == "string"
-    if string:
-        low, high, rows = df.agg(F.min(column), F.max(column), F.count("*")).first()
+    if dict(df.dtypes)[column] == "string":
+        low, high = df.agg(F.min(column), F.max(column)).first()
         shared = len(os.path.commonprefix([low or "", high or ""]))
         order = _prefix_number(F.col(column), shared)
     else:
-        rows = df.count()
         order = F.col(column)
-    if rows <= limit:
-        return df.withColumn(out, F.row_number().over(Window.orderBy(column)) - 1)
-    ordered = df.withColumn(f"{out}_key", order)
-    edges, _ = quantile_edges(split_count(rows, limit), (ordered, F.col(f"{out}_key")))
-    placed = with_split(ordered, f"{out}_key", edges, f"{out}_split")
-    numbered = running_total(placed, [], f"{out}_split", [column], F.lit(1), out)
-    return numbered.withColumn(out, (F.col(out) - 1).cast("int")).drop(f"{out}_split", f"{out}_key")
+    by = f"{out}_by"
+    ordered = df.withColumn(by, order)
+    numbered = ordered_total(ordered, [], by, [column], F.lit(1), out, rows_per_split)
+    return numbered.withColumn(out, (F.col(out) - 1).cast("int")).drop(by)
 
 
 def _prefix_number(column: Column, skip: int) -> Column:

@@ -12,13 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.search import tokens
-from tidemark.operators.splits import (
-    extents,
-    quantile_edges,
-    running_total,
-    split_count,
-    with_split,
-)
+from tidemark.operators.splits import ordered_total
+from tidemark.session import cut_lineage
 
 # Where a chunk may end, best first.
 BREAKS = (". ", "\n\n", "\n", " ")
@@ -84,20 +79,22 @@ def chunk_text(
     """One row per chunk, numbered over all documents in ``doc_order``.
 
     A document's first number is the count of chunks before it, from a running
-    total over splits of the document order.
+    total over splits of the document order.  That total reads a checkpoint of
+    ids and counts only.
+    ``doc_order`` must name a document uniquely.
     """
     chunked = chunk_documents(df, text, size, overlap, tail).select(doc_order, *keep, "chunks")
-    (extent,) = extents((df, F.col(doc_order)))
-    edges, _ = quantile_edges(
-        split_count(extent.rows, rows_per_split), (df, F.col(doc_order))
+    counts = cut_lineage(
+        chunked.select(F.col(doc_order).alias("__doc"), F.size("chunks").alias("__n"))
     )
-    placed = with_split(chunked, doc_order, edges, "__split")
-    upto = running_total(placed, [], "__split", [doc_order], F.size("chunks"), "__upto")
-    opened = upto.select(
-        doc_order,
-        *keep,
-        (F.col("__upto") - F.size("chunks")).alias("__first"),
-        F.posexplode("chunks").alias("__at", "c"),
+    upto = ordered_total(counts, [], "__doc", ["__doc"], F.col("__n"), "__upto", rows_per_split)
+    firsts = upto.select("__doc", (F.col("__upto") - F.col("__n")).alias("__first"))
+    # The outer form keeps Spark from testing the list for emptiness below the function
+    # that makes it, which would cut every text once more.
+    opened = (
+        chunked.join(firsts, F.col(doc_order) == F.col("__doc"))
+        .select(doc_order, *keep, "__first", F.posexplode_outer("chunks").alias("__at", "c"))
+        .filter(F.col("c").isNotNull())
     )
     return opened.select(
         (F.col("__first") + F.col("__at")).cast("long").alias("chunk_id"), doc_order, *keep, "c.*"

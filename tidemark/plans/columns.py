@@ -44,7 +44,7 @@ def filter_date_partition(spark, root):
     path = fresh_path(spark, "by-day")
     events = table(spark, root, "events").select("event_id", "ts", "value")
     stored = events.withColumn("day", F.date_format("ts", "yyyyMMdd"))
-    stored.repartition("day").write.partitionBy("day").parquet(path)
+    stored.hint("rebalance", "day").write.partitionBy("day").parquet(path)
     back = spark.read.schema(stored.schema).parquet(path)
     start, end = stamp("2024-01-05 00:00:00"), stamp("2024-01-12 12:00:00")
     return clean.filter_date_partition(back, "ts", "day", "yyyyMMdd", start, end).drop("day")

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from tidemark.functions import names
 from tidemark.operators import lineage as ln
 from tidemark.plans.catalog import query
-from tidemark.session import table
+from tidemark.session import cut_lineage, spread_table, table
 
 
 def shipments(spark, root):
     """One run per event: its job is the event type, it reads the user and writes the day."""
-    events = table(spark, root, "events")
+    events = spread_table(spark, root, "events")
     user = F.concat(F.lit("users/"), "user_id")
     day = F.concat(F.lit("days/"), F.date_format("ts", "yyyy-MM-dd"))
     return ln.lineage_events(
@@ -212,7 +212,8 @@ WHERE e.src_type = 'entity' AND e.dst_type = 'featureView' AND s.src_type = 'dat
 """,
 )
 def lineage_edges_indirect(spark, root):
-    return ln.lineage_edges_indirect(ln.lineage_edges_direct(*registry(spark, root)))
+    direct = cut_lineage(ln.lineage_edges_direct(*registry(spark, root)))
+    return ln.lineage_edges_indirect(direct)
 
 
 def trade_edges(spark, root):

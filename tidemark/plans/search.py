@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import search, text
 from tidemark.plans.catalog import query
-from tidemark.session import cut_lineage, table
+from tidemark.session import cut_lineage, spread_table, table
 
 K = 10
 
@@ -206,7 +206,7 @@ ORDER BY text_rank DESC, doc_id LIMIT {K}
 """,
 )
 def text_search_rank(spark, root):
-    documents = table(spark, root, "documents")
+    documents = spread_table(spark, root, "documents")
     return search.text_search_rank(documents, "doc_id", ["text", "source"], "the and", K)
 
 
@@ -227,7 +227,7 @@ SELECT doc_id, round(score, 9) AS score FROM r ORDER BY r.score DESC, doc_id LIM
 """,
 )
 def bm25_search(spark, root):
-    documents = table(spark, root, "documents")
+    documents = spread_table(spark, root, "documents")
     found = search.bm25_search(documents, "doc_id", ["text", "source"], "the and", K)
     return found.withColumn("score", F.round("score", 9))
 
@@ -242,7 +242,7 @@ ORDER BY list_distance(e, q), vec_id LIMIT {K}
 """,
 )
 def hybrid_search(spark, root):
-    documents = table(spark, root, "documents").withColumnRenamed("doc_id", "vec_id")
+    documents = spread_table(spark, root, "documents").withColumnRenamed("doc_id", "vec_id")
     rows = table(spark, root, "embeddings").join(documents, "vec_id")
     queries = mean_vectors(spark, root)
     found = search.hybrid_search(
@@ -284,7 +284,7 @@ FROM spans s JOIN documents d ON d.doc_id = s.doc_id
 """,
 )
 def chunk_text(spark, root):
-    documents = table(spark, root, "documents")
+    documents = spread_table(spark, root, "documents")
     return text.chunk_text(documents, "doc_id", "text", 1000, 200, keep=["source"])
 
 
@@ -296,7 +296,7 @@ SELECT doc_id, 64 AS width, CASE WHEN regexp_matches(text, '[\p{L}\p{N}]') THEN
 """,
 )
 def embed_text(spark, root):
-    documents = table(spark, root, "documents").select("doc_id", "text")
+    documents = spread_table(spark, root, "documents").select("doc_id", "text")
     vectors = text.embed_text(documents, "text", "vector", width=64)
     squares = F.aggregate(
         F.col("vector").cast("array<double>"), F.lit(0.0), lambda a, x: a + x * x

@@ -9,14 +9,14 @@ from tidemark.functions import names
 from tidemark.operators import clean, joins
 from tidemark.operators import transform as tr
 from tidemark.plans.catalog import query
-from tidemark.session import table
+from tidemark.session import spread_table, table
 
 LINES = "SELECT l_orderkey, l_linenumber, l_quantity * l_tax AS taxed FROM lineitem"
 OUT = T.StructType().add("l_orderkey", "long").add("l_linenumber", "integer").add("taxed", "double")
 
 
 def lines(spark, root):
-    return table(spark, root, "lineitem").select(
+    return spread_table(spark, root, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_tax"
     )
 

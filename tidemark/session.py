@@ -32,6 +32,17 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Table for work that is heavy per row: rows are dealt out when the scan has few tasks.
+
+    A scan that already gives every core a task is left alone, so a large
+    table is never shuffled for this.
+    """
+    df = table(spark, root, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -61,6 +72,11 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows survive executor loss and the plan starts anew."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows to the shared folder and go on from there.
+
+    The table survives executor loss, is computed once (a checkpoint of an
+    unpersisted frame computes twice), and keeps column pruning and real sizes.
+    """
+    path = fresh_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -105,5 +105,10 @@ def export_staging(df: DataFrame, base: str | None = None) -> list[str]:
 
 
 def sink_feature_logs(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Append logged features, laid out by the chosen columns."""
-    df.write.partitionBy(*partition_by).mode("append").parquet(path)
+    """Append logged features, laid out by the chosen columns.
+
+    Rows are rebalanced by those columns before the write: each folder gets few
+    files, and adaptive execution still cuts a crowded folder into several.
+    """
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    rows.write.partitionBy(*partition_by).mode("append").parquet(path)
