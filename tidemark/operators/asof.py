@@ -18,6 +18,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.splits import (
     BEFORE_ALL,
@@ -110,6 +111,8 @@ def _bounded(view_df: DataFrame, view: ViewSpec, spine: Extent) -> DataFrame:
     if spine.low is None:
         return view_df.limit(0)
     kind = view_df.schema[view.ts].dataType
+    if not isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        raise TypeError(f"event time {view.ts!r} of view {view.name!r} is {kind.simpleString()}")
 
     def at(us: int) -> Column:
         return F.timestamp_micros(F.lit(us)).cast(kind)
