@@ -170,6 +170,29 @@ def test_same_view_under_two_keys(spark):
     assert (got["from__v"], got["to__v"]) == (1, 2)
 
 
+@pytest.mark.parametrize("rows_per_split", [None, 30])
+def test_views_sharing_keys_share_one_shuffle(spark, rows_per_split):
+    spine, first = make(11, 0.5)
+    _, second = make(12, 0.2)
+    left = spark.createDataFrame(spine, SPINE)
+    views = [
+        (spark.createDataFrame(first, FEATURES), ViewSpec("a", ["k"], ["v"], "ts", "created", ttl=900)),
+        (spark.createDataFrame(second, FEATURES), ViewSpec("b", ["k"], ["v"], "ts", "created")),
+        (spark.createDataFrame(first, FEATURES), ViewSpec("c", [], ["v"], "ts", "created", ttl=60)),
+    ]
+    got = asof.pit_join_multi(left, views, "at", rows_per_split=rows_per_split)
+    assert got.columns == ["id", "k", "at", "a__v", "b__v", "c__v"]
+    found = {r.id: (r.a__v, r.b__v, r.c__v) for r in got.collect()}
+    a, b, c = (
+        {r[0]: r[3] for r in brute(spine, rows, ttl, keyed)}
+        for rows, ttl, keyed in ((first, 900, True), (second, 0, True), (first, 60, False))
+    )
+    assert found == {i: (a[i], b[i], c[i]) for i in a}
+    if rows_per_split is None:
+        plan = asof.pit_join_multi(left, views[:2], "at")._jdf.queryExecution().executedPlan()
+        assert plan.toString().count("Exchange") == 1
+
+
 def test_map_features_and_matched_time(spark):
     spine = spark.createDataFrame([(1, BASE)], "k long, at timestamp_ntz")
     features = spark.createDataFrame(

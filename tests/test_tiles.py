@@ -75,7 +75,7 @@ def test_sliding_equals_the_built_in_window(spark, rows, window, slide):
     df = spark.createDataFrame(rows, "k string, ts timestamp, v double")
     aggs = [Aggregation("v", f, window, slide) for f in ALL]
     got = tiles.sliding_agg(df, ["k"], "ts", aggs)
-    want = aggregate._windowed(df, ["k"], "ts", aggs)
+    want = aggregate.windowed_agg(df, ["k"], "ts", aggs)
     key = lambda r: (repr(r.k), r.window_end)
     a, b = sorted(got.collect(), key=key), sorted(want.collect(), key=key)
     assert [key(r) for r in a] == [key(r) for r in b]

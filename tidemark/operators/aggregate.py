@@ -29,7 +29,10 @@ def group_agg(df: DataFrame, keys: Sequence[str], aggs: Sequence[Aggregation]) -
     return df.groupBy(*keys).agg(*[aggregate_column(a).alias(a.alias) for a in aggs])
 
 
-def _windowed(df: DataFrame, keys, ts: str, aggs: Sequence[Aggregation]) -> DataFrame:
+def windowed_agg(
+    df: DataFrame, keys: Sequence[str], ts: str, aggs: Sequence[Aggregation]
+) -> DataFrame:
+    """One window size and slide with Spark's own time windows, by window end."""
     size, slide = aggs[0].window, aggs[0].hop
     window = F.window(ts, f"{size} seconds", f"{slide} seconds").alias("w")
     counted = df.groupBy(*keys, window).agg(*[aggregate_column(a).alias(a.alias) for a in aggs])
@@ -43,7 +46,7 @@ def tumbling_agg(
 ) -> DataFrame:
     """Tumbling windows; every window size is its own pass, put side by side by window end."""
     sizes = sorted({a.window for a in aggs})
-    frames = [_windowed(df, keys, ts, [a for a in aggs if a.window == s]) for s in sizes]
+    frames = [windowed_agg(df, keys, ts, [a for a in aggs if a.window == s]) for s in sizes]
     return frames[0] if len(frames) == 1 else outer_join_windows(frames, [*keys, "window_end"])
 
 

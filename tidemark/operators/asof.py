@@ -55,16 +55,83 @@ def pit_join(
     ``window_seconds`` replaces the quantile splits by fixed time windows.
     ``feature_ts_as`` also returns the matched event time under that name.
     """
-    spine_keys = view.spine_keys()
-    outputs = {f: view.output_name(f, full_names) for f in view.features}
-    clash = set(outputs.values()) & set(spine.columns)
-    if clash:
-        raise ValueError(f"feature names collide with spine columns: {sorted(clash)}")
+    return _attach(
+        spine,
+        spine,
+        [(view_df, view)],
+        spine_ts,
+        _extent(spine, spine_ts),
+        full_names=full_names,
+        feature_ts_as=feature_ts_as,
+        rows_per_split=rows_per_split,
+        window_seconds=window_seconds,
+    )
+
 
-    left = spine.withColumn("__us", F.coalesce(micros(spine_ts), F.lit(BEFORE_ALL)))
-    (asked,) = extents((spine, micros(spine_ts)))
-    features = _feature_side(_bounded(view_df, view, asked), view, spine_keys)
+def pit_join_multi(
+    spine: DataFrame,
+    views: Sequence[tuple[DataFrame, ViewSpec]],
+    spine_ts: str,
+    *,
+    full_names: bool = True,
+    rows_per_split: int | None = None,
+) -> DataFrame:
+    """One retrieval over several views, each with its own keys, TTL and alias.
 
+    Views with the same spine keys share one scan, so the spine is shuffled
+    once per set of keys and not once per view.
+    """
+    groups: dict[tuple[str, ...], list[tuple[DataFrame, ViewSpec]]] = {}
+    for view_df, view in views:
+        groups.setdefault(tuple(view.spine_keys()), []).append((view_df, view))
+    joined, extent = spine, _extent(spine, spine_ts)
+    for members in groups.values():
+        joined = _attach(
+            joined,
+            spine,
+            members,
+            spine_ts,
+            extent,
+            full_names=full_names,
+            rows_per_split=rows_per_split,
+        )
+    features = [v.output_name(f, full_names) for _, v in views for f in v.features]
+    return joined.select(*spine.columns, *features)
+
+
+def _extent(spine: DataFrame, spine_ts: str) -> Extent:
+    return extents((spine, micros(spine_ts)))[0]
+
+
+def _timed(df: DataFrame, ts: str) -> DataFrame:
+    return df.withColumn("__us", F.coalesce(micros(ts), F.lit(BEFORE_ALL)))
+
+
+def _attach(
+    spine: DataFrame,
+    base: DataFrame,
+    members: Sequence[tuple[DataFrame, ViewSpec]],
+    spine_ts: str,
+    extent: Extent,
+    *,
+    full_names: bool,
+    feature_ts_as: str | None = None,
+    rows_per_split: int | None = None,
+    window_seconds: int | None = None,
+) -> DataFrame:
+    """Join views that share their spine keys; ``base`` has the same rows as ``spine``.
+
+    The sizes are measured on ``base``, which is the spine before other views
+    were joined to it and costs no join to read.
+    """
+    keys = members[0][1].spine_keys()
+    named = [{f: view.output_name(f, full_names) for f in view.features} for _, view in members]
+    outputs = [o for names in named for o in names.values()]
+    clash = {o for o in outputs if o in spine.columns or outputs.count(o) > 1}
+    if clash:
+        raise ValueError(f"feature names collide: {sorted(clash)}")
+
+    sides = [_feature_side(_bounded(df, view, extent), view, keys) for df, view in members]
     if window_seconds:
         width = window_seconds * SECOND
 
@@ -73,17 +140,22 @@ def pit_join(
 
         split, tied = True, False
     else:
-        place, split, tied = _splits(left, features, spine_keys, rows_per_split)
+        place, split, tied = _splits(_timed(base, spine_ts), sides, keys, rows_per_split)
+    left = _timed(spine, spine_ts)
     if tied:
-        joined = _join_collapsed(left, features, spine_keys, place)
+        joined = _join_collapsed(left, sides, keys, place)
     else:
-        joined = _scan(left, features, spine_keys, place, split)
-    alive = F.col("__feat").isNotNull()
-    if view.ttl:
-        alive = alive & (F.col("__us") - F.col("__feat.us") <= view.ttl * SECOND)
-    picked = [F.when(alive, F.col(f"__feat.row.{f}")).alias(o) for f, o in outputs.items()]
-    if feature_ts_as:
-        picked.append(F.when(alive, F.col(f"__feat.row.{view.ts}")).alias(feature_ts_as))
+        joined = _scan(left, sides, keys, place, split)
+
+    picked = []
+    for i, ((_, view), names) in enumerate(zip(members, named)):
+        feat = f"__feat{i}"
+        alive = F.col(feat).isNotNull()
+        if view.ttl:
+            alive = alive & (F.col("__us") - F.col(f"{feat}.us") <= view.ttl * SECOND)
+        picked += [F.when(alive, F.col(f"{feat}.row.{f}")).alias(o) for f, o in names.items()]
+        if feature_ts_as:
+            picked.append(F.when(alive, F.col(f"{feat}.row.{view.ts}")).alias(feature_ts_as))
     return joined.select(*[F.col(c) for c in spine.columns], *picked)
 
 
@@ -124,7 +196,7 @@ def _bounded(view_df: DataFrame, view: ViewSpec, spine: Extent) -> DataFrame:
 
 
 def _splits(
-    left: DataFrame, features: DataFrame, keys: Sequence[str], rows_per_split: int | None
+    left: DataFrame, sides: Sequence[DataFrame], keys: Sequence[str], rows_per_split: int | None
 ) -> tuple[Callable[[DataFrame], DataFrame], bool, bool]:
     """How rows are split: a function adding ``__split``, whether it splits, and if ties fill one.
 
@@ -133,7 +205,7 @@ def _splits(
     bounds the list that is broadcast to mark their rows.
     """
     limit = rows_per_split or ROWS_PER_SPLIT
-    sides = left.select(*keys, "__us"), features.select(*keys, "__us")
+    sides = [df.select(*keys, "__us") for df in (left, *sides)]
     if not keys:
         rows = sum(side.count() for side in sides)
         count = split_count(rows, limit, left.sparkSession.sparkContext.defaultParallelism)
@@ -141,7 +213,7 @@ def _splits(
         return lambda df: with_split(df, "__us", edges, "__split"), bool(edges), tied
 
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    sizes = sides[0].unionAll(sides[1]).filter(known).groupBy(*keys).agg(F.count("*").alias("__n"))
+    sizes = reduce(DataFrame.unionAll, sides).filter(known).groupBy(*keys).agg(F.count("*").alias("__n"))
     many = F.col("__n") > limit
     total = sizes.agg(F.count_if(many).alias("crowded"), F.sum("__n").alias("rows")).first()
     scattered = F.when(~known, -1 - F.pmod(F.xxhash64(F.to_json("__spine")), F.lit(MAX_SPLITS)))
@@ -173,92 +245,75 @@ def _splits(
     return place, True, tied
 
 
-def _newest(column: str = "__feat") -> Column:
+def _newest(column: str) -> Column:
     feat = F.col(column)
     return F.max_by(feat, F.struct(feat["us"], feat["created"], feat["tie"]))
 
 
-def _scan(left, features, keys, place, split: bool) -> DataFrame:
-    feat_type = features.schema["__feat"].dataType
-    columns = [c for c in left.columns if c != "__us"]
-    spine = place(
-        left.select(
-            *[F.col(k) for k in keys],
-            "__us",
-            F.lit(1).alias("__side"),
-            F.struct(*columns).alias("__spine"),
-            F.lit(None).cast(feat_type).alias("__feat"),
-        )
-    )
+def _scan(
+    left: DataFrame,
+    sides: Sequence[DataFrame],
+    keys: Sequence[str],
+    place: Callable[[DataFrame], DataFrame],
+    split: bool,
+) -> DataFrame:
+    """Spine rows with the newest row of each feature side as ``__feat0``, ``__feat1`` ..."""
+    feats = [f"__feat{i}" for i in range(len(sides))]
+    kinds = [side.schema["__feat"].dataType for side in sides]
+    empty = {f: F.lit(None).cast(kind) for f, kind in zip(feats, kinds)}
+    payload = F.struct(*[c for c in left.columns if c != "__us"])
+    shape = [*keys, "__split", "__us", "__side", "__spine", *feats]
+
+    spine = left.select(*keys, "__us", F.lit(1).alias("__side"), payload.alias("__spine"))
+    spine = place(spine.withColumns(empty)).select(*shape)
     none = F.lit(None).cast(spine.schema["__spine"].dataType)
-    placed = place(features.withColumn("__spine", none))
-    shape = [*keys, "__split", "__us", "__side", "__spine", "__feat"]
-    both = spine.select(*shape).unionAll(placed.withColumn("__side", F.lit(0)).select(*shape))
+
+    def as_feature(df: DataFrame) -> DataFrame:
+        return df.withColumns({"__side": F.lit(0), "__spine": none})
+
+    stored = []
+    for own, side in zip(feats, sides):
+        held = {f: F.col("__feat") if f == own else empty[f] for f in feats}
+        stored.append(place(as_feature(side.withColumns(held))).select(*shape))
+    rows = reduce(DataFrame.unionAll, [spine, *stored])
     if split:
-        carried = _carried(spine, placed, keys).withColumn("__spine", none)
-        both = both.unionAll(carried.withColumn("__side", F.lit(0)).select(*shape))
+        rows = rows.unionAll(as_feature(_carried(rows, keys, feats)).select(*shape))
+    ties = [F.col(f"{f}.{part}") for f in feats for part in ("created", "tie")]
     walk = (
         Window.partitionBy(*keys, "__split")
-        .orderBy("__us", "__side", F.col("__feat.created"), F.col("__feat.tie"))
+        .orderBy("__us", "__side", *ties)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        both.withColumn("__feat", F.last("__feat", ignorenulls=True).over(walk))
-        .filter(F.col("__side") == 1)
-        .select("__spine.*", "__us", "__feat")
-    )
+    newest = {f: F.last(f, ignorenulls=True).over(walk) for f in feats}
+    return rows.withColumns(newest).filter("__side = 1").select("__spine.*", "__us", *feats)
 
 
-def _carried(spine: DataFrame, placed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """For each (key, split) with spine rows: the newest feature row of earlier splits."""
-    by_split = (
-        placed.select(*keys, "__split", "__feat", F.lit(0).alias("__side"))
-        .unionAll(spine.select(*keys, "__split", "__feat", "__side"))
-        .groupBy(*keys, "__split")
-        .agg(_newest().alias("__feat"), F.max("__side").alias("__asked"))
+def _carried(rows: DataFrame, keys: Sequence[str], feats: Sequence[str]) -> DataFrame:
+    """For each (key, split) with spine rows: the newest feature rows of earlier splits."""
+    by_split = rows.groupBy(*keys, "__split").agg(
+        *[_newest(f).alias(f) for f in feats], F.max("__side").alias("__asked")
     )
     earlier = (
         Window.partitionBy(*keys).orderBy("__split").rowsBetween(Window.unboundedPreceding, -1)
     )
-    return (
-        by_split.withColumn("__feat", F.last("__feat", ignorenulls=True).over(earlier))
-        .filter((F.col("__asked") == 1) & F.col("__feat").isNotNull())
-        .withColumn("__us", F.col("__feat.us"))
-    )
+    handed = by_split.withColumns({f: F.last(f, ignorenulls=True).over(earlier) for f in feats})
+    times = F.array_compact(F.array(*[F.col(f"{f}.us") for f in feats]))
+    held = handed.filter("__asked = 1").withColumn("__us", F.array_max(times))
+    return held.filter(F.col("__us").isNotNull())
 
 
-def _join_collapsed(left, features, keys, place) -> DataFrame:
+def _join_collapsed(left, sides, keys, place) -> DataFrame:
     """For tables where one instant fills whole splits: scan distinct (key, time) only."""
     asked = left.select(*keys, "__us").distinct()
-    newest = features.groupBy(*keys, "__us").agg(_newest().alias("__feat"))
-    found = _scan(
-        asked.withColumn("__at", F.col("__us")), newest, keys, place, split=True
-    ).select(*[F.col(k).alias(f"{k}__f") for k in keys], F.col("__at").alias("__us__f"), "__feat")
+    newest = [s.groupBy(*keys, "__us").agg(_newest("__feat").alias("__feat")) for s in sides]
+    feats = [f"__feat{i}" for i in range(len(sides))]
+    found = _scan(asked.withColumn("__at", F.col("__us")), newest, keys, place, split=True).select(
+        *[F.col(k).alias(f"{k}__f") for k in keys], F.col("__at").alias("__us__f"), *feats
+    )
     same = [F.col(c).eqNullSafe(F.col(f"{c}__f")) for c in (*keys, "__us")]
     return left.join(found, same, "left").drop(*[f"{c}__f" for c in (*keys, "__us")])
 
 
-def pit_join_multi(
-    spine: DataFrame,
-    views: Sequence[tuple[DataFrame, ViewSpec]],
-    spine_ts: str,
-    *,
-    full_names: bool = True,
-    rows_per_split: int | None = None,
-) -> DataFrame:
-    """One retrieval over several views, each with its own keys, TTL and alias."""
-    for view_df, view in views:
-        spine = pit_join(
-            spine,
-            view_df,
-            view,
-            spine_ts,
-            full_names=full_names,
-            rows_per_split=rows_per_split,
-        )
-    return spine
-
-
 def broadcast_asof(
     spine: DataFrame,
     view_df: DataFrame,
@@ -280,7 +335,7 @@ def broadcast_asof(
     features = _feature_side(view_df, view, spine_keys)
     if not _fits(features, spine_keys, max_bytes, max_versions):
         return pit_join(spine, view_df, view, spine_ts, full_names=full_names)
-    versions = features.groupBy(*spine_keys, "__us").agg(_newest().alias("__feat"))
+    versions = features.groupBy(*spine_keys, "__us").agg(_newest("__feat").alias("__feat"))
     until = F.lead("__us").over(Window.partitionBy(*spine_keys).orderBy("__us"))
     intervals = versions.select(
         *[F.col(k).alias(f"{k}__f") for k in spine_keys],
@@ -362,5 +417,5 @@ def non_entity_retrieval(
     keep_ts: bool = False,
     full_names: bool = True,
 ) -> DataFrame:
-    spine = non_entity_spine(views, start, end, keep_ts=keep_ts)
+    spine = cut_lineage(non_entity_spine(views, start, end, keep_ts=keep_ts))
     return pit_join_multi(spine, views, "entity_ts", full_names=full_names)

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.aggregate import windowed_agg
 from tidemark.spec import Aggregation
 
 HOP = "hop_ms"
@@ -45,9 +46,7 @@ def hop_partials(
 def merge_partials(column: str) -> dict[str, Column]:
     """Aggregates that merge the partials of ``column``."""
     pick = {"min": F.min, "max": F.max}
-    return {
-        p: pick.get(p, F.sum)(f"{column}__{p}") for p in PARTIALS
-    }
+    return {p: pick.get(p, F.sum)(f"{column}__{p}") for p in PARTIALS}
 
 
 def from_partials(function: str, parts: dict[str, Column]) -> Column:
@@ -180,9 +179,7 @@ def sliding_agg(
     if any((a.window, a.hop) != (window, slide) for a in aggs):
         raise ValueError("one call handles one window and slide")
     if window % slide or not {a.function for a in aggs} <= MERGEABLE:
-        from tidemark.operators.aggregate import _windowed
-
-        return _windowed(df, keys, ts, aggs)
+        return windowed_agg(df, keys, ts, aggs)
     columns = _columns(aggs)
     tiles = hop_partials(df, keys, ts, columns, slide)
     width = slide * 1000

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.materialize import write_online
 from tidemark.operators.splits import extents, micros
 from tidemark.session import fresh_path
 
@@ -50,17 +52,13 @@ def sink_view_output(
     created: str | None = None,
 ) -> None:
     """Write a view's rows to its offline history, its online table, or both."""
-    from tidemark.operators.materialize import write_online
-
     if offline_path:
         df.write.mode("append").parquet(offline_path)
     if online_path:
         write_online(df, online_path, keys, ts, created)
 
 
-def push_source(
-    df: DataFrame, views: Sequence[Mapping], to: str = "online"
-) -> None:
+def push_source(df: DataFrame, views: Sequence[Mapping], to: str = "online") -> None:
     """Push rows to every view fed by a push source.
 
     Each view is a mapping of the arguments of :func:`sink_view_output`;
@@ -99,7 +97,7 @@ def persist_view(df: DataFrame, name: str) -> None:
 def export_staging(df: DataFrame, base: str | None = None) -> list[str]:
     """Write to a folder of its own and list the files written."""
     spark: SparkSession = df.sparkSession
-    target = fresh_path(spark, "staging") if base is None else f"{base.rstrip('/')}"
+    target = fresh_path(spark, "staging") if base is None else f"{base.rstrip('/')}/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(target)
     return sorted(spark.read.parquet(target).inputFiles())
 
