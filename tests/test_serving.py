@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import materialize as mat
-from tidemark.operators import quality
+from tidemark.operators import quality, retrieval
 from tidemark.operators import transform as tr
 from tidemark.session import cut_lineage, fresh_path, shared_dir
 from tidemark.sources import readers, sinks
@@ -340,3 +340,38 @@ def test_json_messages(spark):
 def test_request_columns(spark):
     with pytest.raises(ValueError):
         readers.require_request_columns(spark.range(1), ["amount"])
+
+
+# -- retrieval by reference -------------------------------------------------------------------
+
+
+def test_inferred_roles(spark):
+    df = spark.createDataFrame([("a", A, B, 1, 2)], "k string, ts timestamp, made timestamp, v long, `__x` long")
+    with pytest.raises(ValueError):
+        retrieval.infer_view(df, "v", ["k"])
+    view = retrieval.infer_view(df, "v", ["k"], created="made")
+    assert (view.ts, list(view.features)) == ("ts", ["v"])
+
+
+def test_references(spark):
+    spine = spark.createDataFrame([("a", C)], "k string, at timestamp")
+    df = spark.createDataFrame([("a", A, 1)], ROWS)
+    views = {n: (df, ViewSpec(n, ["k"], ["v"], "ts")) for n in ("x", "y")}
+    got = retrieval.historical_features(spine, views, ["x:v"]).first()
+    assert got.asDict() == {"k": "a", "at": C, "v": 1}
+    with pytest.raises(ValueError, match="collide"):
+        retrieval.historical_features(spine, views, ["x:v", "y:v"])
+    both = retrieval.historical_features(spine, views, ["y:v", "x:v"], full_names=True)
+    assert both.columns == ["k", "at", "y__v", "x__v"]
+    with pytest.raises(ValueError, match="collide"):
+        retrieval.historical_features(spine, views, ["x:v", "x:v"], full_names=True)
+    named = spine.withColumn("event_timestamp", F.lit(A) - F.expr("INTERVAL 1 DAY"))
+    assert retrieval.historical_features(named, views, ["x:v"]).first().v is None
+    with pytest.raises(ValueError, match="no feature"):
+        retrieval.historical_features(spine, views, ["x:w"])
+    odd = tr.OnDemandView("z", {"x": ["v"]}, {"w": "x__v + r"}, request=["r"])
+    with pytest.raises(ValueError, match="request"):
+        retrieval.historical_features(spine, views, ["z:w"], on_demand=[odd])
+    asked = spine.drop("at").withColumn("r", F.lit(5))
+    online = retrieval.online_features(asked, views, ["z:w"], F.lit(C), on_demand=[odd]).first()
+    assert online.asDict() == {"k": "a", "r": 5, "x__status": "PRESENT", "w": 6}

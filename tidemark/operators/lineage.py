@@ -429,11 +429,10 @@ def registry_search(objects: DataFrame, query: str) -> DataFrame:
     kept = F.map_from_entries(
         F.transform(matched, lambda t: F.struct(t["key"].alias("key"), t["value"].alias("value")))
     )
-    return (
-        judged.withColumns({"match_score": score, "matched_tags": kept})
-        .filter(F.col("match_score").isNotNull())
-        .drop("__tags")
-    )
+    # A generator holds the result, so the filter does not make the score be computed twice.
+    result = F.inline(F.array(F.struct(score.alias("match_score"), kept.alias("matched_tags"))))
+    found = judged.select(*objects.columns, result)
+    return found.filter(F.col("match_score").isNotNull())
 
 
 def page(df: DataFrame, order: Sequence[Column], number: int, size: int) -> DataFrame:

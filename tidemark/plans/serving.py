@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tidemark.operators import materialize as mat
+from tidemark.operators.retrieval import historical_features, infer_view, online_features
+from tidemark.operators.transform import OnDemandView
 from tidemark.plans.catalog import query
 from tidemark.plans.retrieval import DAY, stamp
 from tidemark.session import fresh_path, table
@@ -227,3 +229,65 @@ def eav_pivot(spark, root):
     kinds = {"c_acctbal": "double", "c_mktsegment": "string", "c_nationkey": "int"}
     eav = mat.to_eav(table(spark, root, "customer"), ["c_custkey"], list(kinds), [])
     return mat.eav_pivot(eav, ["c_custkey"], [], kinds)
+
+
+SUM = OnDemandView("mix", {"clicks": ["value"], "views": ["value"]}, {"total": "clicks__value + views__value"})
+
+
+def kind_views(spark, root):
+    """Clicks and views as two stored views over the same users."""
+
+    def rows(kind):
+        events = table(spark, root, "events").filter(F.col("event_type") == kind)
+        return events.select("user_id", "ts", "value", "props")
+
+    return {
+        name: (rows(kind), infer_view(rows(kind), name, ["user_id"], ttl=10 * DAY))
+        for name, kind in (("clicks", "click"), ("views", "view"))
+    }
+
+
+def newest_sql(kind: str) -> str:
+    return f"""(SELECT max_by(f.value, f.ts) FROM events f WHERE f.event_type = '{kind}'
+      AND f.user_id = s.user_id AND f.ts <= s.entity_ts AND f.ts >= s.entity_ts - INTERVAL 10 DAY)"""
+
+
+@query(
+    "historical_features",
+    f"""
+WITH spine AS (SELECT event_id, user_id, ts AS entity_ts FROM events WHERE event_type = 'purchase'),
+f AS (SELECT s.*, {newest_sql("click")} AS c, {newest_sql("view")} AS v FROM spine s)
+SELECT event_id, user_id, entity_ts, c + v AS mix__total, c AS clicks__value FROM f
+""",
+)
+def historical_features_query(spark, root):
+    events = table(spark, root, "events").filter("event_type = 'purchase'")
+    spine = events.select("event_id", "user_id", F.col("ts").alias("entity_ts"))
+    refs = ["mix:total", "clicks:value"]
+    views = kind_views(spark, root)
+    return historical_features(spine, views, refs, on_demand=[SUM], full_names=True)
+
+
+@query(
+    "online_features",
+    f"""
+WITH c AS (SELECT user_id, max_by(value, ts) AS value, max(ts) AS ts FROM events
+           WHERE event_type = 'click' GROUP BY 1),
+v AS (SELECT user_id, max_by(value, ts) AS value, max(ts) AS ts FROM events
+      WHERE event_type = 'view' GROUP BY 1)
+SELECT o_orderkey, o_custkey AS user_id, c.value + v.value AS total,
+  CASE WHEN c.ts IS NULL THEN 'NOT_FOUND' WHEN c.ts < TIMESTAMP '2024-02-08' - INTERVAL 10 DAY
+    THEN 'OUTSIDE_MAX_AGE' ELSE 'PRESENT' END AS clicks__status,
+  CASE WHEN v.ts IS NULL THEN 'NOT_FOUND' WHEN v.ts < TIMESTAMP '2024-02-08' - INTERVAL 10 DAY
+    THEN 'OUTSIDE_MAX_AGE' ELSE 'PRESENT' END AS views__status
+FROM orders LEFT JOIN c ON c.user_id = o_custkey LEFT JOIN v ON v.user_id = o_custkey
+""",
+)
+def online_features_query(spark, root):
+    requests = table(spark, root, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"))
+    stored = {
+        name: (mat.dedup_latest(df, ["user_id"], "ts"), view)
+        for name, (df, view) in kind_views(spark, root).items()
+    }
+    now = stamp("2024-02-08 00:00:00")
+    return online_features(requests, stored, ["mix:total"], now, on_demand=[SUM])
