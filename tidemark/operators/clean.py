@@ -114,17 +114,21 @@ def exact_medians(
     medians: dict[str, float | None] = {}
     if small:
         medians.update(doubles.agg(*[F.median(c).alias(c) for c in small]).first().asDict())
-    for column in columns:
-        if column not in small:
-            low, high = seen[f"{column}__p"]
-            medians[column] = _bracketed_median(doubles, column, seen[f"{column}__n"], low, high)
+    brackets = {c: seen[f"{c}__p"] for c in columns if c not in small}
+    medians.update({c: low for c, (low, high) in brackets.items() if low == high})
+    open_ones = {c: p for c, p in brackets.items() if c not in medians}
+    if open_ones:
+        under = [F.count_if(F.col(c) < low).alias(c) for c, (low, _) in open_ones.items()]
+        below = doubles.agg(*under).first()
+        for c, (low, high) in open_ones.items():
+            medians[c] = _bracketed_median(doubles, c, seen[f"{c}__n"], below[c], low, high)
     return medians
 
 
-def _bracketed_median(df: DataFrame, column: str, rows: int, low: float, high: float) -> float:
-    if low == high:
-        return low
-    below = df.filter(F.col(column) < low).count()
+def _bracketed_median(
+    df: DataFrame, column: str, rows: int, below: int, low: float, high: float
+) -> float:
+    """Median of ``rows`` values, ``below`` of which lie under the bracket."""
     counts = (
         df.filter(F.col(column).between(low, high))
         .groupBy(column)
