@@ -4,9 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tidemark.plans import load_all
+from tidemark.plans.catalog import ORACLE, QUERIES
 from tools.check_oracle import TABLES, rows
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+load_all()
 
 
 @pytest.fixture(scope="module")
@@ -36,4 +38,5 @@ def test_entry(spark):
 
 
 def test_every_sql_has_a_query():
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
