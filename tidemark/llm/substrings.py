@@ -37,8 +37,9 @@ from tidemark.llm.suffix_sort import Suffixes, powers
 
 LENGTH = 50
 ANCHOR = 20
-CHUNK_BYTES = 8 << 20
-ENTRY_BYTES = 48 << 20
+CHUNK_BYTES = 6 << 20
+#: Bytes of text whose anchors make a bucket, and whose surroundings a task compares.
+ENTRY_BYTES = 16 << 20
 #: Bytes that are hashed at a time.
 STRIDE = 1 << 19
 #: Surroundings of an anchor within a chunk, and in all, from which it goes on string by string.
@@ -233,7 +234,7 @@ class Chunk:
         change = np.zeros(len(self.data) + 1, dtype=np.int32)
         np.add.at(change, np.concatenate(starts), 1)
         np.add.at(change, np.concatenate(ends), -1)
-        return np.cumsum(change[:-1]) > 0
+        return np.cumsum(change, out=change)[:-1] > 0
 
 
 def _chunk(table: pa.Table, length: int, buckets: int) -> Chunk:
@@ -270,13 +271,17 @@ def _send(length: int, buckets: int):
 ENTRY = ["chunk", "bucket", "anchors", "arounds", "docs", "hots"]
 
 
+def _numbers(table: pa.Table, column: str, dtype: str) -> np.ndarray:
+    """Numbers of a binary column, one row's after the other's."""
+    return np.frombuffer(b"".join(table[column].to_pylist()), dtype=dtype)
+
+
 def _judge(table: pa.Table) -> pa.Table:
     """Flags for each entry of a bucket: smaller id elsewhere, several surroundings, very many."""
     table = table.sort_by("chunk")
-    anchor = np.frombuffer(b"".join(table["anchors"].to_pylist()), dtype="<u4")
-    around = np.frombuffer(b"".join(table["arounds"].to_pylist()), dtype=np.uint64)
-    ids = np.frombuffer(b"".join(table["docs"].to_pylist()), dtype=np.int64)
-    sizes = [len(x) // 4 for x in table["anchors"].to_pylist()]
+    anchor = _numbers(table, "anchors", "<u4")
+    around, ids = _numbers(table, "arounds", "<u8"), _numbers(table, "docs", "<i8")
+    sizes = (pc.binary_length(table["anchors"]).to_numpy() // 4).tolist()
     hot = np.concatenate(
         [np.unpackbits(np.frombuffer(h, np.uint8))[:n] for h, n in zip(table["hots"].to_pylist(), sizes, strict=True)]
     ).astype(bool)
@@ -309,7 +314,7 @@ ANSWER = "chunk long, kind int, part long, flags binary, starts binary, ends bin
 
 def _sent_flags(chunk: Chunk, answers: pa.Table) -> np.ndarray:
     rows = answers.filter(pc.equal(answers["kind"], 0)).sort_by("part")
-    return np.frombuffer(b"".join(rows["flags"].to_pylist()), dtype=np.uint8)
+    return _numbers(rows, "flags", "u1")
 
 
 def _ask(length: int, buckets: int):
@@ -429,7 +434,7 @@ def _finish(length: int, buckets: int, rest: list[str], as_text: bool, fields: p
 
         def joined(kind: int, column: str, dtype: str) -> np.ndarray:
             rows = answers.filter(pc.equal(answers["kind"], kind))
-            return np.frombuffer(b"".join(rows[column].to_pylist()), dtype=dtype).astype(np.int64)
+            return _numbers(rows, column, dtype).astype(np.int64)
 
         spans = {c: joined(1, b, d) for c, b, d in (("entry", "flags", "<i8"), ("start", "starts", "<i4"), ("end", "ends", "<i4"))}
         strings = joined(2, "flags", "<i8")
@@ -476,7 +481,7 @@ def remove_repeats(
     )
     flags = entries.groupBy("bucket").applyInArrow(_judge, ANSWER)
     asked = by_chunk.cogroup(flags.groupBy("chunk")).applyInArrow(_ask(length, buckets), ASKED)
-    tasks = max(1, -(-size // (4 * CHUNK_BYTES)))
+    tasks = buckets
     dealt = asked.withColumn("task", F.pmod(F.xxhash64("key", "second"), F.lit(tasks)).cast("int"))
     answers = dealt.groupBy("task").applyInArrow(_answer(length), ANSWER)
     kinds = [f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*renamed).schema]
