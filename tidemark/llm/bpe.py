@@ -35,13 +35,15 @@ NO_MERGE = 1 << 60
 GONE = -2
 #: Longer words look for their smallest rank in a heap, as scans would take time in the square of the length.
 SHORT_WORD = 200
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 
 #: Fixed value: the pre-tokenizer's pattern, with white space and classes by Unicode property.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
 
-#: The same for lower-cased ASCII text.
-ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\ra-z0-9]+")
+#: The same for lower-cased text of Latin-1 characters, which is in NFC as it stands.
+LATIN = r"a-zªµºß-öø-ÿ", r"0-9²³¹¼-¾"
+LATIN_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[{0}]+|[{1}]|[^ \t-\r\x85\xa0{0}{1}]+".format(*LATIN))
+NOT_LATIN = re.compile("[^\x00-\xff]")
 
 
 def byte_letters() -> list[str]:
@@ -138,7 +140,10 @@ class WordBpe:
         return out
 
     def _split(self, text: str) -> list[str]:
-        return (ASCII_PIECES if text.isascii() else self.pieces).findall(_lower(text))
+        if text.isascii() or not NOT_LATIN.search(text):
+            return LATIN_PIECES.findall(text.lower())
+        # each character's own lower case: no rule for a sigma at a word's end
+        return self.pieces.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
     def decode(self, ids: Iterable[int]) -> str:
         return " ".join(self.tokens[i] for i in ids if i in self.tokens)
@@ -169,14 +174,7 @@ class WordCache(dict):
         return found
 
     def of(self, text: str) -> list:
-        return [x for x in map(self.__getitem__, self.bpe.words(text)) if x]
-
-
-def _lower(text: str) -> str:
-    """NFC, then each character's own lower case (no rule for a sigma at a word's end)."""
-    if text.isascii():
-        return text.lower()
-    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        return list(map(self.__getitem__, self.bpe.words(text)))
 
 
 def load(path: str) -> WordBpe:
@@ -253,7 +251,7 @@ def digests(df: DataFrame, spec_path: str, doc_id: str = "doc_id", text: str = "
         def found(texts: list[str]) -> pa.Array:
             counts, encoded, decoded = [], [], []
             for value in texts:
-                own = cache.of(value)
+                own = [x for x in cache.of(value) if x]
                 counts.append(sum([x[0] for x in own]))
                 encoded.append(_sha256(" ".join([x[1] for x in own])))
                 decoded.append(_sha256(" ".join([x[2] for x in own])))

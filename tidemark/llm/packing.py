@@ -36,6 +36,8 @@ END_ID = 1
 #: Combinations of three lengths are enumerated among this many lengths with the most tokens.
 TRIPLE_LENGTHS = 96
 SWEEPS = 60
+#: Pieces of rests that are cut go to all tasks up to this many, some 100 bytes each; beyond it, by a shuffle.
+BROADCAST_CUTS = 100_000
 
 
 class LibraryBpe(WordBpe):
@@ -183,26 +185,22 @@ def tokenized(df: DataFrame, spec_path: str, window: int, doc_id: str, text: str
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows: dict[str, list] = {k: [] for k in ("row", "n", "whole_rank", "rest", "rest_rank", "crcs", "ids")}
-            for value in batch.column(1).to_pylist():
-                blob = b"".join(cache.of(value)) + end
+            rows: list[tuple] = []
+            blobs = [b"".join([*cache.of(value), end]) for value in batch.column(1).to_pylist()]
+            for blob in blobs:
                 n = len(blob) // 4
                 rest = n % window
-                rows["row"].append(number)
-                rows["n"].append(n)
-                rows["whole_rank"].append(wholes)
-                rows["rest"].append(rest)
-                rows["rest_rank"].append(int(seen[rest]))
-                rows["crcs"].append([zlib.crc32(blob[i : i + 4 * window]) for i in range(0, 4 * n, 4 * window)])
-                rows["ids"].append(np.frombuffer(blob, dtype="<u4").astype(np.int64))
+                crcs = [zlib.crc32(blob[i : i + 4 * window]) for i in range(0, 4 * n, 4 * window)]
+                rows.append((part, number, n, wholes, rest, int(seen[rest]), crcs))
                 number, wholes = number + 1, wholes + n // window
                 seen[rest] += 1
+            *numbers, crcs = zip(*rows, strict=True)
+            offsets = np.concatenate([[0], np.cumsum(numbers[2])]).astype(np.int32)
             columns = [
                 batch.column(0),
-                pa.array([part] * batch.num_rows, pa.int64()),
-                *(pa.array(rows[k], pa.int64()) for k in ("row", "n", "whole_rank", "rest", "rest_rank")),
-                pa.array(rows["crcs"], pa.list_(pa.int64())),
-                pa.array(rows["ids"], pa.list_(pa.int32())),
+                *(pa.array(x, pa.int64()) for x in numbers),
+                pa.array(crcs, pa.list_(pa.int64())),
+                pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(blobs), dtype="<i4"))),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -241,6 +239,9 @@ def pack(
     placed = cut_lineage(placed)
     uncut = placed.where(F.col("crc").isNotNull()).withColumnRenamed("crc", "ids_crc32").drop("part", "row")
     cuts = placed.where(F.col("crc").isNull()).drop("crc")
+    # each window of the stream cuts one rest at most, into two pieces; its last ones more
+    if 2 * (plan.stream_tokens // window + window.bit_length()) <= BROADCAST_CUTS:
+        cuts = F.broadcast(cuts)
     ids = kept.select("part", "row", "ids")
     cut = ids.join(cuts, ["part", "row"]).mapInArrow(_checksums(uncut.columns), uncut.schema)
     return uncut.unionByName(cut).select(
