@@ -173,78 +173,95 @@ def _common(a: str, b: str) -> int:
     return min(len(a), len(b))
 
 
-def nearest_pages(keyed: DataFrame, partitions: int) -> DataFrame:
-    """(key, near): each row's neighbour by path within its host; rows alone in their host are left out.
+def _nearer(row: tuple, before: tuple | None, after: tuple | None) -> tuple | None:
+    """The neighbour, (host, path, ...), in the row's own host with the longer common path; the earlier of equals."""
+    near = [x for x in (before, after) if x is not None and x[0] == row[0]]
+    return max(near, key=lambda x: _common(row[1], x[1])) if near else None
 
-    Rows are dealt by range and sorted, so that a large host spreads over tasks.
-    Each task gives the driver its first and last row, which meet their
-    neighbours of other tasks there: two short rows for each task.
-    """
-    ordered = keyed.select("key", "host", "path").repartitionByRange(partitions, "host", "path", "key")
-    ordered = ordered.sortWithinPartitions("host", "path", "key")
-
-    def run(batches):
-        part, held = TaskContext.get().partitionId(), []
-        rows: list[tuple] = []
-
-        def emit(last: bool) -> None:
-            # held: up to three rows in order; the middle one's neighbours are both known
-            if len(held) == 3:
-                rows.append(_link(held[0], held[1], held[2]))
-                del held[0]
 
-        first = None
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if first is None:
-                    first = row
-                held.append(row)
-                if len(held) == 2 and first is held[0]:
-                    rows.append((part, 0, *first, *held[1]))
-                emit(False)
-        if first is not None and len(held) == 1:
-            rows.append((part, 2, *first, None, None, None))
-        elif len(held) == 2:
-            rows.append((part, 1, *held[1], *held[0]))
-        names = ["part", "kind", "key", "host", "path", "near", "near_host", "near_path"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()]
-        columns = list(zip(*rows, strict=True)) or [()] * 8
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names
-        )
-
-    def _link(before, row, after):
-        near = _nearer(row, before, after)
-        return (None, 3, *row, *(near or (None, None, None)))
-
-    schema = "part long, kind long, key long, host string, path string, near long, near_host string, near_path string"
-    linked = cut_lineage(ordered.mapInArrow(run, schema))
-    borders = linked.where("kind < 3").orderBy("part", "kind").collect()
-    spark = keyed.sparkSession
-    pairs = [(k, n) for k, n in _border_pairs(borders) if n is not None]
-    fixed = spark.createDataFrame(pairs, "key long, near long")
-    return linked.where("kind = 3 and near is not null").select("key", "near").unionAll(fixed)
-
-
-def _nearer(row, before, after):
-    """The neighbour in the row's own host with the longer common path; the earlier one among equals."""
-    near = [x for x in (before, after) if x is not None and x[1] == row[1]]
-    return max(near, key=lambda x: _common(row[2], x[2])) if near else None
-
-
-def _border_pairs(borders):
-    """Neighbours of the tasks' first (kind 0), last (1) and only (2) rows, in order of the tasks."""
-    own = [(r["key"], r["host"], r["path"]) for r in borders]
+def _border_pairs(borders: list) -> list[tuple[int, int | None]]:
+    """(key, key of the nearest) of the tasks' first (kind 0), last (1) and only (2) rows, in order of the tasks."""
+    own = [(r["host"], r["path"], r["key"]) for r in borders]
+    pairs = []
     for i, r in enumerate(borders):
-        inner = None if r["near"] is None else (r["near"], r["near_host"], r["near_path"])
+        inner = None if r["inner_key"] is None else (r["host"], r["inner_path"], r["inner_key"])
         before = inner if r["kind"] == 1 else own[i - 1] if i else None
         after = inner if r["kind"] == 0 else own[i + 1] if i + 1 < len(own) else None
         near = _nearer(own[i], before, after)
-        yield own[i][0], near and near[0]
+        pairs.append((r["key"], near and near[2]))
+    return pairs
+
+
+def _neighbours(batches):
+    """Texts of pages that come sorted by host and path; a task's first and last page are left for later.
+
+    Rows (kind 3) have their text.  The others have their blocks, and the nearest they have in the task.
+    """
+    part, rows, held = TaskContext.get().partitionId(), [], []
+
+    def made(page, near) -> tuple:
+        host, path, key, page_id, url, own = page
+        text = "\n".join(main_lines(own, near and [b[0] for b in near[5]]))
+        return (part, 3, key, page_id, url, text, *[None] * 8)
+
+    def border(kind, page, inner) -> tuple:
+        host, path, key, page_id, url, own = page
+        inner = inner if inner and inner[0] == host else None
+        parts = [[b[i] for b in own] for i in range(3)]
+        near = (inner[2], inner[1], [b[0] for b in inner[5]]) if inner else (None, None, None)
+        return (part, kind, key, page_id, url, None, host, path, *parts, *near)
+
+    def batch_of(rows) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True)
+        kinds = [pa.int64(), pa.int32(), pa.int64(), page_kind, pa.string(), pa.string(), pa.string(), pa.string()]
+        kinds += [pa.list_(pa.string()), pa.list_(pa.bool_()), pa.list_(pa.bool_()), pa.int64(), pa.string(), pa.list_(pa.string())]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=NAMES)
+
+    page_kind, seen = None, 0
+    for batch in batches:
+        page_kind = batch.column(3).type
+        for *page, markup in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            held.append((*page, blocks(markup)))
+            seen += 1
+            if len(held) == 3:
+                before, page, after = held
+                rows.append(made(page, _nearer(page, before, after)))
+                del held[0]
+            elif seen == 2:
+                rows.append(border(0, held[0], held[1]))
+        if rows:
+            yield batch_of(rows)
+            rows = []
+    if seen == 1:
+        yield batch_of([border(2, held[0], None)])
+    elif seen:
+        yield batch_of([border(1, held[1], held[0])])
+
+
+NAMES = (
+    "part kind key page_id url text host path lines chrome article inner_key inner_path inner_lines".split()
+)
+
+
+def _differences(batches):
+    for batch in batches:
+        if batch.num_rows:
+            columns = [batch.column(i).to_pylist() for i in range(2, 6)]
+            texts = [
+                "\n".join(main_lines(list(zip(lines, chrome, article, strict=True)), other))
+                for lines, chrome, article, other in zip(*columns, strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", markup: str = "html") -> DataFrame:
-    """(page_id, url, text, n_chars) of every page."""
+    """(page_id, url, text, n_chars) of every page.
+
+    Pages are dealt by range of host and path and sorted, so that a large host
+    spreads over tasks and neighbours lie side by side.  Each task's first and
+    last page meet their neighbours of other tasks afterwards: their addresses in
+    the driver, two for each task, and their blocks by a join.
+    """
     spark = pages.sparkSession
     bounded_batches(spark)
     address = F.coalesce(F.col("url"), F.lit(""))
@@ -253,47 +270,29 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", markup
         F.col(url).cast("string").alias("url"),
         text_or_empty(markup).alias("markup"),
     ).select(
+        host_of(F.col("url")).alias("host"),
+        F.regexp_extract(address, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)?([^#]*)", 1).alias("path"),
         F.monotonically_increasing_id().alias("key"),
         "page_id",
         "url",
-        host_of(F.col("url")).alias("host"),
-        F.regexp_extract(address, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)?([^#]*)", 1).alias("path"),
         "markup",
     )
+    order = ["host", "path", "key"]
+    dealt = read.repartitionByRange(max(1, read.rdd.getNumPartitions()), *order).sortWithinPartitions(*order)
     kind = read.schema["page_id"].dataType.simpleString()
-    names = ["key", "page_id", "url", "host", "path", "lines", "chrome", "article"]
-
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                cut = [blocks(m) for m in batch.column(5).to_pylist()]
-                flags = [pa.array([[b[i] for b in own] for own in cut], pa.list_(pa.bool_())) for i in (1, 2)]
-                lines = pa.array([[b[0] for b in own] for own in cut], pa.list_(pa.string()))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:5], lines, *flags], names=names)
-
     schema = (
-        f"key long, page_id {kind}, url string, host string, path string, "
-        "lines array<string>, chrome array<boolean>, article array<boolean>"
-    )
-    cut = cut_lineage(read.mapInArrow(run, schema))
-    near = nearest_pages(cut, max(1, cut.rdd.getNumPartitions()))
-    others = cut.select(F.col("key").alias("near"), F.col("lines").alias("other"))
-    paired = cut.join(near, "key", "left").join(others, "near", "left").select(
-        "page_id", "url", "lines", "chrome", "article", "other"
+        f"part long, kind int, key long, page_id {kind}, url string, text string, host string, path string, "
+        "lines array<string>, chrome array<boolean>, article array<boolean>, "
+        "inner_key long, inner_path string, inner_lines array<string>"
     )
-
-    def difference(batches):
-        for batch in batches:
-            if batch.num_rows:
-                columns = [batch.column(i).to_pylist() for i in range(2, 6)]
-                texts = [
-                    "\n".join(main_lines(list(zip(lines, chrome, article, strict=True)), other))
-                    for lines, chrome, article, other in zip(*columns, strict=True)
-                ]
-                sizes = pa.array([len(t) for t in texts], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:2], pa.array(texts, pa.string()), sizes],
-                    names=["page_id", "url", "text", "n_chars"],
-                )
-
-    return paired.mapInArrow(difference, f"page_id {kind}, url string, text string, n_chars long")
+    cut = cut_lineage(dealt.mapInArrow(_neighbours, schema))
+    borders = cut.where("kind < 3")
+    listed = borders.select("part", "kind", "key", "host", "path", "inner_key", "inner_path")
+    pairs = spark.createDataFrame(_border_pairs(listed.orderBy("part", "kind").collect()), "key long, near long")
+    others = borders.select(F.col("key").alias("near"), F.col("lines").alias("other"))
+    met = borders.join(pairs, "key").join(others, "near", "left")
+    other = F.when(F.col("near") == F.col("inner_key"), F.col("inner_lines")).otherwise(F.col("other"))
+    met = met.select("page_id", "url", "lines", "chrome", "article", other.alias("other"))
+    late = met.mapInArrow(_differences, f"page_id {kind}, url string, text string")
+    found = cut.where("kind = 3").select("page_id", "url", "text").unionAll(late)
+    return found.withColumn("n_chars", F.length("text").cast("long"))
