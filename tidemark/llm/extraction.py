@@ -215,7 +215,7 @@ def _neighbours(batches):
         columns = zip(*rows, strict=True)
         kinds = [pa.int64(), pa.int32(), pa.int64(), page_kind, pa.string(), pa.string(), pa.string(), pa.string()]
         kinds += [pa.list_(pa.string()), pa.list_(pa.bool_()), pa.list_(pa.bool_()), pa.int64(), pa.string(), pa.list_(pa.string())]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=NAMES)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=COLUMNS)
 
     page_kind, seen = None, 0
     for batch in batches:
@@ -238,7 +238,7 @@ def _neighbours(batches):
         yield batch_of([border(1, held[1], held[0])])
 
 
-NAMES = (
+COLUMNS = (
     "part kind key page_id url text host path lines chrome article inner_key inner_path inner_lines".split()
 )
 
