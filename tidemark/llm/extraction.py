@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -173,6 +174,23 @@ def _common(a: str, b: str) -> int:
     return min(len(a), len(b))
 
 
+def _pack(own: list[tuple[str, bool, bool]]) -> bytes:
+    """Blocks on their way through the shuffle: a digit for both flags and the text, which has no line end."""
+    return zlib.compress("\n".join([f"{2 * chrome + article}{text}" for text, chrome, article in own]).encode(), 1)
+
+
+def _unpack(data: bytes) -> list[tuple[str, bool, bool]]:
+    lines = zlib.decompress(data).decode()
+    return [(x[1:], x[0] in "23", x[0] in "13") for x in lines.split("\n")] if lines else []
+
+
+def _packed_blocks(batches):
+    for batch in batches:
+        if batch.num_rows:
+            packed = pa.array([_pack(blocks(m)) for m in batch.column(5).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], packed], names=[*batch.schema.names[:5], "packed"])
+
+
 def _nearer(row: tuple, before: tuple | None, after: tuple | None) -> tuple | None:
     """The neighbour, (host, path, ...), in the row's own host with the longer common path; the earlier of equals."""
     near = [x for x in (before, after) if x is not None and x[0] == row[0]]
@@ -220,8 +238,8 @@ def _neighbours(batches):
     page_kind, seen = None, 0
     for batch in batches:
         page_kind = batch.column(3).type
-        for *page, markup in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            held.append((*page, blocks(markup)))
+        for *page, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            held.append((*page, _unpack(packed)))
             seen += 1
             if len(held) == 3:
                 before, page, after = held
@@ -277,9 +295,11 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", markup
         "url",
         "markup",
     )
-    order = ["host", "path", "key"]
-    dealt = read.repartitionByRange(max(1, read.rdd.getNumPartitions()), *order).sortWithinPartitions(*order)
-    kind = read.schema["page_id"].dataType.simpleString()
+    order, kind = ["host", "path", "key"], read.schema["page_id"].dataType.simpleString()
+    packed = read.mapInArrow(
+        _packed_blocks, f"host string, path string, key long, page_id {kind}, url string, packed binary"
+    )
+    dealt = packed.repartitionByRange(max(1, read.rdd.getNumPartitions()), *order).sortWithinPartitions(*order)
     schema = (
         f"part long, kind int, key long, page_id {kind}, url string, text string, host string, path string, "
         "lines array<string>, chrome array<boolean>, article array<boolean>, "
