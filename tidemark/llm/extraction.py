@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded_batches, host_of, text_or_empty
-from tidemark.session import cut_lineage
+from tidemark.session import fresh_path
 
 #: From this share of a page's characters on, a shared text means a copy of the same article.
 COPY_SHARE = 0.8
@@ -305,7 +305,9 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", markup
         "lines array<string>, chrome array<boolean>, article array<boolean>, "
         "inner_key long, inner_path string, inner_lines array<string>"
     )
-    cut = cut_lineage(dealt.mapInArrow(_neighbours, schema))
+    path = fresh_path(spark, "pages")
+    dealt.mapInArrow(_neighbours, schema).write.option("compression", "zstd").parquet(path)
+    cut = spark.read.parquet(path)
     borders = cut.where("kind < 3")
     listed = borders.select("part", "kind", "key", "host", "path", "inner_key", "inner_path")
     pairs = spark.createDataFrame(_border_pairs(listed.orderBy("part", "kind").collect()), "key long, near long")
