@@ -35,7 +35,7 @@ NO_MERGE = 1 << 60
 GONE = -2
 #: Longer words look for their smallest rank in a heap, as scans would take time in the square of the length.
 SHORT_WORD = 200
-CACHED_WORDS = 250_000
+CACHED_WORDS = 150_000
 
 #: Fixed value: the pre-tokenizer's pattern, with white space and classes by Unicode property.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"

@@ -13,7 +13,7 @@ from pyspark.sql.types import DataType, StructField, StructType
 from tidemark.session import cut_lineage
 
 FOLDS = 5
-ARROW_BYTES = 16 << 20
+ARROW_BYTES = 8 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:

@@ -47,6 +47,10 @@ class LibraryBpe(WordBpe):
         super().__init__(spec)
         self.model = Tokenizer.from_str(spec).model
 
+    def id_type(self) -> str:
+        """Bytes in which any id fits, the end token's included."""
+        return "<u2" if max(END_ID, *self.tokens) < 1 << 16 else "<u4"
+
     def ids(self, word: str) -> list[int]:
         if word in self.special:
             return [self.special[word]]
@@ -179,7 +183,9 @@ def tokenized(df: DataFrame, spec_path: str, window: int, doc_id: str, text: str
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def run(batches):
-        cache = encoder_of(spec, LibraryBpe).cached("bytes", lambda ids: np.array(ids, dtype="<u4").tobytes())
+        encoder = encoder_of(spec, LibraryBpe)
+        kept_as = encoder.id_type()
+        cache = encoder.cached("bytes", lambda ids: np.array(ids, dtype="<u4").tobytes())
         part, number, wholes = TaskContext.get().partitionId(), 0, 0
         seen = np.zeros(window, dtype=np.int64)
         for batch in batches:
@@ -195,12 +201,12 @@ def tokenized(df: DataFrame, spec_path: str, window: int, doc_id: str, text: str
                 number, wholes = number + 1, wholes + n // window
                 seen[rest] += 1
             *numbers, crcs = zip(*rows, strict=True)
-            offsets = np.concatenate([[0], np.cumsum(numbers[2])]).astype(np.int32)
+            narrow = [np.frombuffer(blob, dtype="<u4").astype(kept_as).tobytes() for blob in blobs]
             columns = [
                 batch.column(0),
                 *(pa.array(x, pa.int64()) for x in numbers),
                 pa.array(crcs, pa.list_(pa.int64())),
-                pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(blobs), dtype="<i4"))),
+                pa.array(narrow, pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -210,7 +216,7 @@ def tokenized(df: DataFrame, spec_path: str, window: int, doc_id: str, text: str
     return slim.mapInArrow(
         run,
         f"doc_id {kind}, part long, row long, n long, whole_rank long, rest long, rest_rank long, "
-        "crcs array<long>, ids array<int>",
+        "crcs array<long>, ids binary",
     )
 
 
@@ -317,10 +323,10 @@ def _checksums(names: list[str]):
                 continue
             get = {c: batch.column(batch.schema.get_field_index(c)) for c in batch.schema.names}
             crcs = []
-            for ids, start, length in zip(
-                get["ids"], get["start"].to_pylist(), get["length"].to_pylist(), strict=True
+            for ids, start, length, n in zip(
+                *(get[c].to_pylist() for c in ("ids", "start", "length", "doc_tokens")), strict=True
             ):
-                own = ids.values.to_numpy(zero_copy_only=False)[start : start + length]
+                own = np.frombuffer(ids, dtype=f"<u{len(ids) // n}")[start : start + length]
                 crcs.append(zlib.crc32(own.astype("<u4").tobytes()))
             get["ids_crc32"] = pa.array(crcs, pa.int64())
             yield pa.RecordBatch.from_arrays([get[c] for c in names], names=names)

@@ -37,9 +37,9 @@ from tidemark.llm.suffix_sort import Suffixes, powers
 
 LENGTH = 50
 ANCHOR = 20
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 3 << 20
 #: Bytes of text whose anchors make a bucket, and whose surroundings a task compares.
-ENTRY_BYTES = 16 << 20
+ENTRY_BYTES = 8 << 20
 #: Bytes that are hashed at a time.
 STRIDE = 1 << 19
 #: Surroundings of an anchor within a chunk, and in all, from which it goes on string by string.
