@@ -49,7 +49,8 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     kept = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("times")
     )
-    kept = cut_lineage(kept)
+    # the same plan at every size: the kept ids grow with the documents
+    kept = cut_lineage(kept).hint("merge")
     once = docs.join(kept.where("times = 1").select("doc_id"), "doc_id", "left_semi")
     several = docs.join(kept.where("times > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     unnamed = docs.where(F.col("doc_id").isNull())
