@@ -375,3 +375,28 @@ def test_references(spark):
     asked = spine.drop("at").withColumn("r", F.lit(5))
     online = retrieval.online_features(asked, views, ["z:w"], F.lit(C), on_demand=[odd]).first()
     assert online.asDict() == {"k": "a", "r": 5, "x__status": "PRESENT", "w": 6}
+
+
+def test_writers_of_one_table_keep_apart(spark, tmp_path):
+    path = str(tmp_path / "online")
+    rows = lambda data: spark.createDataFrame(data, "k string, ts long, v int")
+    mat.write_online(rows([("a", 1, 1), ("b", 1, 1)]), path, ["k"], "ts")
+    mat.write_online(rows([("c", 1, 1)]), path, ["k"], "ts", batch=0, writer="stream")
+    mat.write_online(rows([("d", 1, 1)]), path, ["k"], "ts", batch=0, writer="other")
+    mat.write_online(rows([("c", 1, 2)]), path, ["k"], "ts", batch=0, writer="stream")
+    got = {r.k: r.v for r in mat.read_online(spark, path, ["k"], "ts").collect()}
+    assert got == {"a": 1, "b": 1, "c": 2, "d": 1}
+
+
+def test_list_updates_of_one_key_are_gathered(spark):
+    stored = spark.createDataFrame([("a", [1])], "k string, xs array<int>")
+    more = spark.createDataFrame([("a", 2, [3]), ("a", 1, [2]), ("b", 1, [9])], "k string, at int, xs array<int>")
+    got = mat.list_append_update(stored, more, ["k"], "xs", order=["at"]).collect()
+    assert sorted((r.k, r.xs) for r in got) == [("a", [1, 2, 3]), ("b", [9])]
+
+
+def test_transform_on_write_keeps_rows_with_one_key(spark):
+    df = spark.createDataFrame([(1, i) for i in range(50)], "k int, v int")
+    outputs = T.StructType().add("k", "integer").add("w", "integer")
+    made = tr.transform_on_write(df, lambda b: b.assign(w=b.v * 2)[["k", "w"]], outputs, ["k"])
+    assert sorted((r.v, r.w) for r in made.collect()) == [(i, 2 * i) for i in range(50)]

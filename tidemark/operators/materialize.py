@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from tidemark.operators.quality import validate_schema
 from tidemark.operators.windows import dedup_latest, extreme_per_key, latest_per_key
 from tidemark.spec import ViewSpec
 
-BATCH = "push_batch"
+BATCH, WRITER, COMMITTED = "push_batch", "push_writer", "push_committed"
 
 
 def materialize(
@@ -120,23 +121,34 @@ def write_online(
     ts: str,
     created: str | None = None,
     batch: int | None = None,
+    writer: str | None = None,
 ) -> None:
     """Add one batch's newest rows to the online table at ``path``.
 
     A write costs only its own rows; :func:`read_online` applies the upsert
-    rule over all batches.  Writing a batch number again replaces that batch,
-    so a retried micro-batch leaves no second copy.
+    rule over all batches.  Each writer (a stream, a run) has folders of its own,
+    so writers never replace each other's batches.  A writer that repeats a batch
+    number replaces that batch, so a retried micro-batch leaves no second copy.
+    Without a number the write is a batch of a new writer.
     """
     if batch is None:
-        batch = _next_batch(df.sparkSession, path)
-    newest = dedup_latest(df, keys, ts, created)
-    newest.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch}")
+        writer, batch = writer or new_writer("push"), 0
+    newest = dedup_latest(df, keys, ts, created).withColumn(COMMITTED, F.lit(time.time_ns() // 1000))
+    folder = f"{path}/{WRITER}={writer or 'main'}/{BATCH}={batch}"
+    newest.write.mode("overwrite").parquet(folder)
+
+
+def new_writer(kind: str) -> str:
+    """A name that no other writer has."""
+    return f"{kind}-{uuid.uuid4().hex}"
 
 
 def read_online(spark: SparkSession, path: str, keys: Sequence[str], ts: str) -> DataFrame:
     """Newest row per key over all batches; at equal event times the earlier write stays."""
-    rows = spark.read.parquet(path).withColumn(BATCH, -F.col(BATCH).cast("long"))
-    return extreme_per_key(rows, keys, [ts, BATCH], newest=True).drop(BATCH)
+    rows = spark.read.parquet(path).withColumn(COMMITTED, -F.col(COMMITTED))
+    rows = rows.withColumn(BATCH, -F.col(BATCH).cast("long"))
+    order = [ts, COMMITTED, BATCH, WRITER]
+    return extreme_per_key(rows, keys, order, newest=True).drop(COMMITTED, BATCH, WRITER)
 
 
 def compact_online(
@@ -146,14 +158,6 @@ def compact_online(
     write_online(read_online(spark, path, keys, ts), target, keys, ts, batch=0)
 
 
-def _next_batch(spark: SparkSession, path: str) -> int:
-    try:
-        newest = spark.read.parquet(path).agg(F.max(BATCH)).first()[0]
-    except AnalysisException:
-        return 0
-    return 0 if newest is None else int(newest) + 1
-
-
 def online_lookup(requests: DataFrame, latest: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Each request row with its key's stored row; repeated keys are read once."""
     return requests.join(latest, list(keys), "left")
@@ -174,10 +178,22 @@ def lookup_status(
 
 
 def list_append_update(
-    stored: DataFrame, updates: DataFrame, keys: Sequence[str], column: str, prepend: bool = False
+    stored: DataFrame,
+    updates: DataFrame,
+    keys: Sequence[str],
+    column: str,
+    prepend: bool = False,
+    order: Sequence[str] = (),
 ) -> DataFrame:
-    """Add values to a stored list; a key on one side only keeps that side."""
-    renamed = updates.select(*keys, F.col(column).alias("__added"))
+    """Add values to a stored list; a key on one side only keeps that side.
+
+    Several updates of a key are added one after the other, in the order of the
+    ``order`` columns and then of the lists themselves.
+    """
+    gathered = F.array_sort(F.collect_list(F.struct(*order, F.col(column).alias("__list"))))
+    renamed = updates.where(F.col(column).isNotNull()).groupBy(*keys).agg(
+        F.flatten(F.transform(gathered, lambda x: x["__list"])).alias("__added")
+    )
     both = stored.join(renamed, list(keys), "full")
     kind = stored.schema[column].dataType
     empty = F.array().cast(kind)

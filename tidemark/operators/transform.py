@@ -72,22 +72,23 @@ def transform_on_write(
 ) -> DataFrame:
     """Transform before a write, keeping the inputs the function does not replace.
 
-    Without keys the function must return its rows in step with the input.
-    With keys the row count may change, and inputs are joined back by key.
+    A batch whose row count stays keeps its rows in step.  Where the count
+    changes, inputs are merged by ``keys``, which must not repeat in the batch.
     """
     made = outputs.fieldNames()
     kept = [f for f in df.schema if f.name not in made]
-    if keys:
-        left = transform_pandas(df, function, outputs)
-        inputs = df.select(*keys, *[f.name for f in kept if f.name not in keys])
-        return left.join(inputs, list(keys), "left")
 
     def run(batch: pd.DataFrame) -> pd.DataFrame:
         result = function(batch.copy())
-        if len(result) != len(batch):
+        if len(result) == len(batch):
+            columns = {n: result[n].to_numpy() for n in made}
+            return pd.DataFrame({**columns, **{f.name: batch[f.name].to_numpy() for f in kept}})
+        if not keys:
             raise ValueError("the row count changed; give the join keys")
-        columns = {n: result[n].to_numpy() for n in made}
-        return pd.DataFrame({**columns, **{f.name: batch[f.name].to_numpy() for f in kept}})
+        if batch.duplicated(list(keys)).any():
+            raise ValueError("the row count changed and the join keys repeat")
+        inputs = batch[[*keys, *(f.name for f in kept if f.name not in keys)]]
+        return result.merge(inputs, on=list(keys), how="left")[[*made, *(f.name for f in kept)]]
 
     return transform_pandas(df, run, T.StructType([*outputs.fields, *kept]))
 

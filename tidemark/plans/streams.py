@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import tiles
-from tidemark.operators.materialize import read_online
+from tidemark.operators.materialize import read_online, write_online
 from tidemark.plans.aggregates import HOPS, SLIDING_SQL, rounded
 from tidemark.plans.catalog import query
 from tidemark.plans.retrieval import DAY, stamp
@@ -49,6 +49,21 @@ def stream_ingest(spark, root):
     return read_online(spark, path, ["user_id"], "ts").select(*COLUMNS)
 
 
+@query("online_writers", NEWEST.format(value="value"))
+def online_writers(spark, root):
+    """A push, a stream and a second push into one table: each has keys that no other has."""
+    path, source = fresh_path(spark, "writers-online"), fresh_path(spark, "writers-source")
+    events = table(spark, root, "events").select(*COLUMNS)
+    parts = [events.filter(F.pmod("user_id", F.lit(3)) == i) for i in range(3)]
+    write_online(parts[0], path, ["user_id"], "ts")
+    parts[1].write.parquet(source)
+    write = ingest.microbatch_latest(["user_id"], "ts", online_path=path)
+    ingest.stream_ingest(ingest.file_stream(spark, source, events.schema), write)
+    write_online(parts[2].withColumn("created", F.current_timestamp()), path, ["user_id"], "ts")
+    stored = read_online(spark, path, ["user_id"], "ts")
+    return stored.select(*COLUMNS)
+
+
 @query("microbatch_latest", NEWEST.format(value="value"))
 def microbatch_latest(spark, root):
     path = fresh_path(spark, "microbatch")

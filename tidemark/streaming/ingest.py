@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import tiles
 from tidemark.operators.aggregate import aggregate_column
-from tidemark.operators.materialize import BATCH, write_online
+from tidemark.operators.materialize import BATCH, new_writer, write_online
 from tidemark.operators.windows import dedup_latest, extreme_per_key
 from tidemark.session import fresh_path
 from tidemark.spec import Aggregation
@@ -71,8 +71,14 @@ def microbatch_latest(
     offline_path: str | None = None,
     created: str = "created",
     preprocess: Callable[[DataFrame], DataFrame] | None = None,
+    writer: str | None = None,
 ) -> BatchWriter:
-    """Writer of each batch's newest row per key, stamped with its creation time."""
+    """Writer of each batch's newest row per key, stamped with its creation time.
+
+    ``writer`` names the stream, so that it replaces its own batch when it is
+    started again from its checkpoint; other writers' batches stay apart.
+    """
+    name = writer or new_writer("stream")
 
     def write(batch: DataFrame, number: int) -> None:
         rows = preprocess(batch) if preprocess else batch
@@ -80,7 +86,7 @@ def microbatch_latest(
         if offline_path:
             newest.write.mode("overwrite").parquet(f"{offline_path}/{BATCH}={number}")
         if online_path:
-            write_online(newest, online_path, keys, ts, batch=number)
+            write_online(newest, online_path, keys, ts, batch=number, writer=name)
 
     return write
 
