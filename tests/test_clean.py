@@ -55,16 +55,27 @@ def test_reasoning_hash(spark):
         blank.select(clean.reasoning_hash(*cols)).collect()
 
 
-def test_eu_columns_only_under_the_eu_policy(spark):
-    df = spark.range(1)
-    args = ("trace", "arize", F.lit("o"), F.lit("n"), "agent")
-    assert clean.eu_columns(df, "US", *args).columns == ["id"]
-    row = clean.eu_columns(df, "eu", *args).first()
-    assert row.eu_llm_monitoring_tool == "arize" and row.eu_llm_trace_id == "trace"
-    with pytest.raises(ValueError):
-        clean.eu_columns(df, "EU", " ", *args[1:])
+def test_eu_record_only_under_the_eu_policy(spark):
+    rows = [("eu", "trace", "Arize"), ("US", "trace", "arize"), ("US", " ", "arize"), ("EU", "t", "other"), (None, "t", "arize")]
+    df = spark.createDataFrame(rows, "p string, t string, m string")
+    record = clean.eu_record(F.col("p"), F.col("t"), F.col("m"), F.lit("o"), F.lit("n"), F.lit("a"))
+    got = [r.r for r in df.select(record.alias("r")).collect()]
+    assert got[1] is None and got[2] is None and got[4] is None
+    assert got[0].eu_llm_monitoring_tool == "arize" and got[0].eu_llm_trace_id == "trace"
+    assert got[0].eu_date_reasoning_hash == hashlib.sha256(b"trace|o|n|eu|a").hexdigest()
+    assert got[3].eu_llm_monitoring_tool == "langsmith"
+    with pytest.raises(Exception, match="trace id"):
+        df.limit(1).withColumn("t", F.lit(" ")).select(record).collect()
+
+
+def test_shifted_time_keeps_its_record(spark):
+    df = spark.sql("SELECT TIMESTAMP '2024-01-01 00:00:00' AS ts")
+    free = clean.shift_event_time(df, "ts", 1, allowed=True, policy="US").first()
+    assert free.ts.hour == 1 and free.eu_llm_trace_id is None
+    with pytest.raises(Exception, match="trace id"):
+        clean.shift_event_time(df, "ts", 1, allowed=True, policy="EU").collect()
     with pytest.raises(PermissionError):
-        clean.shift_event_time(df, "id", 1, allowed=False)
+        clean.shift_event_time(df, "ts", 1, allowed=False)
 
 
 def test_convert_types(spark):

@@ -165,24 +165,31 @@ def test_hybrid(spark):
 # -- chunking and embedding -------------------------------------------------------------------
 
 
-def spec_chunks(content, size, overlap, tail):
-    """Chunk ends worked out by scanning every position, straight from the rule."""
-    starts, start = [], 0
-    while start < len(content):
-        end = min(start + size, len(content))
-        if end < len(content):
-            for mark in (". ", "\n\n", "\n", " "):
-                places = [
-                    p for p in range(start, end - len(mark) + 1) if content[p : p + len(mark)] == mark
-                ]
-                if places and places[-1] - start > size // 2:
-                    end = places[-1] + len(mark)
-                    break
-        starts.append((content[start:end].strip(), start, end))
-        if tail == "stop" and end == len(content):
-            break
-        start = max(end - overlap, start + 1)
-    return starts
+def allowed_end(content, begin, size):
+    """The end that the rule asks for, from all offsets at which a chunk could end."""
+    if begin + size >= len(content):
+        return len(content)
+    ends = range(begin + 1, begin + size + 1)
+    for mark in (". ", "\n\n", "\n", " "):
+        good = [e for e in ends if content[begin:e].endswith(mark) and e - len(mark) - begin > size // 2]
+        if good:
+            return good[-1]
+    return begin + size
+
+
+def holds_to_the_rule(content, chunks, size, overlap, tail):
+    """Whether chunks of one text start, end, follow each other and stop as described."""
+    begins = [begin for _, begin, _ in chunks]
+    follow = [0, *(max(end - overlap, begin + 1) for _, begin, end in chunks)]
+    reached = [end == len(content) for _, _, end in chunks]
+    return (
+        begins == follow[:-1]
+        and all(end == allowed_end(content, begin, size) for _, begin, end in chunks)
+        and all(words == content[begin:end].strip() for words, begin, end in chunks)
+        and (follow[-1] >= len(content) or tail == "stop" and reached[-1])
+        and (tail == "reference" or not any(reached[:-1]))
+        and all(begin < len(content) for begin in begins)
+    )
 
 
 @pytest.mark.parametrize("tail", ["stop", "reference"])
@@ -193,10 +200,12 @@ def test_chunks(spark, tail):
     docs.append((60, None))
     df = spark.createDataFrame(docs, "id long, t string").repartition(4)
     got = text.chunk_text(df, "id", "t", 50, 10, tail=tail, rows_per_split=9).orderBy("chunk_id")
-    want = [(i, *c) for i, t in docs for c in spec_chunks(t or "", 50, 10, tail)]
     rows = [tuple(r) for r in got.collect()]
-    assert [r[0] for r in rows] == list(range(len(want)))
-    assert [r[1:] for r in rows] == want
+    assert [r[0] for r in rows] == list(range(len(rows)))
+    assert [r[1] for r in rows] == sorted(r[1] for r in rows)
+    for i, content in docs:
+        own = [r[2:] for r in rows if r[1] == i]
+        assert holds_to_the_rule(content or "", own, 50, 10, tail)
 
 
 def test_chunk_size_must_be_positive(spark):

@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 from tidemark.operators.splits import ordered_total, row_index
 from tidemark.operators.windows import first_per_key
 
+# Columns recorded about a date moved under the EU policy, and the monitoring
+# tools that may be named there, the usual one first.
+EU_COLUMNS = ("eu_date_reasoning_hash", "eu_llm_trace_id", "eu_llm_monitoring_tool")
+EU_TOOLS = ("langsmith", "arize")
 DIRECT_MEDIAN_ROWS = 100_000
 
 
@@ -212,22 +216,18 @@ def reasoning_hash(
     )
 
 
-def eu_columns(
-    df: DataFrame, policy: str, trace_id: str, tool: str, old: Column, new: Column, agent: str
-) -> DataFrame:
-    """Compliance columns for the EU policy; other regions get none."""
-    if policy.upper() != "EU":
-        return df
-    if not trace_id.strip():
-        raise ValueError("the EU policy needs a trace id for a changed date")
-    digest = reasoning_hash(F.lit(trace_id), old, new, F.lit(policy), F.lit(agent))
-    return df.withColumns(
-        {
-            "eu_date_reasoning_hash": digest,
-            "eu_llm_trace_id": F.lit(trace_id),
-            "eu_llm_monitoring_tool": F.lit("arize" if tool.lower() == "arize" else "langsmith"),
-        }
+def eu_record(
+    policy: Column, trace_id: Column, tool: Column, old: Column, new: Column, agent: Column
+) -> Column:
+    """What a row under the EU policy keeps about its moved date; NULL under any other policy."""
+    named = F.lower(tool)
+    values = (
+        reasoning_hash(trace_id, old, new, policy, agent),
+        trace_id,
+        F.when(named.isin(*EU_TOOLS), named).otherwise(EU_TOOLS[0]),
     )
+    record = F.struct(*[value.alias(name) for name, value in zip(EU_COLUMNS, values)])
+    return F.when(F.upper(policy) == "EU", record)
 
 
 def shift_event_time(
@@ -241,13 +241,17 @@ def shift_event_time(
     tool: str = "langsmith",
     agent: str = "",
 ) -> DataFrame:
-    """Move the event time when the policy decision allows it, and record why under EU."""
+    """Move the event time when the policy decision allows it, and record why.
+
+    The record's columns are NULL unless the policy is the EU's, whatever its case.
+    """
     if not allowed:
         raise PermissionError(f"policy {policy!r} denies moving the event time by {hours} hours")
     moved = df.withColumn(ts, F.col(ts) + F.make_dt_interval(secs=F.lit(hours * 3600)))
     old = df.agg(F.min(ts).cast("string")).scalar()
     new = moved.agg(F.concat(F.min(ts).cast("string"), F.lit("+00:00"))).scalar()
-    return eu_columns(moved, policy, trace_id, tool, old, new, agent)
+    record = eu_record(F.lit(policy), F.lit(trace_id), F.lit(tool), old, new, F.lit(agent))
+    return moved.withColumn("__eu", record).select(*moved.columns, "__eu.*")
 
 
 def cast_complex_to_json(df: DataFrame, target: T.StructType) -> DataFrame:

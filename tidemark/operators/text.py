@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -20,27 +21,41 @@ BREAKS = (". ", "\n\n", "\n", " ")
 CHUNK = "array<struct<text:string,start_char:int,end_char:int>>"
 
 
+def break_ends(text: str) -> list[np.ndarray]:
+    """Where the text may be cut, per kind of break: the offsets just after each, ascending."""
+    return [
+        np.array([found.start() + len(mark) for found in re.finditer(f"(?={re.escape(mark)})", text)], dtype=np.int64)
+        for mark in BREAKS
+    ]
+
+
+def cut_after(ends: Sequence[np.ndarray], begin: int, size: int) -> int:
+    """End of the chunk at ``begin``: the last break that fits, of the best kind that has one in the second half."""
+    full = begin + size
+    for mark, places in zip(BREAKS, ends):
+        fitting = int(np.searchsorted(places, full, side="right"))
+        if fitting and places[fitting - 1] - len(mark) > begin + size // 2:
+            return int(places[fitting - 1])
+    return full
+
+
 def chunk_spans(text: str, size: int, overlap: int, tail: str = "stop") -> list[tuple[str, int, int]]:
     """Overlapping chunks of one text as (stripped text, start, end).
 
-    A chunk ends after the last sentence, paragraph, line or word break in its
-    second half.  ``tail="reference"`` goes on past the end of the text with
-    ever shorter chunks, one character apart, until the start reaches the end.
+    The breaks of the text are listed once and every end is looked up among them.
+    ``tail="reference"`` goes on past the end of the text with ever shorter
+    chunks, one character apart, until the start reaches the end.
     """
-    spans, start, length = [], 0, len(text)
-    while start < length:
-        end = min(start + size, length)
-        if end < length:
-            for mark in BREAKS:
-                at = text.rfind(mark, start, end)
-                if at - start > size // 2:
-                    end = at + len(mark)
-                    break
-        spans.append((text[start:end].strip(), start, end))
-        if end >= length and tail == "stop":
-            break
-        start = max(end - overlap, start + 1)
-    return spans
+    whole, ends = len(text), break_ends(text)
+
+    def bounds() -> Iterator[tuple[int, int]]:
+        begin, end = 0, 0
+        while begin < whole and (end < whole or tail == "reference"):
+            end = cut_after(ends, begin, size) if begin + size < whole else whole
+            yield begin, end
+            begin = max(begin + 1, end - overlap)
+
+    return [(text[begin:end].strip(), begin, end) for begin, end in bounds()]
 
 
 def chunk_documents(
@@ -78,23 +93,18 @@ def chunk_text(
 ) -> DataFrame:
     """One row per chunk, numbered over all documents in ``doc_order``.
 
-    A document's first number is the count of chunks before it, from a running
-    total over splits of the document order.  That total reads a checkpoint of
-    ids and counts only.
+    The chunks are cut once and written.  A document's first number is the count
+    of chunks before it, from a running total over splits of the document order
+    that reads only ids and counts of the written table.
     ``doc_order`` must name a document uniquely.
     """
-    chunked = chunk_documents(df, text, size, overlap, tail).select(doc_order, *keep, "chunks")
-    counts = cut_lineage(
-        chunked.select(F.col(doc_order).alias("__doc"), F.size("chunks").alias("__n"))
-    )
+    cut = chunk_documents(df, text, size, overlap, tail).select(doc_order, *keep, "chunks")
+    chunked = cut_lineage(cut.withColumn("__n", F.size("chunks")))
+    counts = chunked.select(F.col(doc_order).alias("__doc"), "__n")
     upto = ordered_total(counts, [], "__doc", ["__doc"], F.col("__n"), "__upto", rows_per_split)
     firsts = upto.select("__doc", (F.col("__upto") - F.col("__n")).alias("__first"))
-    # The outer form keeps Spark from testing the list for emptiness below the function
-    # that makes it, which would cut every text once more.
-    opened = (
-        chunked.join(firsts, F.col(doc_order) == F.col("__doc"))
-        .select(doc_order, *keep, "__first", F.posexplode_outer("chunks").alias("__at", "c"))
-        .filter(F.col("c").isNotNull())
+    opened = chunked.join(firsts, F.col(doc_order) == F.col("__doc")).select(
+        doc_order, *keep, "__first", F.posexplode("chunks").alias("__at", "c")
     )
     return opened.select(
         (F.col("__first") + F.col("__at")).cast("long").alias("chunk_id"), doc_order, *keep, "c.*"
