@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import aggregate, clean
 from tidemark.operators.splits import (
+    ordered_total,
     quantile_edges,
     row_index,
     running_total,
@@ -58,6 +59,23 @@ def test_row_index_with_a_long_shared_prefix(spark):
     assert got == {f"Customer#{i:06d}": i for i in range(300)}
 
 
+def test_row_index_of_addresses(spark):
+    df = spark.range(3000).select(F.format_string("http%s://host/%06d", F.when(F.col("id") % 2 == 0, "s").otherwise(""), "id").alias("w"))
+    numbered = ordered_total(df, [], ["w"], F.lit(1), "n", 100)
+    ordered = sorted(r.w for r in df.collect())
+    assert {r.w: r.n - 1 for r in numbered.collect()} == {w: n for n, w in enumerate(ordered)}
+    dealt = df.repartitionByRange(30, "w").groupBy(F.spark_partition_id()).count()
+    assert dealt.agg(F.max("count")).first()[0] <= 300
+
+
+def test_half_of_the_rows_at_one_instant(spark):
+    df = spark.range(2000).select(
+        "id", F.timestamp_seconds(F.when(F.col("id") < 1000, 500).otherwise(F.col("id"))).alias("ts")
+    )
+    got = aggregate.running_sum(df, [], "ts", F.col("id"), "t", rows_per_split=100)
+    assert {r.id: r.t for r in got.collect()} == {i: i * (i + 1) // 2 for i in range(2000)}
+
+
 def test_running_sum_by_time(spark, small):
     events = spark.read.parquet(f"{small}/events.parquet")
     one = aggregate.running_sum(events, ["event_type"], "ts", F.col("event_id"), "t")
@@ -71,7 +89,7 @@ def test_running_sum_by_time(spark, small):
 def test_split_count():
     assert split_count(0, None) == 1
     assert split_count(100, 10) == 10
-    assert split_count(10**12, 1) == 4096
+    assert split_count(10**12, 2_000_000) == 500_000
 
 
 @pytest.mark.parametrize("kind", ["even", "odd", "ties", "skewed"])
@@ -86,7 +104,6 @@ def test_bracketed_median(spark, kind):
     ordered = sorted(values)
     n = len(ordered)
     want = (ordered[(n - 1) // 2] + ordered[n // 2]) / 2
-    assert clean.exact_medians(df, ["v"], direct_rows=100)["v"] == want
     assert clean.exact_medians(df, ["v"])["v"] == want
 
 

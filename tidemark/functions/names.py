@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Schemes that name the same kind of store.
 SCHEME_ALIASES = {"postgresql": "postgres", "s3a": "s3"}
 
+# Parts of an address.
 SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 AUTHORITY = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 PATH = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.joins import outer_join_windows
 from tidemark.operators.splits import micros, ordered_total
+from tidemark.operators.windows import tie_break
 from tidemark.spec import Aggregation
 
 # Aggregate names that differ from the function they mean.
@@ -73,10 +74,13 @@ def running_sum(
     tie: Sequence[str] = (),
     rows_per_split: int | None = None,
 ) -> DataFrame:
-    """Cumulative sum per key in time order, with time splits carrying their totals on."""
+    """Cumulative sum per key in time order, with splits carrying their totals on.
+
+    Rows of one instant follow ``tie``, or all their columns where none is named.
+    """
+    order = [F.col("__us"), *(tie or tie_break(df, df.columns))]
     timed = df.withColumn("__us", micros(ts))
-    order = ["__us", *tie]
-    return ordered_total(timed, keys, "__us", order, value, out, rows_per_split).drop("__us")
+    return ordered_total(timed, keys, order, value, out, rows_per_split).drop("__us")
 
 
 def class_weight(df: DataFrame, label: str) -> DataFrame:
@@ -119,9 +123,7 @@ def roc_auc(df: DataFrame, label: str, score: str, rows_per_split: int | None =
     scores = df.groupBy(F.col(score).alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    ranked = ordered_total(
-        scores, [], "score", ["score"], F.col("neg"), "neg_upto", rows_per_split
-    )
+    ranked = ordered_total(scores, [], ["score"], F.col("neg"), "neg_upto", rows_per_split)
     wins = F.sum(F.col("pos") * (F.col("neg_upto") - F.col("neg") / 2.0))
     pairs = F.sum("pos").cast("double") * F.sum("neg")
     return ranked.agg((wins / F.when(pairs > 0, pairs)).alias("roc_auc"))

@@ -22,7 +22,6 @@ from pyspark.sql import types as T
 
 from tidemark.operators.splits import (
     BEFORE_ALL,
-    MAX_SPLITS,
     ROWS_PER_SPLIT,
     Extent,
     extents,
@@ -36,7 +35,7 @@ from tidemark.session import cut_lineage
 from tidemark.spec import ViewSpec
 
 SECOND = 1_000_000
-MAX_CROWDED = 100_000
+SPREAD = 1 << 52
 
 
 def pit_join(
@@ -52,7 +51,7 @@ def pit_join(
 ) -> DataFrame:
     """As-of join of one view onto the spine; unmatched spine rows keep NULL features.
 
-    ``window_seconds`` replaces the quantile splits by fixed time windows.
+    ``window_seconds`` groups by fixed time windows, inside which crowded keys are still split.
     ``feature_ts_as`` also returns the matched event time under that name.
     """
     return _attach(
@@ -132,15 +131,9 @@ def _attach(
         raise ValueError(f"feature names collide: {sorted(clash)}")
 
     sides = [_feature_side(_bounded(df, view, extent), view, keys) for df, view in members]
-    if window_seconds:
-        width = window_seconds * SECOND
-
-        def place(df: DataFrame) -> DataFrame:
-            return df.withColumn("__split", F.floor(F.col("__us") / width))
-
-        split, tied = True, False
-    else:
-        place, split, tied = _splits(_timed(base, spine_ts), sides, keys, rows_per_split)
+    by_size, split, tied = _splits(_timed(base, spine_ts), sides, keys, rows_per_split)
+    place = _in_windows(by_size, window_seconds) if window_seconds else by_size
+    split = split or bool(window_seconds)
     left = _timed(spine, spine_ts)
     if tied:
         joined = _join_collapsed(left, sides, keys, place)
@@ -201,8 +194,9 @@ def _splits(
     """How rows are split: a function adding ``__split``, whether it splits, and if ties fill one.
 
     Keys within one split's size stay whole.  There are at most
-    rows / rows_per_split crowded keys and never more than MAX_CROWDED, which
-    bounds the list that is broadcast to mark their rows.
+    rows / rows_per_split crowded keys; their list is a written table, which Spark
+    broadcasts only where its size is within the session's limit.  Spine rows
+    with a NULL key match nothing and are spread by hash.
     """
     limit = rows_per_split or ROWS_PER_SPLIT
     sides = [df.select(*keys, "__us") for df in (left, *sides)]
@@ -215,23 +209,22 @@ def _splits(
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     sizes = reduce(DataFrame.unionAll, sides).filter(known).groupBy(*keys).agg(F.count("*").alias("__n"))
     many = F.col("__n") > limit
-    total = sizes.agg(F.count_if(many).alias("crowded"), F.sum("__n").alias("rows")).first()
-    scattered = F.when(~known, -1 - F.pmod(F.xxhash64(F.to_json("__spine")), F.lit(MAX_SPLITS)))
-    if not total["crowded"]:
+    crowded_keys = sizes.filter(many).count()
+    scattered = F.when(~known, -1 - F.pmod(F.xxhash64(F.to_json("__spine")), F.lit(SPREAD)))
+    if not crowded_keys:
 
         def whole(df: DataFrame) -> DataFrame:
             return df.withColumn("__split", scattered.otherwise(0))
 
         return whole, False, False
 
-    limit = max(limit, total["rows"] // MAX_CROWDED)
     crowded = cut_lineage(
-        sizes.filter(F.col("__n") > limit).select(*[F.col(k).alias(f"{k}__c") for k in keys])
+        sizes.filter(many).select(*[F.col(k).alias(f"{k}__c") for k in keys])
     ).withColumn("__crowded", F.lit(True))
     same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"{k}__c") for k in keys])
 
     def marked(df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(crowded), same, "left").drop(*[f"{k}__c" for k in keys])
+        return df.join(crowded, same, "left").drop(*[f"{k}__c" for k in keys])
 
     hot = [marked(side).filter("__crowded") for side in sides]
     count = split_count(sum(side.count() for side in hot), limit)
@@ -245,6 +238,18 @@ def _splits(
     return place, True, tied
 
 
+def _in_windows(
+    place: Callable[[DataFrame], DataFrame], seconds: int
+) -> Callable[[DataFrame], DataFrame]:
+    """Splits ordered by the fixed window first and then by the split ``place`` gives."""
+    window = F.floor(F.col("__us") / (seconds * SECOND))
+
+    def placed(df: DataFrame) -> DataFrame:
+        return place(df).withColumn("__split", F.struct(window.alias("at"), F.col("__split").alias("part")))
+
+    return placed
+
+
 def _newest(column: str) -> Column:
     feat = F.col(column)
     return F.max_by(feat, F.struct(feat["us"], feat["created"], feat["tie"]))
@@ -290,6 +295,8 @@ def _scan(
 
 def _carried(rows: DataFrame, keys: Sequence[str], feats: Sequence[str]) -> DataFrame:
     """For each (key, split) with spine rows: the newest feature rows of earlier splits."""
+    for key in keys:
+        rows = rows.filter(F.col(key).isNotNull())
     by_split = rows.groupBy(*keys, "__split").agg(
         *[_newest(f).alias(f) for f in feats], F.max("__side").alias("__asked")
     )

@@ -15,7 +15,6 @@ from tidemark.operators.windows import first_per_key
 # tools that may be named there, the usual one first.
 EU_COLUMNS = ("eu_date_reasoning_hash", "eu_llm_trace_id", "eu_llm_monitoring_tool")
 EU_TOOLS = ("langsmith", "arize")
-DIRECT_MEDIAN_ROWS = 100_000
 
 
 # -- projection -----------------------------------------------------------------------------
@@ -101,25 +100,21 @@ def fill_null_median(df: DataFrame, columns: Sequence[str], exact: bool = True)
     return df.fillna(known) if known else df
 
 
-def exact_medians(
-    df: DataFrame, columns: Sequence[str], direct_rows: int = DIRECT_MEDIAN_ROWS
-) -> dict[str, float | None]:
+def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """Exact medians without gathering a column in one task.
 
-    Small columns use the built-in median.  For larger ones two approximate
-    ranks bracket the middle two percent, and only the distinct values inside
-    the bracket are counted and ranked.
+    Two approximate ranks bracket the middle two percent, and only the distinct
+    values inside the bracket are counted and ranked.  A column without values
+    has none.
     """
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     aggs = [F.count(c).alias(f"{c}__n") for c in columns]
     aggs += [F.percentile_approx(c, [0.49, 0.51], 2000).alias(f"{c}__p") for c in columns]
     seen = doubles.agg(*aggs).first()
-    small = [c for c in columns if seen[f"{c}__n"] <= direct_rows]
-    medians: dict[str, float | None] = {}
-    if small:
-        medians.update(doubles.agg(*[F.median(c).alias(c) for c in small]).first().asDict())
-    brackets = {c: seen[f"{c}__p"] for c in columns if c not in small}
-    medians.update({c: low for c, (low, high) in brackets.items() if low == high})
+    brackets = {c: seen[f"{c}__p"] or (None, None) for c in columns}
+    medians: dict[str, float | None] = {
+        c: low for c, (low, high) in brackets.items() if low == high
+    }
     open_ones = {c: p for c, p in brackets.items() if c not in medians}
     if open_ones:
         under = [F.count_if(F.col(c) < low).alias(c) for c, (low, _) in open_ones.items()]
@@ -138,7 +133,7 @@ def _bracketed_median(
         .groupBy(column)
         .agg(F.count("*").alias("weight"))
     )
-    ranked = ordered_total(counts, [], column, [column], F.col("weight"), "upto")
+    ranked = ordered_total(counts, [], [column], F.col("weight"), "upto")
     first, second = (rows - 1) // 2 - below, rows // 2 - below
     found = ranked.agg(
         F.min(F.when(F.col("upto") > first, F.col(column))).alias("a"),

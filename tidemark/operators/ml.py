@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.aggregate import class_weight
-from tidemark.operators.splits import running_total
+from tidemark.operators.splits import ordered_total
 
 
 def stratified_split(
@@ -20,13 +20,12 @@ def stratified_split(
 ) -> DataFrame:
     """Mark the rounded ``test_size`` share of each label as test rows.
 
-    Rows are ordered by a seeded hash of their id.  The hash is uniform, so its
-    first digits split any label evenly, however many rows the label has.
+    Rows are ordered by a seeded hash of their id, which is uniform and so splits
+    any label evenly, however many rows the label has.
     """
     digest = F.sha2(F.concat_ws(":", F.col(id_col).cast("string"), F.lit(str(seed))), 256)
-    hashed = df.withColumns({"__hash": digest, "__split": F.substring(digest, 1, 3)})
-    order = ["__hash", id_col]
-    placed = running_total(hashed, [label], "__split", order, F.lit(1), "__place")
+    hashed = df.withColumn("__hash", digest)
+    placed = ordered_total(hashed, [label], ["__hash", id_col], F.lit(1), "__place")
     sizes = df.groupBy(F.col(label).alias("__label")).agg(F.count("*").alias("__size"))
     joined = placed.join(sizes, F.col(label).eqNullSafe(F.col("__label")))
     quota = F.floor(F.col("__size") * test_size + 0.5)

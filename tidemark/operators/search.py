@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from tidemark.session import cut_lineage
 
+# Distances by name.
 METRICS = ("cosine", "L1", "L2", "inner_product")
 QUERY_BYTES = 64 * 1024 * 1024
 MERGE_BUCKETS = 64

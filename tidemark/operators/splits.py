@@ -3,14 +3,14 @@
 A window over one key runs in one task, so a key holding a third of the rows
 would make one task sort a third of the table.  Ordered operators therefore
 work on (key, split) groups and hand a small per-split summary from one split
-to the next.  The edges are quantiles of the whole ordering column, so no
-(key, split) group can hold much more than 1/n of the rows whatever the key.
+to the next.  The edges are quantiles of the whole ordering, so no (key, split)
+group can hold much more than 1/n of the rows whatever the key.  The number of
+splits follows from the number of rows alone.
 """
 
 from __future__ import annotations
 
 import math
-import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -18,8 +18,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import cut_lineage
+
 ROWS_PER_SPLIT = 2_000_000
-MAX_SPLITS = 4096
 BEFORE_ALL = -(1 << 53)
 
 
@@ -63,7 +64,7 @@ def extents(*sides: tuple[DataFrame, Column]) -> list[Extent]:
 
 def split_count(rows: int, rows_per_split: int | None, at_least: int = 1) -> int:
     wanted = math.ceil(rows / (rows_per_split or ROWS_PER_SPLIT))
-    return max(at_least, min(wanted, MAX_SPLITS), 1)
+    return max(at_least, wanted, 1)
 
 
 def quantile_edges(count: int, *sides: tuple[DataFrame, Column]) -> tuple[list[float], bool]:
@@ -78,7 +79,7 @@ def quantile_edges(count: int, *sides: tuple[DataFrame, Column]) -> tuple[list[f
     found = (
         _stack(sides)
         .groupBy("side")
-        .agg(F.percentile_approx("v", steps, 20 * count).alias("edges"), F.count("v").alias("n"))
+        .agg(F.percentile_approx("v", steps, 5 * count).alias("edges"), F.count("v").alias("n"))
         .collect()
     )
     chosen: set[float] = set()
@@ -149,44 +150,26 @@ def running_total(
 def ordered_total(
     df: DataFrame,
     keys: Sequence[str],
-    by: str,
     order: Sequence[Column | str],
     value: Column,
     out: str,
     rows_per_split: int | None = None,
 ) -> DataFrame:
-    """Running sum per key in ``order``, whose first column is the number ``by``.
+    """Running sum per key in ``order``, by one plan at every size.
 
-    A table within one split's size takes a plain window; a larger one is split.
+    Rows are range-partitioned by the whole of ``order``, so strings are split by
+    all their bytes and equal first columns by the columns after them; only rows
+    that agree on all of ``order`` share a split.  The rows are written with
+    their splits, so a lost executor can't see other splits.
     """
-    edges, _ = quantile_edges(split_count(df.count(), rows_per_split), (df, F.col(by)))
-    if not edges:
-        upto = Window.partitionBy(*keys).orderBy(*order)
-        frame = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn(out, F.sum(value).over(frame))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    count = split_count(df.count(), rows_per_split, cores)
     split = f"{out}_split"
-    placed = with_split(df, by, edges, split)
-    return running_total(placed, keys, split, order, value, out).drop(split)
+    dealt = df.repartitionByRange(count, *order).withColumn(split, F.spark_partition_id())
+    return running_total(cut_lineage(dealt), keys, split, order, value, out).drop(split)
 
 
 def row_index(df: DataFrame, column: str, out: str, rows_per_split: int | None = None) -> DataFrame:
-    """0-based position of each row in ascending order of a distinct column.
-
-    Strings are split by a number made from the bytes after their shared prefix.
-    """
-    if dict(df.dtypes)[column] == "string":
-        low, high = df.agg(F.min(column), F.max(column)).first()
-        shared = len(os.path.commonprefix([low or "", high or ""]))
-        order = _prefix_number(F.col(column), shared)
-    else:
-        order = F.col(column)
-    by = f"{out}_by"
-    ordered = df.withColumn(by, order)
-    numbered = ordered_total(ordered, [], by, [column], F.lit(1), out, rows_per_split)
-    return numbered.withColumn(out, (F.col(out) - 1).cast("int")).drop(by)
-
-
-def _prefix_number(column: Column, skip: int) -> Column:
-    """A number that never decreases as the string does not, from its next six bytes."""
-    head = F.substring(F.encode(F.substring(column, skip + 1, 6), "UTF-8"), 1, 6)
-    return F.conv(F.rpad(F.hex(head), 12, "0"), 16, 10).cast("long")
+    """0-based position of each row in ascending order of a distinct column."""
+    numbered = ordered_total(df, [], [column], F.lit(1), out, rows_per_split)
+    return numbered.withColumn(out, (F.col(out) - 1).cast("int"))

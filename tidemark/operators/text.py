@@ -101,7 +101,7 @@ def chunk_text(
     cut = chunk_documents(df, text, size, overlap, tail).select(doc_order, *keep, "chunks")
     chunked = cut_lineage(cut.withColumn("__n", F.size("chunks")))
     counts = chunked.select(F.col(doc_order).alias("__doc"), "__n")
-    upto = ordered_total(counts, [], "__doc", ["__doc"], F.col("__n"), "__upto", rows_per_split)
+    upto = ordered_total(counts, [], ["__doc"], F.col("__n"), "__upto", rows_per_split)
     firsts = upto.select("__doc", (F.col("__upto") - F.col("__n")).alias("__first"))
     opened = chunked.join(firsts, F.col(doc_order) == F.col("__doc")).select(
         doc_order, *keep, "__first", F.posexplode("chunks").alias("__at", "c")
