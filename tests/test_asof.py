@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import asof
+from tidemark.operators import asof, materialize, windows
 from tidemark.spec import ViewSpec
 
 BASE = dt.datetime(2024, 1, 1)
@@ -244,3 +244,49 @@ def test_time_bounds_reach_the_scan(spark, small):
     click = [line for line in scans if "click" in line]
     assert click and all("GreaterThanOrEqual(ts" in line for line in click)
     assert all("LessThanOrEqual(ts" in line for line in click)
+
+
+@pytest.fixture(scope="module")
+def by_day(spark, tmp_path_factory):
+    """30 days of one row a day and key, the source's names being other than the view's."""
+    path = str(tmp_path_factory.mktemp("by_day") / "t")
+    days = spark.range(60).select(
+        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("key"),
+        F.expr("TIMESTAMP_NTZ '2024-01-01 12:00:00' + make_dt_interval(id div 2)").alias("at"),
+        F.col("id").alias("raw"),
+    )
+    days.withColumn("day", F.date_format("at", "yyyy-MM-dd")).write.partitionBy("day").parquet(path)
+    renames = {"key": "k", "at": "ts", "raw": "v"}
+    return path, ViewSpec("x", ["k"], ["v"], "ts", ttl=3 * 86400, renames=renames, partition="day")
+
+
+def partition_filters(df):
+    plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return [line for line in plan.splitlines() if "PartitionFilters" in line and "day" in line]
+
+
+def test_renamed_view_laid_out_by_day(spark, by_day):
+    path, view = by_day
+    source = spark.read.parquet(path)
+    rows = [(1, "a", BASE + dt.timedelta(days=20)), (2, "b", BASE + dt.timedelta(days=40)), (3, None, BASE)]
+    spine = spark.createDataFrame(rows, SPINE)
+    got = asof.pit_join(spine, source, view, "at")
+    assert {r.id: r.v for r in got.collect()} == {1: 38, 2: None, 3: None}
+    assert partition_filters(got)
+    wide = asof.broadcast_asof(spine, source, view, "at")
+    assert {r.id: r.v for r in wide.collect()} == {1: 38, 2: None, 3: None}
+    assert asof.pit_join(spine.limit(0), source, view, "at").collect() == []
+
+
+def test_newest_rows_of_a_view_laid_out_by_day(spark, by_day):
+    path, view = by_day
+    source = spark.read.parquet(path)
+    start, end = (F.lit(f"2024-01-{day}").cast("timestamp_ntz") for day in ("03", "11"))
+    newest = windows.latest_per_key(source, view, start, end)
+    assert {r.k: r.v for r in newest.collect()} == {"a": 18, "b": 19}
+    assert partition_filters(newest)
+    stored = materialize.materialize(source, view, start, end)
+    assert {r.k: r.v for r in stored.collect()} == {"a": 18, "b": 19}
+    assert partition_filters(stored)
+    spine = asof.non_entity_spine([(source, view)], start, end)
+    assert spine.count() == 2 and partition_filters(spine)

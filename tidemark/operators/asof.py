@@ -30,7 +30,7 @@ from tidemark.operators.splits import (
     split_count,
     with_split,
 )
-from tidemark.operators.windows import tie_break
+from tidemark.operators.windows import tie_break, view_rows
 from tidemark.session import cut_lineage
 from tidemark.spec import ViewSpec
 
@@ -173,19 +173,18 @@ def _feature_side(view_df: DataFrame, view: ViewSpec, spine_keys: Sequence[str])
 
 def _bounded(view_df: DataFrame, view: ViewSpec, spine: Extent) -> DataFrame:
     """Literal time bounds from the spine, in the column's own type so the scan can use them."""
-    if spine.low is None:
-        return view_df.limit(0)
-    kind = view_df.schema[view.ts].dataType
+    named = {new: old for old, new in view.renames.items() if old in view_df.columns}
+    kind = view_df.schema[named.get(view.ts, view.ts)].dataType
     if not isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         raise TypeError(f"event time {view.ts!r} of view {view.name!r} is {kind.simpleString()}")
 
     def at(us: int) -> Column:
         return F.timestamp_micros(F.lit(us)).cast(kind)
 
-    bounded = view_df.filter(F.col(view.ts) <= at(spine.high))
-    if view.ttl:
-        bounded = bounded.filter(F.col(view.ts) >= at(spine.low - view.ttl * SECOND))
-    return bounded
+    if spine.low is None:
+        return view_rows(view_df, view, None, F.lit(None).cast(kind))
+    start = at(spine.low - view.ttl * SECOND) if view.ttl else None
+    return view_rows(view_df, view, start, at(spine.high))
 
 
 def _splits(
@@ -339,7 +338,8 @@ def broadcast_asof(
     general plan of :func:`pit_join` runs, which needs no bound.
     """
     spine_keys = view.spine_keys()
-    features = _feature_side(view_df, view, spine_keys)
+    bounded = _bounded(view_df, view, _extent(spine, spine_ts))
+    features = _feature_side(bounded, view, spine_keys)
     if not _fits(features, spine_keys, max_bytes, max_versions):
         return pit_join(spine, view_df, view, spine_ts, full_names=full_names)
     versions = features.groupBy(*spine_keys, "__us").agg(_newest("__feat").alias("__feat"))
@@ -368,11 +368,11 @@ def broadcast_asof(
 
 
 def _fits(features: DataFrame, keys: Sequence[str], max_bytes: int, max_versions: int) -> bool:
-    """Measured size against the bounds; rows are counted first, which reads no payload."""
+    """Measured size, keys included, against the bounds; a first count reads no payload."""
     if features.count() > max_bytes // 16:
         return False
     per_key = features.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.sum(F.octet_length(F.to_json("__feat"))).alias("b")
+        F.count("*").alias("n"), F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("b")
     )
     size = per_key.agg(F.max("n").alias("versions"), F.sum("b").alias("bytes")).first()
     return (size["bytes"] or 0) <= max_bytes and (size["versions"] or 0) <= max_versions
@@ -406,7 +406,7 @@ def non_entity_spine(
     start = default_start([v for _, v in views], end) if start is None else start
     parts = []
     for view_df, view in views:
-        seen = view_df.filter(F.col(view.ts).between(start, end))
+        seen = view_rows(view_df, view, start, end)
         keys = [F.col(k).alias(s) for k, s in zip(view.keys, view.spine_keys())]
         stamp = F.col(view.ts) if keep_ts else end
         parts.append(seen.select(*keys, stamp.alias(ts_name)).distinct())

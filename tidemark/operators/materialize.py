@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.asof import pit_join_multi
 from tidemark.operators.joins import union_all_sources
 from tidemark.operators.quality import validate_schema
-from tidemark.operators.windows import dedup_latest, extreme_per_key, latest_per_key
+from tidemark.operators.windows import dedup_latest, extreme_per_key, latest_per_key, view_rows
 from tidemark.spec import ViewSpec
 
 BATCH, WRITER, COMMITTED = "push_batch", "push_writer", "push_committed"
@@ -34,7 +34,7 @@ def materialize(
     if pull_latest:
         df = latest_per_key(df, view, start, end)
     else:
-        df = df.filter(F.col(view.ts).between(start, end))
+        df = view_rows(df, view, start, end)
     if transform is not None:
         df = transform(df)
     if predicate:

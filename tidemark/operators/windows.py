@@ -56,15 +56,33 @@ def first_per_key(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     return extreme_per_key(df, keys, [ts], newest=False)
 
 
+def view_rows(
+    df: DataFrame, view: ViewSpec, start: Column | None, end: Column
+) -> DataFrame:
+    """A view's rows of ``[start, end]`` under the view's names; no start means no lower bound.
+
+    Where the source is laid out by a partition column, that column gets the same
+    bounds, so the folders outside them are not read.
+    """
+    renames = {old: new for old, new in view.renames.items() if old in df.columns}
+    df = df.drop(*[new for new in renames.values() if new not in renames]).withColumnsRenamed(renames)
+
+    def bounded(column: Column, low: Column | None, high: Column) -> Column:
+        return column <= high if low is None else column.between(low, high)
+
+    if view.partition:
+        days = [None if at is None else F.date_format(at, view.partition_pattern) for at in (start, end)]
+        df = df.filter(bounded(F.col(view.partition).cast("string"), *days))
+    return df.filter(bounded(F.col(view.ts), start, end))
+
+
 def latest_per_key(df: DataFrame, view: ViewSpec, start: Column, end: Column) -> DataFrame:
     """Newest row per key of a view inside ``[start, end]``.
 
     Without keys the result is the one newest row under a constant dummy key.
     """
     times = [view.ts, view.created] if view.created else [view.ts]
-    pruned = df.filter(F.col(view.ts).between(start, end)).select(
-        *view.keys, *view.features, *times
-    )
+    pruned = view_rows(df, view, start, end).select(*view.keys, *view.features, *times)
     if view.keys:
         return dedup_latest(pruned, view.keys, view.ts, view.created)
     newest = [F.col(c).desc() for c in times]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import asof, joins
 from tidemark.plans.catalog import query
-from tidemark.session import table
+from tidemark.session import fresh_path, table
 from tidemark.spec import ViewSpec
 
 DAY = 24 * 3600
@@ -55,6 +55,27 @@ def windowed_asof(spark, root):
     )
 
 
+@query(
+    "pit_join_renamed",
+    PIT_SQL.replace("r.event_type, r.value\n", "r.event_type AS kind, r.value AS amount\n"),
+)
+def pit_join_renamed(spark, root):
+    """A source laid out by day, whose columns bear other names than the view's features."""
+    path = fresh_path(spark, "by_day")
+    daily = activity(spark, root).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    daily.repartition("day").write.partitionBy("day").parquet(path)
+    view = ViewSpec(
+        "activity",
+        ["user_id"],
+        ["kind", "amount"],
+        "at",
+        ttl=7 * DAY,
+        renames={"event_type": "kind", "value": "amount", "ts": "at"},
+        partition="day",
+    )
+    return asof.pit_join(purchases(spark, root), spark.read.parquet(path), view, "entity_ts")
+
+
 def of_type(spark, root, kind, *columns):
     events = table(spark, root, "events").filter(F.col("event_type") == kind)
     return events.select("user_id", "ts", *columns)

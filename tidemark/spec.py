@@ -12,7 +12,10 @@ class ViewSpec:
 
     ``ttl`` is in seconds, 0 means no lower bound.  ``key_map`` renames view
     keys to the spine's names, so one view can be joined twice under two
-    different keys.  ``renames`` maps source columns to feature names.
+    different keys.  ``renames`` maps columns of the source to the names that
+    every other field uses.  ``partition`` is a column by which the source's
+    folders are laid out, holding the event time under ``partition_pattern``,
+    whose texts must sort like the times; reads bound it along with the time.
     """
 
     name: str
@@ -23,6 +26,8 @@ class ViewSpec:
     ttl: int = 0
     key_map: Mapping[str, str] = field(default_factory=dict)
     renames: Mapping[str, str] = field(default_factory=dict)
+    partition: str | None = None
+    partition_pattern: str = "yyyy-MM-dd"
 
     def spine_keys(self) -> list[str]:
         return [self.key_map.get(k, k) for k in self.keys]
