@@ -180,11 +180,15 @@ def vector_topk_batch(
     k: int,
     metric: str = "cosine",
 ) -> DataFrame:
-    """k rows for every query, padded with id -1, empty text and a zero vector."""
+    """k rows for every query, padded with id -1, empty text and a zero vector.
+
+    The hits are written first, so the join to their rows knows their size: within
+    the session's broadcast limit the stored vectors aren't shuffled for it.
+    """
     scaled = queries.select("query_id", unit(F.col("vector")).alias("vector"))
-    found = vector_topk(df, id_col, vector, scaled, k, metric)
+    found = cut_lineage(vector_topk(df, id_col, vector, scaled, k, metric))
     stored = df.select(F.col(id_col).alias("id"), F.col(text).alias("text"), vector)
-    rows = found.join(stored, "id", "left")
+    rows = found.join(stored, "id")
     width = F.size("wanted")
     slots = scaled.select(
         F.col("query_id").cast("long"),
