@@ -38,8 +38,10 @@ from tidemark.llm.suffix_sort import Suffixes, powers
 LENGTH = 50
 ANCHOR = 20
 CHUNK_BYTES = 3 << 20
-#: Bytes of text whose anchors make a bucket, and whose surroundings a task compares.
+#: Bytes of text whose anchors make a bucket.
 ENTRY_BYTES = 8 << 20
+#: Bytes of text whose questions (step 2 and 3) one task answers.
+TASK_BYTES = 1 << 20
 #: Bytes that are hashed at a time.
 STRIDE = 1 << 19
 #: Surroundings of an anchor within a chunk, and in all, from which it goes on string by string.
@@ -481,7 +483,7 @@ def remove_repeats(
     )
     flags = entries.groupBy("bucket").applyInArrow(_judge, ANSWER)
     asked = by_chunk.cogroup(flags.groupBy("chunk")).applyInArrow(_ask(length, buckets), ASKED)
-    tasks = buckets
+    tasks = max(1, -(-size // TASK_BYTES))
     dealt = asked.withColumn("task", F.pmod(F.xxhash64("key", "second"), F.lit(tasks)).cast("int"))
     answers = dealt.groupBy("task").applyInArrow(_answer(length), ANSWER)
     kinds = [f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*renamed).schema]
