@@ -106,9 +106,11 @@ def test_combine(spark):
         made("product")
 
 
-def test_ivf_recall(spark, small):
+def test_ivf_recall(spark, small, tmp_path):
     df = spark.read.parquet(f"{small}/embeddings.parquet")
-    cells, centres = search.build_ivf(df, "embedding", nlist=8)
+    centres = search.fit_centres(df, "embedding", nlist=8)
+    cells = search.write_ivf(df, "embedding", centres, str(tmp_path / "ivf"))
+    assert cells.count() == df.count()
     hits = total = 0
     for row in df.orderBy("vec_id").limit(4).collect():
         one = queries(spark, [(0, [float(x) for x in row.embedding])])
@@ -119,6 +121,15 @@ def test_ivf_recall(spark, small):
         full = search.ivf_topk(cells, centres, "vec_id", "embedding", row.embedding, 10, nprobe=8)
         assert exact == {r.id for r in full.collect()}
     assert hits / total >= 0.7
+    plan = near._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in plan and "cell" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_ivf_stores_rows_without_a_vector(spark, tmp_path):
+    rows = [(1, [0.0, 0.0]), (2, [5.0, 5.0]), (3, None), (4, [1.0])]
+    df = spark.createDataFrame(rows, "i long, v array<double>")
+    cells = search.write_ivf(df, "v", np.array([[0.0, 0.0], [5.0, 5.0]]), str(tmp_path / "ivf"))
+    assert {r.i: r.cell for r in cells.collect()} == {1: 0, 2: 1, 3: None, 4: None}
 
 
 DOCS = [

@@ -251,11 +251,33 @@ def combine_embeddings(
     )
 
 
-def build_ivf(df: DataFrame, vector: str, nlist: int = 128, seed: int = 42):
-    """Fit ``nlist`` cells and give each row its cell; returns the rows and the centres."""
-    prepared = df.withColumn("__v", array_to_vector(F.col(vector).cast("array<double>")))
-    model = KMeans(k=nlist, seed=seed, featuresCol="__v", predictionCol="cell").fit(prepared)
-    return model.transform(prepared).drop("__v"), np.array(model.clusterCenters())
+def fit_centres(df: DataFrame, vector: str, nlist: int = 128, seed: int = 42) -> np.ndarray:
+    """Centres of ``nlist`` k-means cells."""
+    prepared = df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("__v"))
+    model = KMeans(k=nlist, seed=seed, featuresCol="__v").fit(prepared)
+    return np.array(model.clusterCenters())
+
+
+def write_ivf(df: DataFrame, vector: str, centres: np.ndarray, path: str) -> DataFrame:
+    """Store rows in one folder for each cell and return the stored table.
+
+    A cell holds the vectors nearest to its centre, ties to the first; vectors
+    that are NULL or of another width have none. Large cells are written by
+    several tasks, small ones together.
+    """
+    points = np.asarray(centres, dtype=np.float64)
+
+    @F.arrow_udf("int")
+    def nearest(vectors: pa.Array) -> pa.Array:
+        rows, found = _matrix(vectors, points.shape[1])
+        cells = np.full(len(vectors), -1, dtype=np.int32)
+        if len(rows):
+            cells[rows] = _distances(points, found, "L2").argmin(axis=0)
+        return pa.array(cells, mask=cells < 0)
+
+    placed = df.withColumn("cell", nearest(F.col(vector).cast("array<double>")))
+    placed.hint("rebalance", "cell").write.partitionBy("cell").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def ivf_topk(
@@ -267,7 +289,7 @@ def ivf_topk(
     k: int,
     nprobe: int = 10,
 ) -> DataFrame:
-    """Approximate search: only the nprobe nearest cells are read, exactly within them."""
+    """Approximate search: only the folders of the nprobe nearest cells are read, exactly within them."""
     point = np.asarray(query, dtype=np.float64)
     near = np.argsort(((centres - point) ** 2).sum(axis=1), kind="stable")[:nprobe]
     probed = cells.filter(F.col("cell").isin([int(c) for c in near]))

@@ -7,9 +7,9 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import HashingTF, Normalizer
+from pyspark.ml.feature import CountVectorizerModel, Normalizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.search import tokens
@@ -112,13 +112,19 @@ def chunk_text(
 
 
 def hashed_words(df: DataFrame, text: str, out: str, width: int) -> DataFrame:
-    """Default embedding: word counts hashed into ``width`` places, scaled to length one."""
-    words = df.withColumn("__words", tokens(F.coalesce(F.col(text), F.lit(""))))
-    counted = HashingTF(numFeatures=width, inputCol="__words", outputCol="__tf").transform(words)
-    scaled = Normalizer(p=2.0, inputCol="__tf", outputCol="__unit").transform(counted)
-    return scaled.withColumn(out, vector_to_array("__unit", "float32")).drop(
-        "__words", "__tf", "__unit"
-    )
+    """Default embedding: word counts hashed into ``width`` places, scaled to length one.
+
+    A word's place is the first eight digits of its SHA-256, modulo ``width``.
+    """
+
+    def place(word: Column) -> Column:
+        digits = F.conv(F.substring(F.sha2(word, 256), 1, 8), 16, 10)
+        return (digits.cast("long") % width).cast("string")
+
+    placed = df.withColumn("__places", F.transform(tokens(F.coalesce(F.col(text), F.lit(""))), place))
+    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(width)], "__places", "__counts")
+    scaled = Normalizer(p=2.0, inputCol="__counts", outputCol="__unit").transform(counter.transform(placed))
+    return scaled.withColumn(out, vector_to_array("__unit", "float32")).drop("__places", "__counts", "__unit")
 
 
 def embed_text(

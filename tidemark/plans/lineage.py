@@ -60,7 +60,7 @@ def lineage_events(spark, root):
     "prov_triples",
     f"""
 WITH {RUNS},
-e AS (SELECT *, strftime(event_time, '%Y-%m-%dT%H:%M:%SZ') AS started FROM named WHERE event_type <> 'START')
+e AS (SELECT *, strftime(event_time, '%Y-%m-%dT%H:%M:%SZ') AS started FROM named)
 SELECT 'urn:uuid:' || run_id AS s, 'rdf:type' AS p, 'prov:Activity' AS o FROM e
 UNION ALL SELECT 'urn:uuid:' || run_id, 'prov:startedAtTime', started FROM e
 UNION ALL SELECT 'urn:uuid:' || run_id, 'trust:jobName', job_name FROM e
@@ -76,8 +76,7 @@ UNION ALL SELECT '_:g_' || run_id || '_0', 'prov:activity', 'urn:uuid:' || run_i
 """,
 )
 def prov_triples(spark, root):
-    ended = shipments(spark, root).filter("event_type <> 'START'")
-    return ln.prov_triples(ln.parse_events(ended, "event"))
+    return ln.prov_triples(ln.parse_events(shipments(spark, root), "event"))
 
 
 @query(
@@ -331,25 +330,25 @@ def registry_search(spark, root):
 @query(
     "resolve_dataset",
     """
-SELECT o_orderkey, 'raw' AS namespace, 'customer/' || o_custkey AS name, 'spark' AS tool,
-  CASE WHEN c_custkey IS NULL THEN 'raw' ELSE 'nation-' || c_nationkey END AS canonical_namespace,
-  coalesce(c_name, 'customer/' || o_custkey) AS canonical_name, c_custkey IS NOT NULL AS resolved
-FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_mktsegment <> 'BUILDING'
+SELECT o_orderkey, 'raw' AS namespace, 'party/' || o_custkey AS name, 'spark' AS tool,
+  CASE WHEN s_suppkey IS NULL THEN 'raw' ELSE 'nation-' || s_nationkey END AS canonical_namespace,
+  coalesce(s_name, 'party/' || o_custkey) AS canonical_name, s_suppkey IS NOT NULL AS resolved
+FROM orders LEFT JOIN supplier ON s_suppkey = o_custkey
 """,
 )
 def resolve_dataset(spark, root):
     references = table(spark, root, "orders").select(
         "o_orderkey",
         F.lit("raw").alias("namespace"),
-        F.concat(F.lit("customer/"), "o_custkey").alias("name"),
+        F.concat(F.lit("party/"), "o_custkey").alias("name"),
         F.lit("spark").alias("tool"),
     )
-    catalog = table(spark, root, "customer").filter("c_mktsegment <> 'BUILDING'").select(
+    catalog = table(spark, root, "supplier").select(
         F.lit("raw").alias("namespace"),
-        F.concat(F.lit("customer/"), "c_custkey").alias("name"),
+        F.concat(F.lit("party/"), "s_suppkey").alias("name"),
         F.lit("spark").alias("tool"),
-        F.concat(F.lit("nation-"), "c_nationkey").alias("canonical_namespace"),
-        F.col("c_name").alias("canonical_name"),
+        F.concat(F.lit("nation-"), "s_nationkey").alias("canonical_namespace"),
+        F.col("s_name").alias("canonical_name"),
     )
     return ln.resolve_dataset(references, catalog)
 

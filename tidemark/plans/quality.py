@@ -128,13 +128,12 @@ def profile_reference(spark, root):
     """
 SELECT c_custkey, top, d AS top__timestamp, CASE WHEN top IS NULL THEN 'NOT_FOUND' ELSE 'PRESENT' END
   AS top__status FROM customer LEFT JOIN (SELECT o_custkey, max(o_totalprice) AS top,
-  max(o_orderdate) AS d FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 400000 GROUP BY 1)
+  max(o_orderdate) AS d FROM orders GROUP BY 1)
   ON o_custkey = c_custkey
 """,
 )
 def feature_metadata(spark, root):
-    orders = table(spark, root, "orders").filter("o_orderstatus = 'F' AND o_totalprice > 400000")
-    tops = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+    tops = table(spark, root, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.max("o_totalprice").alias("top"), F.max("o_orderdate").alias("d")
     )
     joined = table(spark, root, "customer").select("c_custkey").join(tops, "c_custkey", "left")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import search, text
 from tidemark.plans.catalog import query
-from tidemark.session import cut_lineage, spread_table, table
+from tidemark.session import cut_lineage, fresh_path, spread_table, table
 
 K = 10
 
@@ -39,6 +39,9 @@ MEANS = f"""
 m AS (SELECT label AS query_id, list(x ORDER BY i) AS q FROM (
   SELECT label, i, avg(e[i]) AS x FROM v, range(1, 65) r(i) GROUP BY label, i) GROUP BY label)"""
 
+#: Cells that the approximate search reads.
+PROBED = 3
+
 DISTANCE = {
     "cosine": "1 - list_cosine_similarity(e, q)",
     "L1": "list_sum(list_transform(range(1, 65), lambda i: abs(e[i] - q[i])))",
@@ -97,11 +100,26 @@ def vector_topk_batch(spark, root):
     return found.select("query_id", "rank", "id", "text", F.round("distance", 6).alias("distance"))
 
 
-@query("ivf_topk")
+@query(
+    "ivf_topk",
+    f"""
+WITH {MEANS},
+p AS (SELECT list(x ORDER BY i) AS point FROM (SELECT i, avg(e[i]) AS x FROM v, range(1, 65) r(i) GROUP BY i)),
+c AS (SELECT vec_id, any_value(e) AS e, arg_min(query_id, list_distance(e, q)) AS cell FROM v, m GROUP BY vec_id),
+near AS (SELECT query_id AS cell FROM m, p ORDER BY list_distance(q, point), query_id LIMIT {PROBED})
+SELECT vec_id AS id, round(list_distance(e, point), 6) AS distance FROM c JOIN near USING (cell), p
+ORDER BY list_distance(e, point), vec_id LIMIT {K}
+""",
+)
 def ivf_topk(spark, root):
-    cells, centres = search.build_ivf(table(spark, root, "embeddings"), "embedding", nlist=16)
-    point = centres.mean(axis=0)
-    return search.ivf_topk(cells, np.array(centres), "vec_id", "embedding", point, K, nprobe=4)
+    """Cells around the labels' means, stored; the nearest ones are read."""
+    vectors = table(spark, root, "embeddings")
+    means = mean_vectors(spark, root, "label").orderBy("query_id").collect()  # one for each label
+    centres = np.array([r["vector"] for r in means])
+    cells = search.write_ivf(vectors, "embedding", centres, fresh_path(spark, "ivf"))
+    point = mean_vectors(spark, root).first()["vector"]
+    found = search.ivf_topk(cells, centres, "vec_id", "embedding", point, K, PROBED)
+    return found.select("id", F.round("distance", 6).alias("distance"))
 
 
 @query(
@@ -291,16 +309,16 @@ def chunk_text(spark, root):
 @query(
     "embed_text",
     r"""
-SELECT doc_id, 64 AS width, CASE WHEN regexp_matches(text, '[\p{L}\p{N}]') THEN 1.0::DOUBLE ELSE 0.0 END
-  AS norm FROM documents
+WITH w AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> ''))
+             AS word FROM documents),
+n AS (SELECT doc_id, ('0x' || substr(sha256(word), 1, 8))::BIGINT % 384 AS place, count(*)::DOUBLE AS n FROM w GROUP BY ALL)
+SELECT doc_id, place, (n / sqrt(sum(n * n) OVER (PARTITION BY doc_id)))::FLOAT::DOUBLE AS value FROM n
 """,
 )
 def embed_text(spark, root):
+    """Every entry other than zero of each document's vector."""
     documents = spread_table(spark, root, "documents").select("doc_id", "text")
-    vectors = text.embed_text(documents, "text", "vector", width=64)
-    squares = F.aggregate(
-        F.col("vector").cast("array<double>"), F.lit(0.0), lambda a, x: a + x * x
-    )
-    return vectors.select(
-        "doc_id", F.size("vector").alias("width"), F.round(F.sqrt(squares), 5).alias("norm")
+    entries = text.embed_text(documents, "text", "vector").select("doc_id", F.posexplode("vector").alias("place", "value"))
+    return entries.where("value <> 0").select(
+        "doc_id", F.col("place").cast("long").alias("place"), F.col("value").cast("double").alias("value")
     )

@@ -143,14 +143,14 @@ def materialize_chained(spark, root):
     "upsert_latest",
     """
 SELECT user_id, max_by(value, ts) AS value, max(ts) AS ts FROM (
-  SELECT user_id, ts, value FROM events WHERE event_type <> 'click' AND ts < TIMESTAMP '2024-01-20'
+  SELECT user_id, ts, value FROM events WHERE event_type <> 'click'
   UNION ALL
   SELECT user_id, ts, value FROM events WHERE event_type = 'click') GROUP BY user_id
 """,
 )
 def upsert_latest(spark, root):
     rows = activity(spark, root)
-    old = rows.filter("event_type <> 'click'").filter(F.col("ts") < stamp("2024-01-20 00:00:00"))
+    old = rows.filter("event_type <> 'click'")
     new = rows.filter("event_type = 'click'").select("user_id", "value", "ts")
     stored = mat.dedup_latest(old.select("user_id", "value", "ts"), ["user_id"], "ts")
     return mat.upsert_latest(stored, new, ["user_id"], "ts")

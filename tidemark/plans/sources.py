@@ -170,7 +170,7 @@ def export_staging(spark, root):
     "sink_feature_logs",
     """
 SELECT user_id, value AS activity__value, 1 AS activity__value__status,
-       strftime(ts, '%Y-%m-%d') AS log_date FROM events WHERE ts >= TIMESTAMP '2024-01-10'
+       strftime(ts, '%Y-%m-%d') AS log_date FROM events
 """,
 )
 def sink_feature_logs(spark, root):
@@ -182,8 +182,7 @@ def sink_feature_logs(spark, root):
         F.date_format("ts", "yyyy-MM-dd").alias("log_date"),
     )
     sinks.sink_feature_logs(logs, path, ["log_date"])
-    back = spark.read.schema(logs.schema).parquet(path)
-    return back.filter(F.col("log_date") >= "2024-01-10").select(*logs.columns)
+    return spark.read.schema(logs.schema).parquet(path).select(*logs.columns)
 
 
 @query(
