@@ -258,6 +258,22 @@ def test_toxicity_locates_sentences():
     assert model.score("", model.known()) == (0.0, [])
 
 
+def test_long_clean_text_is_not_toxic(spark):
+    documents, labels = (spark.read.parquet(f"{MEDIUM}/{n}.parquet") for n in ("documents", "labels"))
+    model = toxicity.fit(documents, labels)
+    known = model.known()
+    for count in (5_000, 50_000):
+        assert model.score("A fine day. " * count, known)[0] < 0.05
+    joined = documents.join(labels.where("toxic = 0"), "doc_id").orderBy("doc_id").select("text")
+    texts = [t for (t,) in joined.collect() if model.score(t or "", known)[0] < 0.05]
+    sentences = [s for t in texts for s in toxicity.SENTENCE.findall(t or "") if s.strip()]
+    for count in (5_000, 50_000):
+        assert model.score(".".join(sentences[:count]), known)[0] < 0.05
+    toxic = documents.join(labels.where("toxic = 1"), "doc_id").orderBy("doc_id").select("text").collect()
+    worst = max((t for (t,) in toxic), key=lambda t: model.score(t, known)[0])
+    assert model.score(".".join(sentences[:50_000]) + "." + worst, known)[0] >= toxicity.THRESHOLD
+
+
 def test_extraction(spark):
     def page(body):
         return f"<html><head><title>t</title></head><body><nav>menu</nav>{body}<form>f</form><div class='comments'><p>c</p></div></body></html>"

@@ -3,7 +3,10 @@
 A document is toxic if any of its sentences is, so its score is one minus the
 product of the sentences' chances of being clean.  Only document labels are
 given; the logistic sentence model is trained through that product, and then
-tells which sentences offend.  Features are words and beginnings of words,
+tells which sentences offend.  The bias counts once for each document, and a
+sentence adds what its features give beyond it; a scored sentence less than
+``LEAST_CHANCE`` likely to be toxic is no evidence and adds nothing, so that no
+length of clean text adds up to a toxic one.  Features are words and beginnings of words,
 chosen by how much more often toxic documents have them, counted over the whole
 training sample.
 
@@ -34,6 +37,8 @@ LEAST_DOCUMENTS, LEAST_ERRORS = 8, 6.0
 BEGINNINGS = range(3, 9)
 CACHED_WORDS = 300_000
 THRESHOLD = 0.5
+#: A sentence less likely toxic than this is no evidence; noisy-or would add up any number of them.
+LEAST_CHANCE = 0.05
 STEPS, RATE, SHRINK = 400, 0.1, 3e-5
 
 SENTENCE = re.compile(r"[^.!?。！？\n]+")
@@ -76,7 +81,7 @@ class KnownFeatures(dict):
 
 @dataclass
 class Model:
-    """Features, their weights and the bias of a sentence's log odds."""
+    """Features, their weights and the bias, the log odds of a document or sentence without evidence."""
 
     words: list[str]
     weights: np.ndarray
@@ -89,7 +94,10 @@ class Model:
         """Noisy-or score of the text, and its offending sentences with their own scores."""
         plain, found = known.sentences(text)
         odds = [(a, b, self.bias + float(self.weights[own].sum())) for a, b, own in found]
-        clean = plain * np.logaddexp(0, self.bias) + sum(float(np.logaddexp(0, z)) for _, _, z in odds)
+        base = float(np.logaddexp(0, self.bias))
+        least = max(self.bias, float(np.log(LEAST_CHANCE / (1 - LEAST_CHANCE))))
+        clean = base if plain or found else 0.0
+        clean += sum(float(np.logaddexp(0, z)) - base for _, _, z in odds if z > least)
         offending = [(a, b, 1 / (1 + float(np.exp(-z)))) for a, b, z in odds if z >= 0]
         return float(-np.expm1(-clean)), offending
 
@@ -158,7 +166,7 @@ def train(rows: list[tuple[int, int, list[list[int]]]], size: int) -> tuple[np.n
     """Weights and bias that minimize the noisy-or log loss, by Adam over all rows at once."""
     rows = sorted(rows, key=repr)
     label = np.array([r[0] for r in rows])
-    plain = np.array([r[1] for r in rows], dtype=float)
+    filled = np.array([bool(r[1] or r[2]) for r in rows], dtype=float)
     owner = np.array([i for i, r in enumerate(rows) for _ in r[2]], dtype=np.int64)
     bags = [b for r in rows for b in r[2]]
     of = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
@@ -168,12 +176,14 @@ def train(rows: list[tuple[int, int, list[list[int]]]], size: int) -> tuple[np.n
     for step in range(1, STEPS + 1):
         z = bias + np.bincount(of, weight[word], len(bags))
         p, base = 1 / (1 + np.exp(-z)), 1 / (1 + np.exp(-bias))
-        total = plain * np.logaddexp(0, bias) + np.bincount(owner, np.logaddexp(0, z), len(rows))
+        level, above = np.logaddexp(0, bias), z >= bias
+        total = filled * level + np.bincount(owner, np.where(above, np.logaddexp(0, z) - level, 0), len(rows))
         by_total = np.where(label == 1, -1 / np.expm1(np.maximum(total, 1e-9)), 1.0)
-        by_z = by_total[owner] * p
+        by_each = by_total[owner] * above
+        by_z = by_each * p
         grad = np.append(
             np.bincount(word, by_z[of], size) / len(rows) + SHRINK * weight,
-            (by_z.sum() + float(by_total @ plain) * base) / len(rows),
+            (by_z.sum() + (float(by_total @ filled) - by_each.sum()) * base) / len(rows),
         )
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         move = RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
