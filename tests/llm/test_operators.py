@@ -136,6 +136,17 @@ def test_blocks_split_a_crowded_bucket(spark, monkeypatch):
     assert set(roots) | {min(roots.values())} == set(range(40)) and len(set(roots.values())) == 1
 
 
+def test_tasks_stay_bounded_in_a_crowded_bucket(spark):
+    from tidemark.llm import blocks
+
+    rows = spark.range(600).selectExpr("id AS rep", "CAST(1 AS LONG) AS key", "CAST(600 AS LONG) AS bucket_rows")
+    dealt = blocks.dealt_tasks(rows, "key", "rep", group_rows=200, block_rows=20)
+    sizes = [r["count"] for r in dealt.groupBy("task").count().collect()]
+    assert sum(sizes) == 600 * 30 and max(sizes) < 3 * 200 and len(sizes) > 60  # three tasks of 6,000 rows before
+    met = dealt.select("unit", "rep").distinct().groupBy("unit").count().agg(F.max("count")).first()[0]
+    assert met <= 2 * 3 * 20
+
+
 def _removed(rows, length=50):
     first = {}
     for doc, text in rows:

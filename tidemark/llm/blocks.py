@@ -35,6 +35,17 @@ def dealt_pairs(rows: DataFrame, key: str, row_id: str, block_rows: int = BLOCK_
     ).drop("bucket_rows")
 
 
+def dealt_tasks(rows: DataFrame, key: str, row_id: str, group_rows: int = GROUP_ROWS, **size: int) -> DataFrame:
+    """The rows of ``dealt_pairs`` with their ``unit``, and the ``task`` that units are dealt to.
+
+    Tasks follow from the rows after dealing, which go once to every block of
+    their bucket, so that a crowded bucket makes more tasks and not larger ones.
+    """
+    dealt = dealt_pairs(rows, key, row_id, **size).withColumn("unit", F.xxhash64(key, "low", "high"))
+    tasks = max(1, -(-dealt.count() // group_rows))
+    return dealt.withColumn("task", F.pmod("unit", F.lit(tasks)).cast("int"))
+
+
 def unit_pairs(unit: np.ndarray, block: np.ndarray, mixed: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of places within equal ``unit`` numbers (sorted), in bounded pieces.
 

@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.blocks import GROUP_ROWS, dealt_pairs, unit_pairs
-from tidemark.llm.common import bounded_batches, merge_labels, sized
+from tidemark.llm.blocks import dealt_tasks, unit_pairs
+from tidemark.llm.common import bounded_batches, merge_labels
 from tidemark.llm.components import components
 from tidemark.llm.vectors import clean_vectors, matrix, unit_rows
 from tidemark.session import cut_lineage
@@ -129,8 +129,7 @@ def linked_pairs(classes: DataFrame, cosine: float = COSINE) -> tuple[DataFrame,
         .drop("own_there")
     )
     met = hashed.join(shared, place).join(classes.select("rep", "v", "size"), "rep")
-    met, groups = sized(met.withColumn("key", F.xxhash64(*place)), GROUP_ROWS)
-    units = dealt_pairs(met, "key", "rep").withColumn("unit", F.xxhash64("key", "low", "high"))
+    met = cut_lineage(met.withColumn("key", F.xxhash64(*place)))
 
     def compare(table: pa.Table) -> pa.Table:
         outs = []
@@ -142,8 +141,7 @@ def linked_pairs(classes: DataFrame, cosine: float = COSINE) -> tuple[DataFrame,
             {"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "linked": pa.array([], pa.int64())}
         )
 
-    dealt = units.withColumn("task", F.pmod(F.col("unit"), F.lit(groups)).cast("int"))
-    found = dealt.groupBy("task").applyInArrow(compare, "a long, b long, linked long")
+    found = dealt_tasks(met, "key", "rep").groupBy("task").applyInArrow(compare, "a long, b long, linked long")
     found = cut_lineage(found)
     counts = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("linked").alias("linked"))
     return counts, found.where("b is not null").select("a", "b")

@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from tidemark.llm.blocks import GROUP_ROWS, dealt_pairs, unit_pairs
-from tidemark.llm.common import merge_labels, sized, with_text_column
+from tidemark.llm.blocks import dealt_tasks, unit_pairs
+from tidemark.llm.common import merge_labels, with_text_column
 from tidemark.llm.components import components
 from tidemark.session import cut_lineage
 
@@ -83,8 +83,7 @@ def near_links(prints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS
     """
     keyed = prints.select("fp", F.explode(pigeonhole_keys("fp", distance, blocks)).alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("bucket_rows")).where("bucket_rows > 1")
-    met, groups = sized(keyed.join(shared, "key"), GROUP_ROWS)
-    units = dealt_pairs(met, "key", "fp").withColumn("unit", F.xxhash64("key", "low", "high"))
+    met = cut_lineage(keyed.join(shared, "key"))
 
     def compare(table: pa.Table) -> pa.Table:
         table = table.sort_by([("unit", "ascending"), ("fp", "ascending")])
@@ -97,8 +96,7 @@ def near_links(prints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS
         member = np.flatnonzero(parent != np.arange(len(fp)))
         return pa.table({"a": get["fp"][member], "b": get["fp"][parent[member]]})
 
-    dealt = units.withColumn("task", F.pmod(F.col("unit"), F.lit(groups)).cast("int"))
-    return dealt.groupBy("task").applyInArrow(compare, "a long, b long")
+    return dealt_tasks(met, "key", "fp").groupBy("task").applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(
