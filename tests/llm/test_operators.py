@@ -305,6 +305,28 @@ def test_extraction(spark):
     assert extraction.shared_lines(list("abcbd"), list("xbcd")) == {1, 2, 4}
 
 
+def test_page_names_and_long_templates():
+    body = "<p>one</p><h2 id='side-effects'>two</h2><section id='related-work'>three</section><p data-id='menu'>four</p>"
+    body += "<div class='entry-header'>five</div><div class='comment-list comments'>gone</div><p class='site-footer'>gone</p>"
+    for markup in (body, f"<article>{body.replace('site-footer', 'footer')}</article>"):
+        assert extraction.main_lines(extraction.blocks(markup), None) == ["one", "two", "three", "four", "five"]
+    page = lambda text: [("a long template line " * 20, False, False), (text, False, False)]
+    a, b, c = page("short a"), page("short b"), page("short c")
+    assert extraction.main_lines(a, b, c) == ["short a"]
+    assert extraction.main_lines(a, a, b) == ["short a"]  # a copy beside another page
+    assert extraction.main_lines(a, a, a) == extraction.main_lines(a, a) == [x[0] for x in a]
+
+
+@pytest.mark.parametrize("parts", [1, 2, 7])
+def test_second_neighbours_across_tasks(spark, parts):
+    template = "<p>" + "a long template line " * 20 + "</p>"
+    rows = [(i, f"http://h.example/{i}", f"{template}<p>short {i}</p>") for i in range(7)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = extraction.extract(df.repartition(parts)).collect()
+    texts = {r.page_id: r.text for r in got}
+    assert len(got) == 7 and all(texts[i] == f"short {i}" for i in range(1, 6))  # 0 and 6 have one neighbour only
+
+
 def test_language(spark, small):
     documents, pages = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "pages"))
     model = language.fit(documents)

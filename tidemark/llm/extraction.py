@@ -7,8 +7,11 @@ common subsequence, and shared blocks are template text, which goes.  Markup tha
 names its purpose (menus, forms, adverts, comments and the like) is no main text
 whatever the other page says.  Where a page marks its article, blocks within are
 the author's own words: a passage that two articles quote stays, and what lies
-outside goes.  A page whose nearest shares nearly all of its text is a copy of
-the same article, which tells nothing about the template.
+outside goes.  Where the nearest shares nearly all of a page, it is either a copy
+of the article or has the same long template: the other neighbour in the order
+tells, as only the template is in all three.  If that leaves nothing or there is
+no other neighbour (a host's first and last page), the page stays as it is.  Three near copies side by side,
+without a marked article, can't be told from a template.
 
 Defined results: NULL and empty html give an empty text; pages without a host
 form one group; a host's only page is cleaned by its markup alone; repeated rows
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import bounded_batches, host_of, text_or_empty
 from tidemark.session import fresh_path
 
-#: From this share of a page's characters on, a shared text means a copy of the same article.
+#: From this share of a page's characters on, a shared text may be a copy of the same article.
 COPY_SHARE = 0.8
 
 TOKEN = re.compile(
@@ -38,7 +41,7 @@ TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)",
     re.S,
 )
-NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+NAMES = re.compile(r"(?<![\w:.-])(class|id|role|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?=[\s/>=]|$)|aria-hidden\s*=\s*[\"']?true)|display\s*:\s*none", re.I)
 SPACE = re.compile(r"\s+")
 
@@ -62,6 +65,24 @@ PURPOSE = set(
     "complementary contentinfo navigation dialog".split()
 )
 
+#: Words that also name parts of an article's text; they count as whole names only.
+COMMON = set("ad ads alert comment header menu notice related reply share side skip social".split())
+
+
+def names_purpose(attributes: str, article: bool) -> bool:
+    """Whether a class, id, role or itemprop names an element as no main text.
+
+    Whole names count; of a class outside an article, the first and last word too.
+    """
+    for name, value in NAMES.findall(attributes):
+        for whole in value.strip("\"'").lower().split():
+            if whole in PURPOSE:
+                return True
+            words = re.split(r"[^a-z]+", whole)
+            if name.lower() == "class" and not article and {words[0], words[-1]} & (PURPOSE - COMMON):
+                return True
+    return False
+
 
 def blocks(markup: str) -> list[tuple[str, bool, bool]]:
     """Text blocks in page order: (text, named as no main text, inside a marked article)."""
@@ -117,8 +138,7 @@ def blocks(markup: str) -> list[tuple[str, bool, bool]]:
         elif tag in CHROME or tag == "header" and not article:
             inner_chrome = True
         elif rest and tag not in ("html", "body"):
-            words = {w for v in NAMES.findall(rest) for w in re.split(r"[^a-z]+", v.lower())}
-            if words & PURPOSE or HIDDEN.search(rest):
+            if names_purpose(rest, article) or HIDDEN.search(rest):
                 inner_chrome = True
         if (inner_chrome, inner_article) != (chrome, article):
             flush()
@@ -155,14 +175,19 @@ def shared_lines(own: list[str], other: list[str]) -> set[int]:
     return found
 
 
-def main_lines(own: list[tuple[str, bool, bool]], other: list[str] | None) -> list[str]:
-    """Blocks that stay when the page is compared with the lines of its nearest page."""
+Blocks = list[tuple[str, bool, bool]]
+
+
+def main_lines(own: Blocks, near: Blocks | None, second: Blocks | None = None) -> list[str]:
+    """Blocks that stay when the page is compared with its nearest page, and with its other neighbour."""
     lines = [text for text, _, _ in own]
-    shared = shared_lines(lines, other) if other else set()
+    shared = shared_lines(lines, [b[0] for b in near]) if near else set()
     plain = [i for i, (_, chrome, _) in enumerate(own) if not chrome]
     same = sum(len(lines[i]) for i in plain if i in shared)
     if same >= COPY_SHARE * sum(len(lines[i]) for i in plain):
-        shared = set()
+        shared = shared & shared_lines(lines, [b[0] for b in second]) if second else set()
+        if shared.issuperset(plain):
+            shared = set()
     marked = any(article and not chrome for _, chrome, article in own)
     return [lines[i] for i in plain if (own[i][2] if marked else i not in shared)]
 
@@ -174,14 +199,23 @@ def _common(a: str, b: str) -> int:
     return min(len(a), len(b))
 
 
-def _pack(own: list[tuple[str, bool, bool]]) -> bytes:
-    """Blocks on their way through the shuffle: a digit for both flags and the text, which has no line end."""
-    return zlib.compress("\n".join([f"{2 * chrome + article}{text}" for text, chrome, article in own]).encode(), 1)
+def _coded(own: Blocks) -> list[str]:
+    """Blocks as lines: a digit for both flags and the text, which has no line end."""
+    return [f"{2 * chrome + article}{text}" for text, chrome, article in own]
+
+
+def _blocks_of(lines: list[str] | None) -> Blocks | None:
+    return None if lines is None else [(x[1:], x[0] in "23", x[0] in "13") for x in lines]
+
+
+def _pack(own: Blocks) -> bytes:
+    """Blocks on their way through the shuffle."""
+    return zlib.compress("\n".join(_coded(own)).encode(), 1)
 
 
-def _unpack(data: bytes) -> list[tuple[str, bool, bool]]:
+def _unpack(data: bytes) -> Blocks:
     lines = zlib.decompress(data).decode()
-    return [(x[1:], x[0] in "23", x[0] in "13") for x in lines.split("\n")] if lines else []
+    return _blocks_of(lines.split("\n")) if lines else []
 
 
 def _packed_blocks(batches):
@@ -191,48 +225,48 @@ def _packed_blocks(batches):
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], packed], names=[*batch.schema.names[:5], "packed"])
 
 
-def _nearer(row: tuple, before: tuple | None, after: tuple | None) -> tuple | None:
-    """The neighbour, (host, path, ...), in the row's own host with the longer common path; the earlier of equals."""
+def _nearer(row: tuple, before: tuple | None, after: tuple | None) -> tuple[tuple | None, tuple | None]:
+    """The neighbours, (host, path, ...), in the row's own host: the longer common path first, the earlier of equals."""
     near = [x for x in (before, after) if x is not None and x[0] == row[0]]
-    return max(near, key=lambda x: _common(row[1], x[1])) if near else None
+    near.sort(key=lambda x: -_common(row[1], x[1]))
+    return (*near, None, None)[:2]
 
 
-def _border_pairs(borders: list) -> list[tuple[int, int | None]]:
-    """(key, key of the nearest) of the tasks' first (kind 0), last (1) and only (2) rows, in order of the tasks."""
+def _border_pairs(borders: list) -> list[tuple[int, int | None, int | None]]:
+    """(key, key of the nearest, key of the other neighbour) of the tasks' first (kind 0), last (1) and only (2) rows, in order of the tasks."""
     own = [(r["host"], r["path"], r["key"]) for r in borders]
     pairs = []
     for i, r in enumerate(borders):
         inner = None if r["inner_key"] is None else (r["host"], r["inner_path"], r["inner_key"])
         before = inner if r["kind"] == 1 else own[i - 1] if i else None
         after = inner if r["kind"] == 0 else own[i + 1] if i + 1 < len(own) else None
-        near = _nearer(own[i], before, after)
-        pairs.append((r["key"], near and near[2]))
+        near, second = _nearer(own[i], before, after)
+        pairs.append((r["key"], near and near[2], second and second[2]))
     return pairs
 
 
 def _neighbours(batches):
     """Texts of pages that come sorted by host and path; a task's first and last page are left for later.
 
-    Rows (kind 3) have their text.  The others have their blocks, and the nearest they have in the task.
+    Rows (kind 3) have their text.  The others have their blocks, and the neighbour they have in the task.
     """
     part, rows, held = TaskContext.get().partitionId(), [], []
 
-    def made(page, near) -> tuple:
+    def made(page, near, second) -> tuple:
         host, path, key, page_id, url, own = page
-        text = "\n".join(main_lines(own, near and [b[0] for b in near[5]]))
-        return (part, 3, key, page_id, url, text, *[None] * 8)
+        text = "\n".join(main_lines(own, near and near[5], second and second[5]))
+        return (part, 3, key, page_id, url, text, *[None] * 6)
 
     def border(kind, page, inner) -> tuple:
         host, path, key, page_id, url, own = page
         inner = inner if inner and inner[0] == host else None
-        parts = [[b[i] for b in own] for i in range(3)]
-        near = (inner[2], inner[1], [b[0] for b in inner[5]]) if inner else (None, None, None)
-        return (part, kind, key, page_id, url, None, host, path, *parts, *near)
+        near = (inner[2], inner[1], _coded(inner[5])) if inner else (None, None, None)
+        return (part, kind, key, page_id, url, None, host, path, _coded(own), *near)
 
     def batch_of(rows) -> pa.RecordBatch:
         columns = zip(*rows, strict=True)
         kinds = [pa.int64(), pa.int32(), pa.int64(), page_kind, pa.string(), pa.string(), pa.string(), pa.string()]
-        kinds += [pa.list_(pa.string()), pa.list_(pa.bool_()), pa.list_(pa.bool_()), pa.int64(), pa.string(), pa.list_(pa.string())]
+        kinds += [pa.list_(pa.string()), pa.int64(), pa.string(), pa.list_(pa.string())]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=COLUMNS)
 
     page_kind, seen = None, 0
@@ -243,7 +277,7 @@ def _neighbours(batches):
             seen += 1
             if len(held) == 3:
                 before, page, after = held
-                rows.append(made(page, _nearer(page, before, after)))
+                rows.append(made(page, *_nearer(page, before, after)))
                 del held[0]
             elif seen == 2:
                 rows.append(border(0, held[0], held[1]))
@@ -257,18 +291,15 @@ def _neighbours(batches):
 
 
 COLUMNS = (
-    "part kind key page_id url text host path lines chrome article inner_key inner_path inner_lines".split()
+    "part kind key page_id url text host path lines inner_key inner_path inner_lines".split()
 )
 
 
 def _differences(batches):
     for batch in batches:
         if batch.num_rows:
-            columns = [batch.column(i).to_pylist() for i in range(2, 6)]
-            texts = [
-                "\n".join(main_lines(list(zip(lines, chrome, article, strict=True)), other))
-                for lines, chrome, article, other in zip(*columns, strict=True)
-            ]
+            columns = [batch.column(i).to_pylist() for i in range(2, 5)]
+            texts = ["\n".join(main_lines(*map(_blocks_of, three))) for three in zip(*columns, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
@@ -302,19 +333,20 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", markup
     dealt = packed.repartitionByRange(max(1, read.rdd.getNumPartitions()), *order).sortWithinPartitions(*order)
     schema = (
         f"part long, kind int, key long, page_id {kind}, url string, text string, host string, path string, "
-        "lines array<string>, chrome array<boolean>, article array<boolean>, "
-        "inner_key long, inner_path string, inner_lines array<string>"
+        "lines array<string>, inner_key long, inner_path string, inner_lines array<string>"
     )
     path = fresh_path(spark, "pages")
     dealt.mapInArrow(_neighbours, schema).write.option("compression", "zstd").parquet(path)
     cut = spark.read.parquet(path)
     borders = cut.where("kind < 3")
     listed = borders.select("part", "kind", "key", "host", "path", "inner_key", "inner_path")
-    pairs = spark.createDataFrame(_border_pairs(listed.orderBy("part", "kind").collect()), "key long, near long")
-    others = borders.select(F.col("key").alias("near"), F.col("lines").alias("other"))
-    met = borders.join(pairs, "key").join(others, "near", "left")
-    other = F.when(F.col("near") == F.col("inner_key"), F.col("inner_lines")).otherwise(F.col("other"))
-    met = met.select("page_id", "url", "lines", "chrome", "article", other.alias("other"))
+    pairs = spark.createDataFrame(_border_pairs(listed.orderBy("part", "kind").collect()), "key long, near long, second long")
+    met, others = borders.join(pairs, "key"), []
+    for name in ("near", "second"):
+        met = met.join(borders.select(F.col("key").alias(name), F.col("lines").alias(f"{name}_lines")), name, "left")
+        inner = F.when(F.col(name) == F.col("inner_key"), F.col("inner_lines"))
+        others.append(inner.otherwise(F.col(f"{name}_lines")).alias(f"{name}_lines"))
+    met = met.select("page_id", "url", "lines", *others)
     late = met.mapInArrow(_differences, f"page_id {kind}, url string, text string")
     found = cut.where("kind = 3").select("page_id", "url", "text").unionAll(late)
     return found.withColumn("n_chars", F.length("text").cast("long"))
