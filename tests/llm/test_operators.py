@@ -317,6 +317,20 @@ def test_page_names_and_long_templates():
     assert extraction.main_lines(a, a, a) == extraction.main_lines(a, a) == [x[0] for x in a]
 
 
+def test_difference_decides_on_marked_pages():
+    def page(n):
+        words = [f"own words {n} {i}" for i in range(2 * n)]
+        lines = [f"title {n}", "By our staff", *words[:n], "a quoted passage", *words[n:], "Read on"]
+        return extraction.blocks("<article>" + "".join(f"<p>{x}</p>" for x in lines) + "</article>")
+
+    left = [b[0] for b in page(3) if b[0] not in ("By our staff", "Read on")]
+    assert extraction.main_lines(page(3), page(4), page(5)) == left and "a quoted passage" in left
+    assert extraction.main_lines(page(3), page(3), page(3)) == [b[0] for b in page(3)]
+    assert extraction.main_lines(page(3), page(4)) == [b[0] for b in page(3)]
+    card = lambda n: extraction.blocks(f"<article>see also {n}</article><p>The site</p><div>{'real text ' * 9}{n}</div>")
+    assert extraction.main_lines(card(1), card(2)) == ["see also 1", "real text " * 9 + "1"]
+
+
 @pytest.mark.parametrize("parts", [1, 2, 7])
 def test_second_neighbours_across_tasks(spark, parts):
     template = "<p>" + "a long template line " * 20 + "</p>"

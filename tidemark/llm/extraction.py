@@ -6,8 +6,11 @@ longer common beginning.  The two pages' blocks are aligned by their longest
 common subsequence, and shared blocks are template text, which goes.  Markup that
 names its purpose (menus, forms, adverts, comments and the like) is no main text
 whatever the other page says.  Where a page marks its article, blocks within are
-the author's own words: a passage that two articles quote stays, and what lies
-outside goes.  Where the nearest shares nearly all of a page, it is either a copy
+the author's own words: a passage that two articles quote stays, but a line that
+both neighbours have in the same place, counted from their articles' beginning or
+end, is template and goes.  What lies outside goes too, unless the article holds
+but a small share of the text that the nearest page doesn't have; then it is a
+teaser, and the difference decides outside.  Where the nearest shares nearly all of a page, it is either a copy
 of the article or has the same long template: the other neighbour in the order
 tells, as only the template is in all three.  If that leaves nothing or there is
 no other neighbour (a host's first and last page), the page stays as it is.  Three near copies side by side,
@@ -34,6 +37,8 @@ from tidemark.session import fresh_path
 
 #: From this share of a page's characters on, a shared text may be a copy of the same article.
 COPY_SHARE = 0.8
+#: An article with less than this share of a page's own characters is a teaser.
+TEASER_SHARE = 0.3
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
@@ -178,18 +183,38 @@ def shared_lines(own: list[str], other: list[str]) -> set[int]:
 Blocks = list[tuple[str, bool, bool]]
 
 
+def same_places(own: Blocks, other: Blocks) -> set[int]:
+    """Places in ``own`` of article lines that stand as far from the beginning or end of ``other``'s article."""
+    mine = [i for i, (_, chrome, article) in enumerate(own) if article and not chrome]
+    theirs = [text for text, chrome, article in other if article and not chrome]
+    ahead = {i for i, text in zip(mine, theirs, strict=False) if own[i][0] == text}
+    return ahead | {i for i, text in zip(mine[::-1], theirs[::-1], strict=False) if own[i][0] == text}
+
+
 def main_lines(own: Blocks, near: Blocks | None, second: Blocks | None = None) -> list[str]:
     """Blocks that stay when the page is compared with its nearest page, and with its other neighbour."""
     lines = [text for text, _, _ in own]
     shared = shared_lines(lines, [b[0] for b in near]) if near else set()
     plain = [i for i, (_, chrome, _) in enumerate(own) if not chrome]
-    same = sum(len(lines[i]) for i in plain if i in shared)
-    if same >= COPY_SHARE * sum(len(lines[i]) for i in plain):
+
+    def size(places) -> int:
+        return sum(len(lines[i]) for i in places)
+
+    article = [i for i in plain if own[i][2]]
+    if article:
+        template = same_places(own, near) & same_places(own, second) if near and second else set()
+        if size(template) >= COPY_SHARE * size(article):
+            template = set()
+        kept = [i for i in article if i not in template]
+        outside = [i for i in plain if not own[i][2] and i not in shared] if near else []
+        if size(kept) < TEASER_SHARE * size(kept + outside):
+            kept = sorted(kept + outside)
+        return [lines[i] for i in kept]
+    if size(i for i in plain if i in shared) >= COPY_SHARE * size(plain):
         shared = shared & shared_lines(lines, [b[0] for b in second]) if second else set()
         if shared.issuperset(plain):
             shared = set()
-    marked = any(article and not chrome for _, chrome, article in own)
-    return [lines[i] for i in plain if (own[i][2] if marked else i not in shared)]
+    return [lines[i] for i in plain if i not in shared]
 
 
 def _common(a: str, b: str) -> int:
