@@ -49,4 +49,4 @@ def test_awkward_rows_pass_every_stage(spark, small):
 
 
 def test_registered():
-    assert [n.split("_")[0] for n in queries.QUERIES][:-1] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES][:-1] == [f"op{i}" for i in range(1, 14)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 import corpus_pipeline
 import public_tokenizers
@@ -15,11 +16,14 @@ from tidemark.llm import (
     extraction,
     language,
     learned_partitions,
+    manifest,
+    mixing,
     packing,
     quality,
     simhash,
     substrings,
     toxicity,
+    trie,
 )
 from tidemark.session import table
 
@@ -75,6 +79,25 @@ def bpe_round_trip(spark: SparkSession, root: str) -> DataFrame:
     return bpe.digests(table(spark, root, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def merkle_manifest(spark: SparkSession, root: str) -> DataFrame:
+    """Texts of every fifth id are lower-cased after the manifest was made, and fail it if that changes them."""
+    documents = table(spark, root, "documents")
+    values = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lower = F.translate("text", ascii_uppercase, ascii_lowercase)
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    claimed = F.when(tampered, manifest.leaf_digest(*values, lower))
+    return manifest.manifest(documents, "doc_id", "source", manifest.leaf_digest(*values, F.col("text")), claimed)
+
+
+def mixed_sources(spark: SparkSession, root: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, root, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def conversation_trie(spark: SparkSession, root: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, root, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_learned_partitions": ann,
     "op2_bradley_terry_quality": quality_classifier,
@@ -86,6 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_blocks": simhash_dedup,
     "op9_packing": packed,
     "op10_bpe": bpe_round_trip,
+    "op11_merkle_manifest": merkle_manifest,
+    "op12_source_mix": mixed_sources,
+    "op13_conversation_trie": conversation_trie,
     "pipeline": corpus_pipeline.run,
 }
 
