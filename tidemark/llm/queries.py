@@ -18,6 +18,7 @@ from tidemark.llm import (
     learned_partitions,
     manifest,
     mixing,
+    oracle,
     packing,
     quality,
     simhash,
@@ -115,6 +116,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_merkle_manifest": oracle.MANIFEST,
+    "op12_source_mix": oracle.MIX,
+    "op13_conversation_trie": oracle.TRIE,
+}
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
