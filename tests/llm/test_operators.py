@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import re
+import time
 import zlib
 
 import numpy as np
@@ -299,7 +301,7 @@ def test_extraction(spark):
     ]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = rows_of(extraction.extract(df.repartition(3)))
-    texts = {1: "First own text\nSecond bold", 2: "Another page's text", 3: "T\nIn side\nMore", 4: "", 5: "", 6: "plain < text"}
+    texts = {1: "First own text\n\nSecond bold", 2: "Another page's text", 3: "T\n\nIn side\n\nMore", 4: "", 5: "", 6: "plain < text"}
     assert got == sorted(((i, u, texts[i], len(texts[i])) for i, u, _ in rows), key=repr)
     assert extraction.extract(df.limit(0)).count() == 0
     assert extraction.shared_lines(list("abcbd"), list("xbcd")) == {1, 2, 4}
@@ -359,3 +361,85 @@ def test_components(spark):
     want = _roots(461, links)
     got = components(spark.createDataFrame(links, "a long, b long").repartition(7))
     assert {r.node: r.root for r in got.collect()} == {i: r for i, r in enumerate(want) if i != r}
+
+
+def test_broken_and_long_pages_take_time_in_proportion():
+    began = time.monotonic()
+    for piece in ("<a ", '<a "', "<!", "<![CDATA[", "<a<a \"'", "<!--", "<script", "<style>", "<a '\">", '<p x="'):
+        for end in ("", '">'):
+            markup = piece * (1_000_000 // len(piece)) + end
+            extraction.blocks(markup)
+            language.page_text(markup)
+    rnd = random.Random(8)
+    lines, others = ([str(rnd.randrange(50_000)) for _ in range(100_000)] for _ in range(2))
+    assert extraction.shared_lines(lines, others)
+    assert time.monotonic() - began < 60
+
+
+def test_alignment_by_halves_is_a_longest_one(monkeypatch):
+    rnd = random.Random(9)
+
+    def longest(a, b):
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+        return table[-1][-1]
+
+    def is_part(some, whole):
+        rest = iter(whole)
+        return all(x in rest for x in some)
+
+    for bits in (1 << 28, 8):
+        monkeypatch.setattr(extraction, "ROW_BITS", bits)
+        for _ in range(200):
+            a, b = ([rnd.choice("abcd") for _ in range(rnd.randint(0, 25))] for _ in range(2))
+            found = extraction.shared_lines(a, b)
+            assert len(found) == longest(a, b) and is_part([a[i] for i in sorted(found)], b)
+
+
+def test_pages_against_a_second_parser():
+    """Blocks of well-formed pages as the standard library's parser sees them."""
+    from html.parser import HTMLParser
+
+    class Texts(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.found, self.piece, self.raw = [], "", 0
+
+        def flush(self):
+            text = " ".join(self.piece.split())
+            self.found += [text] if text else []
+            self.piece = ""
+
+        def handle_starttag(self, tag, attrs):
+            self.raw += tag in ("script", "style")
+            if tag not in extraction.INLINE:
+                self.flush()
+
+        def handle_endtag(self, tag):
+            self.raw -= tag in ("script", "style")
+            if tag not in extraction.INLINE:
+                self.flush()
+
+        def handle_data(self, data):
+            self.piece += "" if self.raw else data
+
+    rnd = random.Random(10)
+    words = ["one", "two &amp; three", "a < b", "é&#8217;s", "  wide\n\tspace "]
+
+    def element(depth):
+        if not depth or rnd.random() < 0.3:
+            return rnd.choice(words)
+        tag = rnd.choice(["p", "div", "b", "a href='x>y'", 'span class="q"', "section", "script"])
+        inner = "var x = 1;" if tag == "script" else "".join(element(depth - 1) for _ in range(rnd.randint(0, 3)))
+        return f"<{tag}>{inner}</{tag.split()[0]}><!-- <p>no</p> -->"
+
+    for _ in range(300):
+        page = "<html><body>" + "".join(f"<div>{element(3)}</div>" for _ in range(4)) + "</body></html>"
+        page = re.sub(r"<p>(?=.*<p>)", "<div>", page).replace("</p>", "</div>") if page.count("<p>") else page
+        page = page.replace("<p>", "<div>")
+        parser = Texts()
+        parser.feed(page)
+        parser.flush()
+        assert [b[0] for b in extraction.blocks(page)] == parser.found

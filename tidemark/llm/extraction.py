@@ -26,7 +26,10 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -35,22 +38,22 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import bounded_batches, host_of, text_or_empty
 from tidemark.session import fresh_path
 
+#: What stands between the blocks of a text.
+SEPARATOR = "\n\n"
 #: From this share of a page's characters on, a shared text may be a copy of the same article.
 COPY_SHARE = 0.8
 #: An article with less than this share of a page's own characters is a teaser.
 TEASER_SHARE = 0.3
+#: Bits of an alignment's rows held at once.
+ROW_BITS = 1 << 28
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
-    r"|<(?P<close>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|(?P<text>[^<]+|<)",
-    re.S,
-)
+NAME = re.compile(r"<(/?)([A-Za-z][^\s/>]{0,99})(?=[\s/>])")
+REST = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
 NAMES = re.compile(r"(?<![\w:.-])(class|id|role|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?=[\s/>=]|$)|aria-hidden\s*=\s*[\"']?true)|display\s*:\s*none", re.I)
 SPACE = re.compile(r"\s+")
 
-# Elements by their purpose, and words of class, id and role that name one.
+# Elements by their purpose.
 RAW = set("script style textarea title xmp iframe noembed noframes noscript template svg math".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter nobr picture "
@@ -59,9 +62,11 @@ INLINE = set(
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 CHROME = set(
     "nav footer aside form button select option fieldset dialog menu script style noscript template iframe "
-    "textarea head title object canvas svg math audio video figcaption".split()
-) - {"figcaption"}
+    "textarea head title object canvas svg math audio video".split()
+)
 ARTICLE = {"article", "main"}
+
+#: A chosen list: words of class, id and role that name an element as no main text.
 PURPOSE = set(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent "
     "gdpr notice alert comment comments commentlist reply replies disqus discussion sidebar side menu nav navbar "
@@ -74,6 +79,78 @@ PURPOSE = set(
 COMMON = set("ad ads alert comment header menu notice related reply share side skip social".split())
 
 
+class Brackets:
+    """Where tags of a broken page end: every quote and bracket is looked at once, however many tags ask."""
+
+    def __init__(self, markup: str):
+        self.markup = markup
+        self.places = [m.start() for m in re.finditer("[>\"']", markup)]
+        self.ends: dict[int, int] = {}
+
+    def end(self, at: int) -> int:
+        """The place of the bracket that closes a tag whose attributes begin at ``at``; -1 if none does."""
+        i, passed, end = bisect_left(self.places, at), [], -1
+        while i < len(self.places):
+            place = self.places[i]
+            if place in self.ends:
+                end = self.ends[place]
+                break
+            passed.append(place)
+            if self.markup[place] == ">":
+                end = place
+                break
+            shut = self.markup.find(self.markup[place], place + 1)
+            if shut < 0:
+                break
+            i = bisect_left(self.places, shut + 1)
+        self.ends.update(dict.fromkeys(passed, end))
+        return end
+
+
+def tokens(markup: str) -> Iterator[tuple[str | None, bool, str]]:
+    """(tag, closing, attributes) of tags and (None, raw, text) of text, in time in proportion to the page.
+
+    A sign that opens no tag is text.  Comments and declarations give nothing;
+    one that never ends takes in the rest of the page, or its first sign is text.
+    """
+    at, size, brackets = 0, len(markup), None
+    last, last_data = markup.rfind(">"), markup.rfind("]]>")
+    while at < size:
+        sign = markup.find("<", at)
+        if sign != at:
+            yield None, False, markup[at : size if sign < 0 else sign]
+            if sign < 0:
+                return
+            at = sign
+        if markup.startswith("<!--", at):
+            end = markup.find("-->", at + 4)
+            at = size if end < 0 else end + 3
+            continue
+        if at + 9 <= last_data and markup.startswith("<![CDATA[", at):
+            end = markup.find("]]>", at + 9)
+            yield None, True, markup[at + 9 : end]
+            at = end + 3
+            continue
+        if at + 2 <= last and markup[at + 1] in "!?":
+            at = markup.find(">", at + 2) + 1
+            continue
+        name = NAME.match(markup, at) if at < last else None
+        if name:
+            if brackets is None:
+                rest = REST.match(markup, name.end())
+                if rest is None:
+                    brackets = Brackets(markup)
+                end = rest.end() - 1 if rest else -1
+            else:
+                end = brackets.end(name.end())
+            if end >= 0:
+                yield name[2].lower(), bool(name[1]), markup[name.end() : end]
+                at = end + 1
+                continue
+        yield None, False, "<"
+        at += 1
+
+
 def names_purpose(attributes: str, article: bool) -> bool:
     """Whether a class, id, role or itemprop names an element as no main text.
 
@@ -104,13 +181,11 @@ def blocks(markup: str) -> list[tuple[str, bool, bool]]:
             if text:
                 out.append((text, chrome, article))
 
-    for match in TOKEN.finditer(markup):
-        tag = match["tag"]
+    for tag, closing, rest in tokens(markup):
         if tag is None:
-            if not skip_to and (match["text"] is not None or match[0].startswith("<![CDATA[")):
-                pieces.append(match[0] if match["text"] is not None else html.escape(match[0][9:-3]))
+            if not skip_to:
+                pieces.append(html.escape(rest) if closing else rest)
             continue
-        tag, closing = tag.lower(), bool(match["close"])
         if skip_to:
             if closing and tag == skip_to:
                 skip_to = ""
@@ -118,7 +193,6 @@ def blocks(markup: str) -> list[tuple[str, bool, bool]]:
         if tag == "br" or tag == "img":
             pieces.append(" ")
             continue
-        rest = match["rest"]
         if tag not in INLINE:
             flush()
         if closing:
@@ -157,7 +231,44 @@ def blocks(markup: str) -> list[tuple[str, bool, bool]]:
 
 
 def shared_lines(own: list[str], other: list[str]) -> set[int]:
-    """Places in ``own`` of a longest common subsequence with ``other``, by bit-parallel rows."""
+    """Places in ``own`` of a longest common subsequence with ``other``.
+
+    Common beginnings and ends are set aside first.
+    """
+    least = min(len(own), len(other))
+    ahead = next((i for i in range(least) if own[i] != other[i]), least)
+    least -= ahead
+    behind = next((i for i in range(least) if own[-1 - i] != other[-1 - i]), least)
+    inner = _aligned(own[ahead : len(own) - behind], other[ahead : len(other) - behind])
+    return {*range(ahead), *(ahead + i for i in inner), *range(len(own) - behind, len(own))}
+
+
+def _lengths(own: list[str], other: list[str]) -> np.ndarray:
+    """Length of the longest common subsequence of each beginning of ``own`` with all of ``other``."""
+    where: dict[str, int] = {}
+    for i, line in enumerate(own):
+        where[line] = where.get(line, 0) | 1 << i
+    full = row = (1 << len(own)) - 1
+    for line in other:
+        if line in where:
+            hit = row & where[line]
+            row = ((row + hit) | (row - hit)) & full
+    packed = np.frombuffer(row.to_bytes(-(-len(own) // 8), "little"), np.uint8)
+    unset = 1 - np.unpackbits(packed, bitorder="little")[: len(own)]
+    return np.concatenate([[0], np.cumsum(unset, dtype=np.int64)])
+
+
+def _aligned(own: list[str], other: list[str]) -> set[int]:
+    """As ``shared_lines``, by bit-parallel rows; where they would take much memory, by halves of ``other``."""
+    if len(own) * len(other) <= ROW_BITS or len(other) < 2:
+        return _aligned_rows(own, other)
+    middle = len(other) // 2
+    upper = _lengths(own, other[:middle]) + _lengths(own[::-1], other[middle:][::-1])[::-1]
+    cut = int(np.argmax(upper))
+    return _aligned(own[:cut], other[:middle]) | {cut + i for i in _aligned(own[cut:], other[middle:])}
+
+
+def _aligned_rows(own: list[str], other: list[str]) -> set[int]:
     where: dict[str, int] = {}
     for i, line in enumerate(own):
         where[line] = where.get(line, 0) | 1 << i
@@ -243,11 +354,31 @@ def _unpack(data: bytes) -> Blocks:
     return _blocks_of(lines.split("\n")) if lines else []
 
 
-def _packed_blocks(batches):
-    for batch in batches:
-        if batch.num_rows:
-            packed = pa.array([_pack(blocks(m)) for m in batch.column(5).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], packed], names=[*batch.schema.names[:5], "packed"])
+def _packer(edges: list[tuple[str, str, int]]):
+    """Pages with their blocks in place of the markup, and the number of the range that their address is in."""
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                host, path, key = (batch.column(i).to_pylist() for i in range(3))
+                ranges = [bisect_right(edges, x) for x in zip(host, path, key, strict=True)]
+                packed = pa.array([_pack(blocks(m)) for m in batch.column(5).to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:5], packed, pa.array(ranges, pa.int32())],
+                    names=[*batch.schema.names[:5], "packed", "range"],
+                )
+
+    return run
+
+
+def _edges(read: DataFrame, count: int) -> list[tuple[str, str, int]]:
+    """First address of each range but the first, of ``count`` about equal ones; only addresses are read."""
+    if count < 2:
+        return []
+    order = ["host", "path", "key"]
+    dealt = read.select(*order).repartitionByRange(count, *order)
+    firsts = dealt.groupBy(F.spark_partition_id()).agg(F.min(F.struct(*order)).alias("first")).collect()
+    return sorted(tuple(r["first"]) for r in firsts)[1:]
 
 
 def _nearer(row: tuple, before: tuple | None, after: tuple | None) -> tuple[tuple | None, tuple | None]:
@@ -279,7 +410,7 @@ def _neighbours(batches):
 
     def made(page, near, second) -> tuple:
         host, path, key, page_id, url, own = page
-        text = "\n".join(main_lines(own, near and near[5], second and second[5]))
+        text = SEPARATOR.join(main_lines(own, near and near[5], second and second[5]))
         return (part, 3, key, page_id, url, text, *[None] * 6)
 
     def border(kind, page, inner) -> tuple:
@@ -324,7 +455,7 @@ def _differences(batches):
     for batch in batches:
         if batch.num_rows:
             columns = [batch.column(i).to_pylist() for i in range(2, 5)]
-            texts = ["\n".join(main_lines(*map(_blocks_of, three))) for three in zip(*columns, strict=True)]
+            texts = [SEPARATOR.join(main_lines(*map(_blocks_of, three))) for three in zip(*columns, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
@@ -352,10 +483,11 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", markup
         "markup",
     )
     order, kind = ["host", "path", "key"], read.schema["page_id"].dataType.simpleString()
+    edges = _edges(read, max(1, read.rdd.getNumPartitions()))
     packed = read.mapInArrow(
-        _packed_blocks, f"host string, path string, key long, page_id {kind}, url string, packed binary"
+        _packer(edges), f"host string, path string, key long, page_id {kind}, url string, packed binary, range int"
     )
-    dealt = packed.repartitionByRange(max(1, read.rdd.getNumPartitions()), *order).sortWithinPartitions(*order)
+    dealt = packed.repartitionById(len(edges) + 1, F.col("range")).drop("range").sortWithinPartitions(*order)
     schema = (
         f"part long, kind int, key long, page_id {kind}, url string, text string, host string, path string, "
         "lines array<string>, inner_key long, inner_path string, inner_lines array<string>"

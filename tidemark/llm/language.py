@@ -35,7 +35,8 @@ EVIDENCE = 40.0
 HOST_WEIGHT = DOMAIN_WEIGHT = 5.0
 MARK_WEIGHT = 1.0
 
-TAGS = re.compile(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>", re.S | re.I)
+RAW = re.compile(r"<(script|style)\b", re.I)
+RAW_ENDS = {tag: re.compile(rf"</{tag}\s*+>", re.I) for tag in ("script", "style")}
 DECLARED = r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})(?![a-z])"
 WORDS = re.compile(r"[^\W\d_]+")
 
@@ -50,7 +51,29 @@ def trigrams(text: str) -> Counter:
 
 
 def page_text(markup: str) -> str:
-    return html.unescape(TAGS.sub(" ", markup))
+    """The page without comments, scripts, styles and tags, in time in proportion to its length.
+
+    What never ends is no comment or script: its first sign opens a tag, or is text if no tag ends either.
+    """
+    out, at, ends = [], 0, {"-->": True, ">": True, "script": True, "style": True}
+    while (sign := markup.find("<", at)) >= 0:
+        out.append(markup[at:sign])
+        end = -1
+        if ends["-->"] and markup.startswith("<!--", sign):
+            end = markup.find("-->", sign + 4)
+            ends["-->"] = end >= 0
+            end += 3 if end >= 0 else 0
+        elif (raw := RAW.match(markup, sign)) and ends[raw[1].lower()]:
+            shut = RAW_ENDS[raw[1].lower()].search(markup, raw.end())
+            ends[raw[1].lower()] = shut is not None
+            end = shut.end() if shut else -1
+        if end < 0 and ends[">"]:
+            end = markup.find(">", sign) + 1
+            ends[">"] = end > 0
+            end = end or -1
+        out.append(" " if end >= 0 else "<")
+        at = end if end >= 0 else sign + 1
+    return html.unescape("".join([*out, markup[at:]]))
 
 
 class Model:
