@@ -7,7 +7,8 @@ read again as the next one's ``docs``.  All but the last return the columns of
 Defined results: NULL and empty texts pass the toxicity stage, which finds
 nothing in them, and are judged by the quality model like any other; rows with a
 NULL id can't be told apart by id, so each of them is judged by its own text; an
-empty table gives no rows.
+id that stands on several texts keeps one row for each group of near-duplicates
+whose smallest id it is; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import packing, quality, simhash, substrings, toxicity
+from tidemark.llm.common import free_name
 from tidemark.session import cut_lineage, table
 
 #: No SQL states the trained scores, the fingerprints' components or the packing.
@@ -42,19 +44,24 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates.
 
-    Rows that repeat the kept id are reduced to one; only those are shuffled with
-    their texts.
+    Of rows that repeat the kept id, one with the group's fingerprint stays; only
+    rows with such ids are fingerprinted again and shuffled with their texts.
     """
-    found = simhash.near_duplicates(docs, simhash.SHINGLE_WORDS, simhash.DISTANCE)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("times")
+    found = cut_lineage(simhash.near_duplicates(docs, simhash.SHINGLE_WORDS, simhash.DISTANCE))
+    kept = found.where(F.col("doc_id") == F.col("component_id")).groupBy("root").agg(
+        F.min("doc_id").alias("doc_id"), F.min("fingerprint").alias("fingerprint")
     )
+    times = found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("times"))
     # the same plan at every size: the kept ids grow with the documents
-    kept = cut_lineage(kept).hint("merge")
+    kept = cut_lineage(kept.join(times, "doc_id")).hint("merge")
     once = docs.join(kept.where("times = 1").select("doc_id"), "doc_id", "left_semi")
-    several = docs.join(kept.where("times > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    repeated = docs.join(kept.where("times > 1").select("doc_id").distinct(), "doc_id", "left_semi")
+    fp, name = free_name(docs, "fp"), free_name(docs, "fingerprint")
+    several = simhash.with_fingerprint(repeated, fp).withColumn(name, simhash.printed(fp))
+    chosen = kept.where("times > 1").select("doc_id", F.col("fingerprint").alias(name))
+    several = several.join(chosen, ["doc_id", name], "left_semi").dropDuplicates(["doc_id", name])
     unnamed = docs.where(F.col("doc_id").isNull())
-    return once.unionAll(several).unionAll(unnamed).select(*docs.columns)
+    return once.select(*docs.columns).unionAll(several.select(*docs.columns)).unionAll(unnamed.select(*docs.columns))
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

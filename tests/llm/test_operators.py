@@ -287,6 +287,45 @@ def test_long_clean_text_is_not_toxic(spark):
     assert model.score(".".join(sentences[:50_000]) + "." + worst, known)[0] >= toxicity.THRESHOLD
 
 
+def test_joined_clean_documents_are_judged_by_their_worst(spark):
+    """Ten whole clean documents in one are toxic about as often as one of them is."""
+    documents, labels = (spark.read.parquet(f"{MEDIUM}/{n}.parquet") for n in ("documents", "labels"))
+    model = toxicity.fit(documents, labels)
+    known = model.known()
+    clean = [t or "" for (t,) in documents.join(labels.where("toxic = 0"), "doc_id").orderBy("doc_id").select("text").collect()]
+    called = [model.score(t, known)[0] >= toxicity.THRESHOLD for t in clean]
+    tens = range(0, len(clean) - 9, 10)
+    joined = sum(model.score(". ".join(clean[i : i + 10]), known)[0] >= toxicity.THRESHOLD for i in tens)
+    single = sum(any(called[i : i + 10]) for i in tens)
+    assert joined - single <= 0.03 * len(tens)
+
+
+def test_noisy_or_training_against_numeric_gradients(monkeypatch):
+    """One Adam step from the start moves each weight by the sign of the loss's numeric gradient."""
+    rnd = random.Random(12)
+    rows = [(int(i % 3 == 0), rnd.randint(0, 3), [[rnd.randrange(5) for _ in range(2)] for _ in range(rnd.randint(0, 3))]) for i in range(40)]
+
+    def loss(weight, bias):
+        total = 0.0
+        for label, plain, bags in rows:
+            base = np.logaddexp(0, bias)
+            odds = [bias + weight[sorted(b)].sum() for b in bags]
+            clean = (base if plain or bags else 0.0) + sum(np.logaddexp(0, z) - base for z in odds if z >= bias)
+            total += -np.log(max(-np.expm1(-clean), 1e-9)) if label else clean
+        return total / len(rows) + toxicity.SHRINK * (weight**2).sum() / 2
+
+    monkeypatch.setattr(toxicity, "STEPS", 1)
+    monkeypatch.setattr(toxicity, "gate", lambda bias, closed=1.0: bias)
+    weight, bias = toxicity.train(rows, 5)
+    start, step = np.zeros(5), 1e-5
+    for i in range(5):
+        up = loss(start + step * np.eye(5)[i], -5.0) - loss(start, -5.0)
+        assert np.sign(weight[i]) == -np.sign(up)
+    assert np.sign(bias + 5.0) == -np.sign(loss(start, -5.0 + step) - loss(start, -5.0 - step))
+    monkeypatch.setattr(toxicity, "STEPS", 300)
+    assert loss(*toxicity.train(rows, 5)) < loss(start, -5.0)
+
+
 def test_extraction(spark):
     def page(body):
         return f"<html><head><title>t</title></head><body><nav>menu</nav>{body}<form>f</form><div class='comments'><p>c</p></div></body></html>"

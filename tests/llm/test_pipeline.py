@@ -25,6 +25,14 @@ def test_stages_keep_columns_and_decide(spark):
     )
 
 
+def test_repeated_ids_keep_one_row_of_each_group(spark, small):
+    a, b = "one two three four five six seven", "quite another text with other words in it"
+    for ids, want in (([(5, a), (5, b)], [(5, a), (5, b)]), ([(3, a), (5, a), (5, b), (5, b)], [(3, a), (5, b)])):
+        docs = spark.createDataFrame(ids, "doc_id long, text string").withColumn("fp", F.lit("x"))
+        got = cp.simhash_stage(spark, docs, small)
+        assert got.columns == docs.columns and sorted((r.doc_id, r.text) for r in got.collect()) == want
+
+
 def test_run_packs_what_the_stages_keep(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     for _, stage in cp.STAGES[:-1]:

@@ -69,7 +69,7 @@ def language_id(spark: SparkSession, root: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, root: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, root, "documents"))
+    return simhash.near_duplicates(table(spark, root, "documents")).drop("root")
 
 
 def packed(spark: SparkSession, root: str) -> DataFrame:

@@ -18,7 +18,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -65,7 +65,7 @@ def with_fingerprint(df: DataFrame, out: str, text: str = "text", shingle_words:
     return with_text_column(df, out, LongType(), make, text)
 
 
-def pigeonhole_keys(column: str, distance: int, blocks: int) -> F.Column:
+def pigeonhole_keys(column: str, distance: int, blocks: int) -> Column:
     """Array of (choice, kept bits) hashes, one for each choice of ``blocks - distance`` blocks."""
     edges = [64 * i // blocks for i in range(blocks + 1)]
     keys = []
@@ -107,7 +107,10 @@ def near_duplicates(
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """(doc_id, fingerprint, component_id): the smallest id reachable by links of at most ``distance`` bits."""
+    """(doc_id, fingerprint, component_id, root): the smallest id reachable by links of at most ``distance`` bits.
+
+    ``root`` names the group itself, also where one id stands on texts of several groups.
+    """
     slim = df.select(df[doc_id].alias("doc_id"), df[text].alias("text"))
     prints = cut_lineage(with_fingerprint(slim, "fp", "text", shingle_words).drop("text"))
     distinct = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
@@ -116,7 +119,10 @@ def near_duplicates(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     named = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_print = placed.join(named, "root").select("fp", "component_id")
-    return prints.join(by_print, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    by_print = placed.join(named, "root").select("fp", "component_id", "root")
+    return prints.join(by_print, "fp").select("doc_id", printed("fp").alias("fingerprint"), "component_id", "root")
+
+
+def printed(fp: str) -> Column:
+    """A fingerprint as 16 hexadecimal digits."""
+    return F.lower(F.lpad(F.hex(fp), 16, "0"))
