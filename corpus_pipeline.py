@@ -47,7 +47,7 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Of rows that repeat the kept id, one with the group's fingerprint stays; only
     rows with such ids are fingerprinted again and shuffled with their texts.
     """
-    found = cut_lineage(simhash.near_duplicates(docs, simhash.SHINGLE_WORDS, simhash.DISTANCE))
+    found = cut_lineage(simhash.near_duplicates(docs, simhash.SHINGLE_WORDS, simhash.DISTANCE, groups=True))
     kept = found.where(F.col("doc_id") == F.col("component_id")).groupBy("root").agg(
         F.min("doc_id").alias("doc_id"), F.min("fingerprint").alias("fingerprint")
     )

@@ -106,10 +106,11 @@ def near_duplicates(
     blocks: int = BLOCKS,
     doc_id: str = "doc_id",
     text: str = "text",
+    groups: bool = False,
 ) -> DataFrame:
-    """(doc_id, fingerprint, component_id, root): the smallest id reachable by links of at most ``distance`` bits.
+    """(doc_id, fingerprint, component_id): the smallest id reachable by links of at most ``distance`` bits.
 
-    ``root`` names the group itself, also where one id stands on texts of several groups.
+    With ``groups`` a column ``root`` names the group itself, also where one id stands on texts of several.
     """
     slim = df.select(df[doc_id].alias("doc_id"), df[text].alias("text"))
     prints = cut_lineage(with_fingerprint(slim, "fp", "text", shingle_words).drop("text"))
@@ -120,7 +121,8 @@ def near_duplicates(
     )
     named = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     by_print = placed.join(named, "root").select("fp", "component_id", "root")
-    return prints.join(by_print, "fp").select("doc_id", printed("fp").alias("fingerprint"), "component_id", "root")
+    found = prints.join(by_print, "fp").withColumn("fingerprint", printed("fp"))
+    return found.select("doc_id", "fingerprint", "component_id", *(["root"] if groups else []))
 
 
 def printed(fp: str) -> Column:
