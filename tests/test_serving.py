@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import materialize as mat
-from tidemark.operators import quality, retrieval
+from tidemark.operators import quality, retrieval, tiles
 from tidemark.operators import transform as tr
 from tidemark.session import cut_lineage, fresh_path, shared_dir
 from tidemark.sources import readers, sinks
@@ -312,6 +312,61 @@ def test_replayed_batch_leaves_one_copy(spark):
     assert merged.agg(F.sum("v__count")).first()[0] == 6
 
 
+def test_streams_on_one_path_keep_apart(spark):
+    """Both streams number their batches from 0; a restart goes on under the same name."""
+    path, schema = fresh_path(spark, "apart"), spark.createDataFrame([], ROWS).schema
+    names = set()
+    for key in ("a", "b"):
+        source, checkpoint = fresh_path(spark, "apart-source"), fresh_path(spark, "apart-checkpoint")
+        for value in (1, 2):
+            spark.createDataFrame([(key, A, value)], ROWS).write.mode("append").parquet(source)
+            stream = ingest.file_stream(spark, source, schema)
+            write = ingest.microbatch_latest(["k"], "ts", offline_path=f"{path}/off")
+            names.add(str(ingest.stream_ingest(stream, write, checkpoint=checkpoint).id))
+    stored = spark.read.parquet(f"{path}/off")
+    assert sorted((r.k, r.v) for r in stored.collect()) == [("a", 1), ("a", 2), ("b", 1), ("b", 2)]
+    assert {r[0] for r in stored.select(mat.WRITER).distinct().collect()} == names and len(names) == 2
+
+
+def test_tile_states_after_replay_and_restart(spark):
+    path, checkpoint, source = (fresh_path(spark, n) for n in ("states", "states-checkpoint", "states-source"))
+    schema = spark.createDataFrame([], ROWS).schema
+    batches = []
+
+    def write(batch, number):
+        """Each batch is written twice, as after a failure before its commit."""
+        batches.append(number)
+        for _ in range(2):
+            ingest.write_updates(path)(batch, number)
+
+    for rows in ([("a", A, 1), ("b", A, 5)], [("a", A, 2)], [("a", B, 3)]):
+        spark.createDataFrame(rows, ROWS).write.mode("append").parquet(source)
+        states = ingest.tile_states(ingest.file_stream(spark, source, schema), ["k"], "ts", ["v"], 3600, "400 days")
+        ingest.stream_ingest(states, write, checkpoint=checkpoint)
+    found = ingest.read_tile_states(spark, path, ["k"], ["v"])
+    whole = tiles.hop_partials(spark.read.parquet(source), ["k"], "ts", ["v"], 3600)
+    digest = lambda df: sorted(tuple(r) for r in df.select(*whole.columns).collect())
+    assert digest(found) == digest(whole) and sorted(set(batches)) == batches
+
+
+def test_a_push_tried_again_leaves_one_copy(spark):
+    df = spark.createDataFrame([("a", A, 1)], ROWS)
+    path = fresh_path(spark, "again")
+    view = {"offline_path": f"{path}/off", "online_path": f"{path}/on", "keys": ["k"], "ts": "ts"}
+    for push in ("one", "one", "two", None):
+        sinks.push_source(df, [view], "online_and_offline", push=push)
+    assert spark.read.parquet(f"{path}/off").count() == 3
+    assert mat.read_online(spark, f"{path}/on", ["k"], "ts").count() == 1
+
+
+def test_views_keep_their_mapping_in_retrieval(spark):
+    from tidemark.plans.serving import historical_mapped
+
+    made = historical_mapped(spark, "/root/testdata/sf0.001")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+
+
 def test_one_window_per_stream(spark):
     from tidemark.spec import Aggregation
 

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import outer_join_windows
 from tidemark.operators.splits import micros, ordered_total
 from tidemark.operators.windows import tie_break
 from tidemark.spec import Aggregation
@@ -42,15 +41,6 @@ def windowed_agg(
     )
 
 
-def tumbling_agg(
-    df: DataFrame, keys: Sequence[str], ts: str, aggs: Sequence[Aggregation]
-) -> DataFrame:
-    """Tumbling windows; every window size is its own pass, put side by side by window end."""
-    sizes = sorted({a.window for a in aggs})
-    frames = [windowed_agg(df, keys, ts, [a for a in aggs if a.window == s]) for s in sizes]
-    return frames[0] if len(frames) == 1 else outer_join_windows(frames, [*keys, "window_end"])
-
-
 def odfv_aggregate(
     df: DataFrame, keys: Sequence[str], aggs: Sequence[Aggregation]
 ) -> DataFrame:

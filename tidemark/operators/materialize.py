@@ -134,8 +134,12 @@ def write_online(
     if batch is None:
         writer, batch = writer or new_writer("push"), 0
     newest = dedup_latest(df, keys, ts, created).withColumn(COMMITTED, F.lit(time.time_ns() // 1000))
-    folder = f"{path}/{WRITER}={writer or 'main'}/{BATCH}={batch}"
-    newest.write.mode("overwrite").parquet(folder)
+    newest.write.mode("overwrite").parquet(batch_folder(path, writer or "main", batch))
+
+
+def batch_folder(path: str, writer: str, batch: int) -> str:
+    """Where one writer's batch goes; no other writer or batch has this folder."""
+    return f"{path}/{WRITER}={writer}/{BATCH}={batch}"
 
 
 def new_writer(kind: str) -> str:

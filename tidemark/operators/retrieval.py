@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
@@ -11,6 +12,7 @@ from tidemark.operators.asof import pit_join_multi
 from tidemark.operators.joins import prefixed
 from tidemark.operators.materialize import lookup_status
 from tidemark.operators.transform import OnDemandView, needed_features, odfv_dependencies
+from tidemark.operators.windows import under_view_names
 from tidemark.spec import ViewSpec
 
 EVENT_TIMESTAMP = "event_timestamp"
@@ -87,11 +89,7 @@ def historical_features(
     spine_ts = spine_ts or infer_timestamp(spine)
     stored, _ = needed_features(refs, on_demand)
     groups = grouped_refs(stored, {n: v.features for n, (_, v) in views.items()})
-    members = [
-        (views[n][0], ViewSpec(n, v.keys, asked, v.ts, v.created, v.ttl, v.key_map))
-        for n, asked in groups.items()
-        for v in (views[n][1],)
-    ]
+    members = [(views[n][0], replace(views[n][1], name=n, features=asked)) for n, asked in groups.items()]
     joined = pit_join_multi(spine, members, spine_ts, full_names=True)
     made = odfv_dependencies(joined, refs, on_demand, spine.columns)
     return made.withColumnsRenamed(rename)
@@ -117,7 +115,7 @@ def online_features(
     for name, asked in groups.items():
         df, view = tables[name]
         keys = view.spine_keys()
-        latest = df.withColumnsRenamed(dict(zip(view.keys, keys))).select(*keys, *asked, view.ts)
+        latest = under_view_names(df, view).withColumnsRenamed(dict(zip(view.keys, keys))).select(*keys, *asked, view.ts)
         latest = prefixed(latest, name, keys)
         ts = f"{name}__{view.ts}"
         found = lookup_status(found, latest, keys, ts, view.ttl, now)

@@ -56,6 +56,12 @@ def first_per_key(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     return extreme_per_key(df, keys, [ts], newest=False)
 
 
+def under_view_names(df: DataFrame, view: ViewSpec) -> DataFrame:
+    """The rows with the view's column names; rows that have them already stay as they are."""
+    renames = {old: new for old, new in view.renames.items() if old in df.columns}
+    return df.drop(*[new for new in renames.values() if new not in renames]).withColumnsRenamed(renames)
+
+
 def view_rows(
     df: DataFrame, view: ViewSpec, start: Column | None, end: Column
 ) -> DataFrame:
@@ -64,8 +70,7 @@ def view_rows(
     Where the source is laid out by a partition column, that column gets the same
     bounds, so the folders outside them are not read.
     """
-    renames = {old: new for old, new in view.renames.items() if old in df.columns}
-    df = df.drop(*[new for new in renames.values() if new not in renames]).withColumnsRenamed(renames)
+    df = under_view_names(df, view)
 
     def bounded(column: Column, low: Column | None, high: Column) -> Column:
         return column <= high if low is None else column.between(low, high)

@@ -92,7 +92,7 @@ def tumbling_agg(spark, root):
         Aggregation("value", "count", DAY),
         Aggregation("value", "max", DAY),
     ]
-    windowed = aggregate.tumbling_agg(table(spark, root, "events"), ["user_id"], "ts", aggs)
+    windowed = tiles.tumbling_agg(table(spark, root, "events"), ["user_id"], "ts", aggs)
     return rounded(windowed, 2, "sum_value_21600s")
 
 
@@ -174,6 +174,43 @@ def windowed_from_tiles(spark, root):
     return rounded(rounded(made, 2, "sum_value_86400s"), 6, "avg_value_86400s")
 
 
+@query(
+    "window_changes",
+    f"""
+WITH {HOPS},
+ends AS (SELECT DISTINCT user_id, hop_ms + 3600000 + d AS e FROM hops, (VALUES (0), (21600000), (86400000)) v(d)),
+w AS (SELECT n.user_id, e, s, lo, hi, q, n, CASE WHEN hop_ms >= e - 21600000 THEN s END AS s6,
+        CASE WHEN hop_ms >= e - 21600000 THEN lo END AS lo6
+      FROM ends n LEFT JOIN hops h ON h.user_id = n.user_id AND hop_ms >= e - 86400000 AND hop_ms < e)
+SELECT user_id, e AS window_end_ms, round(sum(s6), 2) AS sum_value_21600s, min(lo6) AS min_value_21600s,
+  coalesce(sum(n), 0)::BIGINT AS count_value_86400s, max(hi) AS max_value_86400s,
+  round(CASE WHEN sum(n) > 1 THEN sqrt(greatest(sum(q) - sum(s) * sum(s) / sum(n), 0) / (sum(n) - 1)) END, 4) AS std_value_86400s
+FROM w GROUP BY user_id, e
+""",
+)
+def window_changes(spark, root):
+    events = table(spark, root, "events")
+    partials = tiles.hop_partials(events, ["user_id"], "ts", ["value"], HOUR)
+    aggs = [Aggregation("value", f, 6 * HOUR) for f in ("sum", "min")]
+    aggs += [Aggregation("value", f, DAY) for f in ("count", "max", "std")]
+    made = tiles.window_changes(partials, ["user_id"], HOUR, aggs)
+    return rounded(rounded(made, 2, "sum_value_21600s"), 4, "std_value_86400s")
+
+
+@query(
+    "cumulative_changes",
+    f"""
+WITH {HOPS}
+SELECT user_id, hop_ms, hop_ms + 3600000 AS tile_end_ms, (sum(n) OVER w)::BIGINT AS value__count,
+  round(sum(s) OVER w, 2) AS value__sum, round(sum(q) OVER w, 4) AS value__sum_sq
+FROM hops WINDOW w AS (PARTITION BY user_id ORDER BY hop_ms)
+""",
+)
+def cumulative_changes(spark, root):
+    made = tiles.cumulative_tiles(table(spark, root, "events"), ["user_id"], "ts", ["value"], HOUR, dense=False)
+    return rounded(rounded(made, 2, "value__sum"), 4, "value__sum_sq")
+
+
 @query(
     "tiled_latest",
     """

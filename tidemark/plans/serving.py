@@ -268,6 +268,52 @@ def historical_features_query(spark, root):
     return historical_features(spine, views, refs, on_demand=[SUM], full_names=True)
 
 
+MAPPED_SQL = f"""
+WITH spine AS (SELECT event_id, user_id, ts AS entity_ts FROM events WHERE event_type = 'purchase')
+SELECT event_id, user_id, entity_ts, {newest_sql("click")} AS clicks__amount FROM spine s
+"""
+
+
+def mapped_view(spark, root):
+    """Clicks stored under other names and laid out by day, and the view that maps them."""
+    path = fresh_path(spark, "mapped")
+    clicks = table(spark, root, "events").filter("event_type = 'click'")
+    stored = clicks.select(
+        F.col("user_id").alias("uid"), F.col("ts").alias("at"), F.col("value").alias("raw"),
+        F.date_format("ts", "yyyy-MM-dd").alias("day"),
+    )
+    stored.repartition("day").write.partitionBy("day").parquet(path)
+    names = {"uid": "user_id", "at": "ts", "raw": "amount"}
+    view = ViewSpec("any", ["user_id"], ["amount"], "ts", ttl=10 * DAY, renames=names, partition="day")
+    return spark.read.parquet(path), view
+
+
+@query("historical_mapped", MAPPED_SQL)
+def historical_mapped(spark, root):
+    """A view under another name, with mapped columns, over folders by day."""
+    spine = table(spark, root, "events").filter("event_type = 'purchase'")
+    spine = spine.select("event_id", "user_id", F.col("ts").alias("entity_ts"))
+    return historical_features(spine, {"clicks": mapped_view(spark, root)}, ["clicks:amount"], full_names=True)
+
+
+@query(
+    "online_mapped",
+    """
+WITH c AS (SELECT user_id, max_by(value, ts) AS amount, max(ts) AS ts FROM events WHERE event_type = 'click' GROUP BY 1)
+SELECT o_orderkey, o_custkey AS user_id, amount,
+  CASE WHEN c.ts IS NULL THEN 'NOT_FOUND' WHEN c.ts < TIMESTAMP '2024-01-31' - INTERVAL 10 DAY
+    THEN 'OUTSIDE_MAX_AGE' ELSE 'PRESENT' END AS clicks__status
+FROM orders LEFT JOIN c ON c.user_id = o_custkey
+""",
+)
+def online_mapped(spark, root):
+    """The stored side keeps the source's names; the view maps them."""
+    df, view = mapped_view(spark, root)
+    requests = table(spark, root, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"))
+    tables = {"clicks": (mat.dedup_latest(df.drop("day"), ["uid"], "at"), view)}
+    return online_features(requests, tables, ["clicks:amount"], stamp("2024-01-31 00:00:00"))
+
+
 @query(
     "online_features",
     f"""

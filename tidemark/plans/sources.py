@@ -153,6 +153,17 @@ def sink_view_output(spark, root):
     return read_online(spark, f"{path}/online", ["o_custkey"], "o_orderdate")
 
 
+@query("push_again", ORDERS)
+def push_again(spark, root):
+    """A push that is tried again under its name, beside one of another name, leaves one copy of each."""
+    path = fresh_path(spark, "pushes")
+    rows = orders(spark, root)
+    late = F.col("o_orderdate") >= F.expr("TIMESTAMP_NTZ '1998-01-01 00:00:00'")
+    for name, part in (("early", ~late), ("late", late), ("early", ~late)):
+        sinks.sink_view_output(rows.filter(part), path, push=name)
+    return spark.read.parquet(path).select(*rows.columns)
+
+
 @query("persist_dataset", ORDERS)
 def persist_dataset(spark, root):
     name = f"saved_{uuid.uuid4().hex}"

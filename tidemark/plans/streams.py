@@ -64,6 +64,64 @@ def online_writers(spark, root):
     return stored.select(*COLUMNS)
 
 
+def two_streams(spark, root, split):
+    """Events as two streams, apart by ``split``."""
+    events = table(spark, root, "events").select(*COLUMNS)
+    streams = []
+    for i in range(2):
+        source = fresh_path(spark, "writers-source")
+        events.filter(F.pmod(split, F.lit(2)) == i).write.parquet(source)
+        streams.append(ingest.file_stream(spark, source, events.schema))
+    return streams
+
+
+@query("offline_writers", NEWEST.format(value="value"))
+def offline_writers(spark, root):
+    """Two streams into one history: both number their batches from 0."""
+    path = fresh_path(spark, "writers-offline")
+    for stream in two_streams(spark, root, F.col("user_id")):
+        ingest.stream_ingest(stream, ingest.microbatch_latest(["user_id"], "ts", offline_path=path))
+    return spark.read.parquet(path).select(*COLUMNS)
+
+
+@query(
+    "tile_writers",
+    f"""
+WITH {HOPS} SELECT user_id, hop_ms, n AS value__count, round(s, 2) AS value__sum, lo AS value__min, hi AS value__max FROM hops
+""",
+)
+def tile_writers(spark, root):
+    """Two streams into one table of tiles, with rows of the same users and hops."""
+    path = fresh_path(spark, "writers-tiles")
+    for stream in two_streams(spark, root, F.col("event_id")):
+        ingest.stream_ingest(stream, ingest.write_tiles(path, ["user_id"], "ts", ["value"], HOUR))
+    found = ingest.read_tiles(spark, path, ["user_id"], ["value"])
+    return rounded(found, 2, "value__sum").drop("value__sum_sq")
+
+
+@query(
+    "tile_states",
+    f"""
+WITH {HOPS} SELECT user_id, hop_ms, n AS value__count, round(s, 2) AS value__sum, lo AS value__min, hi AS value__max FROM hops
+""",
+)
+def tile_states(spark, root):
+    """Two streams keep tiles as state; each is stopped and started again from its checkpoint between batches."""
+    path = fresh_path(spark, "tile-states")
+    events = table(spark, root, "events").select(*COLUMNS)
+    cut = stamp("2024-01-15 00:30:00")
+    for i in range(2):
+        source, checkpoint = fresh_path(spark, "states-source"), fresh_path(spark, "states-checkpoint")
+        own = events.filter(F.pmod("event_id", F.lit(2)) == i)
+        for rows in (own.filter(F.col("ts") >= cut), own.filter(F.col("ts") < cut)):
+            rows.write.mode("append").parquet(source)
+            stream = ingest.file_stream(spark, source, events.schema)
+            states = ingest.tile_states(stream, ["user_id"], "ts", ["value"], HOUR, "40 days")
+            ingest.stream_ingest(states, ingest.write_updates(path), checkpoint=checkpoint)
+    found = ingest.read_tile_states(spark, path, ["user_id"], ["value"])
+    return rounded(found, 2, "value__sum").drop("value__sum_sq")
+
+
 @query("microbatch_latest", NEWEST.format(value="value"))
 def microbatch_latest(spark, root):
     path = fresh_path(spark, "microbatch")
@@ -114,6 +172,23 @@ def stream_tumbling(spark, root):
     return rounded(found, 2, "sum_value_21600s")
 
 
+@query(
+    "update_writers",
+    """
+SELECT user_id, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') + INTERVAL 6 HOUR AS window_end,
+  count(value) AS count_value_21600s FROM events GROUP BY ALL
+""",
+)
+def update_writers(spark, root):
+    """Two streams of different users write their windows to one path."""
+    path = fresh_path(spark, "writers-updates")
+    aggs = [Aggregation("value", "count", 6 * HOUR)]
+    for stream in two_streams(spark, root, F.col("user_id")):
+        windows = ingest.stream_windows(stream, ["user_id"], "ts", aggs, "40 days")
+        ingest.stream_ingest(windows, ingest.write_updates(path))
+    return ingest.read_updates(spark, path, ["user_id", "window_end"])
+
+
 @query("stream_sliding", SLIDING_SQL)
 def stream_sliding(spark, root):
     path = fresh_path(spark, "sliding")

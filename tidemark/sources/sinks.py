@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.materialize import write_online
+from tidemark.operators.materialize import batch_folder, new_writer, write_online
 from tidemark.operators.splits import extents, micros
 from tidemark.session import fresh_path
 
@@ -50,17 +50,25 @@ def sink_view_output(
     keys: Sequence[str] = (),
     ts: str | None = None,
     created: str | None = None,
+    push: str | None = None,
 ) -> None:
-    """Write a view's rows to its offline history, its online table, or both."""
+    """Write a view's rows to its offline history, its online table, or both.
+
+    Each push has folders of its own.  ``push`` names them, so that a push that
+    is tried again under its name leaves one copy; unnamed pushes are all apart.
+    """
+    name = push or new_writer("push")
     if offline_path:
-        df.write.mode("append").parquet(offline_path)
+        df.write.mode("overwrite").parquet(batch_folder(offline_path, name, 0))
     if online_path:
-        write_online(df, online_path, keys, ts, created)
+        write_online(df, online_path, keys, ts, created, batch=0, writer=name)
 
 
-def push_source(df: DataFrame, views: Sequence[Mapping], to: str = "online") -> None:
+def push_source(df: DataFrame, views: Sequence[Mapping], to: str = "online", push: str | None = None) -> None:
     """Push rows to every view fed by a push source.
 
+    ``push`` names the push, as in :func:`sink_view_output`.
+
     Each view is a mapping of the arguments of :func:`sink_view_output`;
     ``to`` is ``online``, ``offline`` or ``online_and_offline``.
     """
@@ -74,7 +82,7 @@ def push_source(df: DataFrame, views: Sequence[Mapping], to: str = "online") ->
             target["offline_path"] = None
         elif to == "offline":
             target["online_path"] = None
-        sink_view_output(df, **target)
+        sink_view_output(df, push=push, **target)
 
 
 def persist_dataset(

@@ -1,11 +1,14 @@
 """Structured Streaming ingestion into offline history, online tables and tiles.
 
-Every writer keys its output by micro-batch number and overwrites that
-number's folder, so a batch replayed after a failure leaves one copy.
+Every stream has folders of its own in what it writes to, named by the id that
+its checkpoint keeps, and overwrites the folder of a micro-batch that it repeats.
+So a batch replayed after a failure or a restart leaves one copy, and streams
+that write to one path never replace each other's rows.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,13 +18,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import tiles
 from tidemark.operators.aggregate import aggregate_column
-from tidemark.operators.materialize import BATCH, new_writer, write_online
+from tidemark.operators.materialize import BATCH, COMMITTED, WRITER, batch_folder, new_writer, write_online
 from tidemark.operators.windows import dedup_latest, extreme_per_key
 from tidemark.session import fresh_path
 from tidemark.spec import Aggregation
 
 BatchWriter = Callable[[DataFrame, int], None]
 
+# Fixed value: the property under which a micro-batch finds the id of its stream.
+QUERY_ID = "sql.streaming.queryId"
+
 
 def file_stream(
     spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None
@@ -63,6 +69,16 @@ def stream_ingest(
     return query
 
 
+def writer_names(named: str | None) -> Callable[[DataFrame], str]:
+    """The writer of a batch: the given name, else its stream's id, else one name for this function."""
+    other = new_writer("stream")
+
+    def of(batch: DataFrame) -> str:
+        return named or batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID) or other
+
+    return of
+
+
 def microbatch_latest(
     keys: Sequence[str],
     ts: str,
@@ -75,18 +91,17 @@ def microbatch_latest(
 ) -> BatchWriter:
     """Writer of each batch's newest row per key, stamped with its creation time.
 
-    ``writer`` names the stream, so that it replaces its own batch when it is
-    started again from its checkpoint; other writers' batches stay apart.
+    ``writer`` names the folders in place of the stream's id.
     """
-    name = writer or new_writer("stream")
+    name = writer_names(writer)
 
     def write(batch: DataFrame, number: int) -> None:
         rows = preprocess(batch) if preprocess else batch
         newest = dedup_latest(rows, keys, ts).withColumn(created, F.current_timestamp())
         if offline_path:
-            newest.write.mode("overwrite").parquet(f"{offline_path}/{BATCH}={number}")
+            newest.write.mode("overwrite").parquet(batch_folder(offline_path, name(batch), number))
         if online_path:
-            write_online(newest, online_path, keys, ts, batch=number, writer=name)
+            write_online(newest, online_path, keys, ts, batch=number, writer=name(batch))
 
     return write
 
@@ -106,29 +121,32 @@ def stream_windows(
     return counted.select(*keys, end, *[a.alias for a in aggs])
 
 
-def write_updates(path: str) -> BatchWriter:
+def write_updates(path: str, writer: str | None = None) -> BatchWriter:
     """Writer of changed rows by batch, for streams in update mode."""
+    name = writer_names(writer)
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
+        stamped = batch.withColumn(COMMITTED, F.lit(time.time_ns() // 1000))
+        stamped.write.mode("overwrite").parquet(batch_folder(path, name(batch), number))
 
     return write
 
 
 def read_updates(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Last written state of each key."""
+    """Last written state of each key, whichever stream wrote it."""
     rows = spark.read.parquet(path)
-    return extreme_per_key(rows, keys, [BATCH], newest=True).drop(BATCH)
+    return extreme_per_key(rows, keys, [COMMITTED, BATCH, WRITER], newest=True).drop(COMMITTED, BATCH, WRITER)
 
 
 def write_tiles(
-    path: str, keys: Sequence[str], ts: str, columns: Sequence[str], hop: int
+    path: str, keys: Sequence[str], ts: str, columns: Sequence[str], hop: int, writer: str | None = None
 ) -> BatchWriter:
     """Writer of each batch's partials per hop; nothing is kept in stream state."""
+    name = writer_names(writer)
 
     def write(batch: DataFrame, number: int) -> None:
         made = tiles.hop_partials(batch, keys, ts, columns, hop)
-        made.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
+        made.write.mode("overwrite").parquet(batch_folder(path, name(batch), number))
 
     return write
 
@@ -136,5 +154,29 @@ def write_tiles(
 def read_tiles(
     spark: SparkSession, path: str, keys: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
-    """Partials of all batches merged; rows that came late are simply added to their hop."""
+    """Partials of all batches of all streams merged; rows that came late are simply added to their hop."""
     return tiles.merge_tiles(spark.read.parquet(path), keys, columns)
+
+
+def tile_states(
+    stream: DataFrame, keys: Sequence[str], ts: str, columns: Sequence[str], hop: int, delay: str
+) -> DataFrame:
+    """Partials per hop kept as state: in update mode a hop comes out whole whenever rows were added to it.
+
+    State of hops older than the watermark is dropped, and rows later than
+    ``delay`` with it.  Write the result by ``write_updates``.
+    """
+    timed = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+    grouped = timed.groupBy(*keys, F.window(ts, f"{hop} seconds").alias("w"))
+    made = grouped.agg(*tiles.partial_columns(columns))
+    names = [f"{c}__{p}" for c in columns for p in tiles.PARTIALS]
+    return made.select(*keys, F.unix_millis("w.start").alias(tiles.HOP), *names)
+
+
+def read_tile_states(
+    spark: SparkSession, path: str, keys: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
+    """Last state of each hop of each stream, merged over the streams."""
+    rows = spark.read.parquet(path).drop(COMMITTED)
+    newest = extreme_per_key(rows, [WRITER, *keys, tiles.HOP], [BATCH], newest=True)
+    return tiles.merge_tiles(newest, keys, columns)
