@@ -5,12 +5,12 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.asof import pit_join_multi
+from tidemark.operators.commits import next_interval as next_interval
 from tidemark.operators.joins import union_all_sources
 from tidemark.operators.quality import validate_schema
 from tidemark.operators.windows import dedup_latest, extreme_per_key, latest_per_key, view_rows
@@ -46,22 +46,6 @@ def materialize(
     return df
 
 
-def next_interval(
-    intervals: Sequence[tuple[datetime, datetime]], ttl: int | None, now: datetime
-) -> tuple[datetime, datetime]:
-    """Interval of the next incremental run.
-
-    It starts at the newest recorded end; with no record it reaches back one
-    TTL, or one year for a TTL of zero.  A view without a TTL must be given a
-    first interval by hand.
-    """
-    if intervals:
-        return max(end for _, end in intervals), now
-    if ttl is None:
-        raise ValueError("a view with no TTL and no earlier run needs an explicit start")
-    return now - (timedelta(seconds=ttl) if ttl else timedelta(weeks=52)), now
-
-
 def materialize_on_demand(
     sources: Sequence[tuple[DataFrame, ViewSpec]],
     start: Column,

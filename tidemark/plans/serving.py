@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tidemark.operators import materialize as mat
+from tidemark.operators.commits import IntervalLog, incremental_run
+from tidemark.operators.online import OnlineTable
 from tidemark.operators.retrieval import historical_features, infer_view, online_features
 from tidemark.operators.transform import OnDemandView
 from tidemark.plans.catalog import query
@@ -70,6 +72,32 @@ def materialize_incremental(spark, root):
     return mat.read_online(spark, path, ["user_id"], "ts")
 
 
+@query(
+    "incremental_log",
+    """
+SELECT user_id, max_by(event_type, ts) AS event_type, max_by(value, ts) AS value, max(ts) AS ts
+FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-08' AND TIMESTAMP '2024-01-28' GROUP BY user_id
+""",
+)
+def incremental_log(spark, root):
+    """Runs of two writers take turns over one log; one fails after its write and is started again."""
+    path, log = fresh_path(spark, "logged"), IntervalLog(spark, fresh_path(spark, "intervals"))
+
+    def rows(start, end):
+        return mat.materialize(activity(spark, root), ACTIVITY, stamp(start), stamp(end))
+
+    def write(df, batch):
+        mat.write_online(df, path, ["user_id"], "ts", batch=batch, writer="incremental")
+
+    incremental_run(log, "a-1", 7 * DAY, datetime(2024, 1, 15), rows, write)
+    lost = log.claim("b-1", 7 * DAY, datetime(2024, 1, 20))
+    write(rows(lost.start, lost.end), lost.number)
+    incremental_run(log, "a-2", 7 * DAY, datetime(2024, 1, 28), rows, write)
+    for run in ("b-1", "a-1"):
+        incremental_run(log, run, 7 * DAY, datetime(2024, 1, 30), rows, write)
+    return mat.read_online(spark, path, ["user_id"], "ts")
+
+
 @query(
     "materialize_on_demand",
     f"""
@@ -167,6 +195,47 @@ def online_lookup(spark, root):
     return found.select("event_id", "user_id", "value", "ts")
 
 
+def bucketed(spark, root):
+    """Purchases as pushes by weekday, one of them again, and the last ones merged into their buckets."""
+    stored = OnlineTable(spark, fresh_path(spark, "bucketed"), ["user_id"], "ts", buckets=16)
+    rows = activity(spark, root).filter("event_type = 'purchase'").filter(F.col("ts") <= stamp(END))
+    rows = rows.select("user_id", "value", "ts")
+    late = F.col("ts") > stamp("2024-01-20 00:00:00")
+    for day in (1, 2, 2, 3, 4, 5, 6, 7):
+        stored.append(rows.filter(~late & (F.dayofweek("ts") == day)), push=f"day-{day}")
+    stored.upsert(rows.filter(late))
+    return stored
+
+
+@query(
+    "online_buckets",
+    f"""
+WITH {LATEST} SELECT o.o_orderkey, o.o_custkey AS user_id, l.value, l.ts
+FROM orders o LEFT JOIN latest l ON l.user_id = o.o_custkey
+""",
+)
+def online_buckets(spark, root):
+    """Lookups in a table of key-hash folders."""
+    requests = table(spark, root, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"))
+    found = bucketed(spark, root).lookup(requests)
+    return found.select("o_orderkey", "user_id", "value", "ts")
+
+
+@query(
+    "requested_buckets",
+    f"""
+WITH {LATEST} SELECT user_id, value, ts FROM latest
+WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
+""",
+)
+def requested_buckets(spark, root):
+    """Rows of the requested keys, after all buckets were compacted."""
+    stored = bucketed(spark, root)
+    stored.compact()
+    wanted = table(spark, root, "customer").filter("c_mktsegment = 'BUILDING'")
+    return stored.requested(wanted.select(F.col("c_custkey").alias("user_id")))
+
+
 @query(
     "lookup_status",
     f"""
