@@ -455,3 +455,47 @@ def test_transform_on_write_keeps_rows_with_one_key(spark):
     outputs = T.StructType().add("k", "integer").add("w", "integer")
     made = tr.transform_on_write(df, lambda b: b.assign(w=b.v * 2)[["k", "w"]], outputs, ["k"])
     assert sorted((r.v, r.w) for r in made.collect()) == [(i, 2 * i) for i in range(50)]
+
+
+# -- on-demand functions ----------------------------------------------------------------------
+
+
+def test_functions_run_in_one_stage_in_order(spark):
+    df = spark.createDataFrame([(1, 2.0), (2, None), (3, 4.0)], "id long, v__x double")
+    views = [
+        tr.OnDemandView("b", {"a": ["y"]}, {"z": "long"}, mode="singleton", function=lambda r: {"z": None if r["y"] is None else int(r["y"])}),
+        tr.OnDemandView("a", {"v": ["x"]}, {"y": "double"}, mode="pandas", function=lambda f: f[["x"]].rename(columns={"x": "y"}) * 10),
+        tr.OnDemandView("c", {"b": ["z"], "a": ["y"]}, {"l": "array<int>"}, mode="python", function=lambda d: {"l": [[1]] * len(d["z"])}),
+    ]
+    made = tr.odfv_dependencies(df, ["c:l", "b:z"], views, ["id"])
+    assert made.columns == ["id", "c__l", "b__z"]
+    assert sorted(tuple(r) for r in made.collect()) == [(1, [1], 20), (2, [1], None), (3, [1], 40)]
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert tr.odfv_dependencies(df.limit(0), ["c:l"], views, ["id"]).count() == 0
+    short = tr.odfv_read(df.withColumnRenamed("v__x", "x"), views[1])
+    assert short.columns == ["id", "x", "y"] and short.dtypes[-1] == ("y", "double")
+
+
+@pytest.mark.parametrize(
+    ("mode", "function"),
+    [
+        ("pandas", lambda f: f.head(1).rename(columns={"x": "y"})),
+        ("python", lambda d: {"other": d["x"]}),
+        ("singleton", lambda r: {}),
+    ],
+)
+def test_functions_that_break_their_promise_fail(spark, mode, function):
+    df = spark.createDataFrame([(1.0,), (2.0,)], "x double").coalesce(1)
+    view = tr.OnDemandView("o", {"v": ["x"]}, {"y": "double"}, mode=mode, function=function)
+    with pytest.raises(Exception, match="view 'o' made"):
+        tr.odfv_read(df, view).collect()
+
+
+def test_modes_and_functions_belong_together():
+    with pytest.raises(ValueError):
+        tr.OnDemandView("o", {}, {"y": "1"}, mode="pandas")
+    with pytest.raises(ValueError):
+        tr.OnDemandView("o", {}, {"y": "1"}, function=len)
+    with pytest.raises(ValueError):
+        tr.OnDemandView("o", {}, {"y": "1"}, mode="rust", function=len)

@@ -8,18 +8,20 @@ and no query-by-vector pairs are ever stored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, fresh_path
 
 # Distances by name.
 METRICS = ("cosine", "L1", "L2", "inner_product")
@@ -62,9 +64,8 @@ def _nearest(distances: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return usable[order[:k]]
 
 
-def _scan(df: DataFrame, id_col: str, vector: str, names, matrix, k, metric) -> DataFrame:
+def _scan(df: DataFrame, id_col: str, vector: str, shared: Broadcast, k: int, metric: str) -> DataFrame:
     """k nearest rows per query and partition."""
-    shared = df.sparkSession.sparkContext.broadcast((names, matrix))
     kinds = {f.name: f.dataType for f in df.schema}
     id_type = kinds[id_col]
     schema = T.StructType(
@@ -76,7 +77,9 @@ def _scan(df: DataFrame, id_col: str, vector: str, names, matrix, k, metric) ->
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_names, queries = shared.value
+        query_names, queries = shared.value[:2]
+        if not query_names:
+            return
         best = [(np.empty(0), np.empty(0, dtype=object)) for _ in query_names]
         arrow_id = None
         for batch in batches:
@@ -133,7 +136,8 @@ def vector_topk(
 
     Returns query_id, id, distance and rank.  The queries of one scan must fit
     ``max_queries`` (by default 64 MB of vectors); a larger set is cut into
-    blocks by hash and each block scans the table in turn.
+    blocks by hash.  One block at a time is sent out, scans the table, and is let
+    go once its k rows per query and partition are written; only the last is held.
     """
     if metric not in METRICS:
         raise ValueError(f"metric {metric!r} is not one of {METRICS}")
@@ -145,17 +149,37 @@ def vector_topk(
         raise ValueError("no query vectors")
     limit = max_queries or max(1, QUERY_BYTES // (8 * sizes["width"]))
     blocks = math.ceil(sizes["n"] / limit)
-    parts = []
+    path, parts = fresh_path(df.sparkSession, "nearest"), []
     for block in range(blocks):
         own = asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
-        held = own.collect()
-        if held:
-            names = [r["query_id"] for r in held]
-            matrix = np.array([r["vector"] for r in held], dtype=np.float64)
-            parts.append(_scan(df, id_col, vector, names, matrix, k, metric))
+        if block == blocks - 1:  # the last one's scan stays part of the plan
+            parts.append(_scan(df, id_col, vector, _broadcast(own), k, metric))
+            continue
+        with _sent(own) as shared:
+            _scan(df, id_col, vector, shared, k, metric).write.mode("append").parquet(path)
+    if blocks > 1:
+        parts.append(df.sparkSession.read.parquet(path))
     return top_per_query(reduce(DataFrame.unionAll, parts), k)
 
 
+def _broadcast(queries: DataFrame, more: Sequence[str] = ()) -> Broadcast:
+    """One bounded block of queries for all executors: numbers, a matrix and ``more`` columns."""
+    table = queries.select("query_id", "vector", *more).toArrow()
+    matrix = np.array(table["vector"].to_pylist(), dtype=np.float64)
+    names = table["query_id"].to_pylist()
+    return queries.sparkSession.sparkContext.broadcast((names, matrix, *(table[c].to_pylist() for c in more)))
+
+
+@contextmanager
+def _sent(queries: DataFrame, more: Sequence[str] = ()) -> Iterator[Broadcast]:
+    """A block on all executors, gone afterwards."""
+    shared = _broadcast(queries, more)
+    try:
+        yield shared
+    finally:
+        shared.destroy()
+
+
 def cosine_search(
     df: DataFrame, id_col: str, vector: str, queries: DataFrame, k: int
 ) -> DataFrame:
@@ -206,19 +230,48 @@ def vector_topk_batch(
     )
 
 
+#: Scores by metric, from distances.
+SCORES: dict[str, Callable[[Column], Column]] = {
+    "cosine": lambda d: 2 - d,
+    "inner_product": lambda d: -d,
+    "L2": lambda d: 1 / (1 + d),
+}
+
+
 def vector_score(
     df: DataFrame, id_col: str, vector: str, queries: DataFrame, k: int, metric: str
 ) -> DataFrame:
     """Similarity scores, highest first: cosine + 1, dot product, or 1 / (1 + L2)."""
+    if metric not in SCORES:
+        raise ValueError(f"no score is defined for {metric!r}")
     found = vector_topk(df, id_col, vector, queries, k, metric)
-    score = {
-        "cosine": 2 - F.col("distance"),
-        "inner_product": -F.col("distance"),
-        "L2": 1 / (1 + F.col("distance")),
-    }
-    if metric not in score:
+    return found.withColumn("score", SCORES[metric](F.col("distance")))
+
+
+def phrase_vector_score(
+    df: DataFrame, id_col: str, vector: str, hits: DataFrame, queries: DataFrame, k: int, metric: str
+) -> DataFrame:
+    """Similarity scores of the rows that hold a phrase, highest first.
+
+    ``hits`` are the (query_id, id) of :meth:`TextIndex.phrases`; a query's vector
+    is compared with its own phrase's rows only.
+    """
+    found = cut_lineage(hits.select("query_id", "id"))
+    asked = queries.select("query_id", F.col("vector").cast("array<double>").alias("wanted"))
+    rows = df.select(F.col(id_col).alias("id"), F.col(vector).alias("held")).join(found, "id").join(asked, "query_id")
+
+    @F.arrow_udf("double")
+    def distance(vectors: pa.Array, wanted: pa.Array) -> pa.Array:
+        out: list = []
+        for own, query in zip(vectors.to_pylist(), wanted.to_pylist(), strict=True):
+            fits = own is not None and query is not None and len(own) == len(query) and None not in own
+            out.append(float(_distances(np.array([query]), np.array([own], dtype=np.float64), metric)[0, 0]) if fits else None)
+        return pa.array(out, pa.float64())
+
+    if metric not in SCORES:
         raise ValueError(f"no score is defined for {metric!r}")
-    return found.withColumn("score", score[metric])
+    scored = rows.select("query_id", "id", distance("held", "wanted").alias("distance")).where("distance is not null")
+    return top_per_query(scored.where(~F.isnan("distance")), k).withColumn("score", SCORES[metric](F.col("distance")))
 
 
 def validate_vector_len(df: DataFrame, id_col: str, vector: str, width: int) -> DataFrame:
@@ -298,6 +351,84 @@ def ivf_topk(
     return vector_topk(probed, id_col, vector, one, k, "L2")
 
 
+def ivf_topk_batch(
+    cells: DataFrame,
+    centres: np.ndarray,
+    id_col: str,
+    vector: str,
+    queries: DataFrame,
+    k: int,
+    nprobe: int = 10,
+    max_queries: int | None = None,
+) -> DataFrame:
+    """Approximate search for many (query_id, vector) at once: query_id, id, distance and rank.
+
+    A query looks at the rows of its ``nprobe`` nearest cells.  The folders that a
+    block of queries needs are scanned once; a row meets the queries that probe
+    its cell and no others.
+    """
+    points = np.asarray(centres, dtype=np.float64)
+
+    @F.arrow_udf("array<int>")
+    def nearest(vectors: pa.Array) -> pa.Array:
+        rows, found = _matrix(vectors, points.shape[1])
+        probed: list = [None] * len(vectors)
+        for row, own in zip(rows, _distances(found, points, "L2") if len(rows) else (), strict=True):
+            probed[row] = np.argsort(own, kind="stable")[:nprobe].tolist()
+        return pa.array(probed, pa.list_(pa.int32()))
+
+    wide = F.col("vector").cast("array<double>").alias("vector")
+    asked = cut_lineage(
+        queries.select(F.col("query_id").cast("long"), wide).withColumn("probed", nearest("vector")).where("probed is not null")
+    )
+    number = asked.count()
+    limit = max_queries or max(1, QUERY_BYTES // (8 * points.shape[1]))
+    blocks, path = max(1, math.ceil(number / limit)), fresh_path(cells.sparkSession, "probed")
+    schema = f"query_id long, id {cells.schema[id_col].dataType.simpleString()}, distance double"
+    for block in range(blocks):
+        own = asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
+        needed = [r[0] for r in own.select(F.explode("probed")).distinct().collect()]  # cells, not rows
+        rows = cells.filter(F.col("cell").isin(needed)).select(id_col, vector, "cell")
+        with _sent(own, ["probed"]) as shared:
+            rows.mapInArrow(_probing(shared, k), schema).write.mode("append").parquet(path)
+    return top_per_query(cells.sparkSession.read.schema(schema).parquet(path), k)
+
+
+def _probing(shared: Broadcast, k: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """k nearest rows per query of a task's cells."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, queries, probed = shared.value
+        if not names:
+            return
+        asking: dict[int, list[int]] = {}
+        for i, own in enumerate(probed):
+            for cell in own:
+                asking.setdefault(cell, []).append(i)
+        best = [(np.empty(0), np.empty(0, dtype=object)) for _ in names]
+        arrow_id = pa.int64()
+        for batch in batches:
+            arrow_id = batch.column(0).type
+            rows, vectors = _matrix(batch.column(1), queries.shape[1])
+            ids = batch.column(0).take(pa.array(rows)).to_numpy(zero_copy_only=False)
+            cells = batch.column(2).to_numpy(zero_copy_only=False)[rows]
+            for cell in np.unique(cells):
+                inside, numbers = np.flatnonzero(cells == cell), asking.get(int(cell), [])
+                for number in numbers:
+                    scored = _distances(queries[number : number + 1], vectors[inside], "L2")[0]
+                    held, held_ids = best[number]
+                    both = np.concatenate([held, scored])
+                    both_ids = np.concatenate([held_ids, ids[inside].astype(object)])
+                    keep = _nearest(both, both_ids, k)
+                    best[number] = both[keep], both_ids[keep]
+        for name, (held, held_ids) in zip(names, best, strict=True):
+            if len(held):
+                columns = [pa.array([name] * len(held), pa.int64()), pa.array(list(held_ids), arrow_id), pa.array(held, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["query_id", "id", "distance"])
+
+    return run
+
+
 # -- text -----------------------------------------------------------------------------------
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import search, text
 from tidemark.plans.catalog import query
+from tidemark.operators.textindex import write_index
 from tidemark.session import cut_lineage, fresh_path, spread_table, table
 
 K = 10
@@ -269,6 +270,131 @@ def hybrid_search(spark, root):
     return found.select("id", F.round("distance", 6).alias("distance"))
 
 
+ASKED = ("the and", "Is the of", "oferwhin, of", "the nosuchword", "the the in")
+PHRASES = ("the the the", "of the of", "The And", "is the is", "no such phrase")
+WORDS_SQL = r"""
+t AS (SELECT doc_id, list_filter(string_split_regex(lower(text || chr(10) || source), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents),
+asked AS (SELECT i - 1 AS query_id, string_split(q[i], ' ') AS terms FROM (SELECT ["the and", "is the of", "oferwhin of",
+  "the nosuchword", "the in"] AS q), range(1, 6) r(i))""".replace('"', "'")
+
+
+def asked(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "query_id long, text string")
+
+
+def text_index(spark, root):
+    documents = spread_table(spark, root, "documents")
+    return write_index(documents, "doc_id", ["text", "source"], fresh_path(spark, "text-index"))
+
+
+@query(
+    "bm25_index",
+    f"""
+WITH {WORDS_SQL},
+s AS (SELECT count(*) AS n, avg(len(w)) AS mean FROM t),
+p AS (SELECT doc_id, len(w) AS n, term, len(list_filter(w, lambda x: x = term)) AS tf
+      FROM t, (SELECT DISTINCT unnest(terms) AS term FROM asked) WHERE list_contains(w, term)),
+d AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+i AS (SELECT term, CASE WHEN ln((n - df + 0.5) / (df + 0.5)) > 0 THEN ln((n - df + 0.5) / (df + 0.5)) ELSE 1e-6 END AS idf FROM d, s),
+r AS (SELECT query_id, doc_id, sum(idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * p.n / mean))) AS score
+      FROM asked a JOIN p ON list_contains(a.terms, p.term) JOIN i ON i.term = p.term, s
+      GROUP BY query_id, doc_id, len(a.terms) HAVING count(*) = len(a.terms))
+SELECT query_id::BIGINT AS query_id, doc_id AS id, round(score, 9) AS score FROM r
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) <= {K}
+""",
+)
+def bm25_index(spark, root):
+    """Five queries at once from the stored index; one has a word that no row holds."""
+    found = text_index(spark, root).bm25(asked(spark, ASKED), K)
+    return found.select("query_id", "id", F.round("score", 9).alias("score"))
+
+
+PHRASE_HITS = r"""
+tt AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents),
+ph AS (SELECT i - 1 AS query_id, string_split(q[i], ' ') AS p FROM (SELECT ['the the the', 'of the of', 'the and', 'is the is',
+  'no such phrase'] AS q), range(1, 6) r(i)),
+hits AS (SELECT query_id::BIGINT AS query_id, doc_id AS id,
+    len(list_filter(range(1, len(w) + 1), lambda i: w[i:i + len(p) - 1] = p)) AS times FROM tt, ph WHERE times > 0)"""
+
+
+@query("phrase_search", f"WITH {PHRASE_HITS} SELECT query_id, id, times::INTEGER AS times FROM hits")
+def phrase_search(spark, root):
+    """Phrases with repeated words, every hit of each."""
+    return text_index(spark, root).phrases(asked(spark, PHRASES))
+
+
+@query(
+    "phrase_vector_score",
+    f"""
+WITH {MEAN}, {PHRASE_HITS},
+d AS (SELECT query_id, vec_id AS id, 1 + list_cosine_similarity(e, q) AS cosine, 1 / (1 + list_distance(e, q)) AS l2
+      FROM hits JOIN v ON v.vec_id = hits.id, m)
+(SELECT 'cosine' AS metric, query_id, id, round(cosine, 6) AS score FROM d
+ QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, id) <= {K})
+UNION ALL
+(SELECT 'L2', query_id, id, round(l2, 6) FROM d QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY l2 DESC, id) <= {K})
+""",
+)
+def phrase_vector_score(spark, root):
+    """Rows that hold a phrase, by the score of their vectors."""
+    vectors = table(spark, root, "embeddings")
+    hits = cut_lineage(text_index(spark, root).phrases(asked(spark, PHRASES)))
+    mean = cut_lineage(mean_vectors(spark, root)).select("vector").scalar()
+    queries = asked(spark, PHRASES).select("query_id", mean.alias("vector"))
+    parts = [
+        search.phrase_vector_score(vectors, "vec_id", "embedding", hits, queries, K, m).select(
+            F.lit(m).alias("metric"), "query_id", "id", F.round("score", 6).alias("score")
+        )
+        for m in ("cosine", "L2")
+    ]
+    return parts[0].unionAll(parts[1])
+
+
+@query(
+    "ivf_topk_batch",
+    f"""
+WITH {MEANS},
+c AS (SELECT vec_id, any_value(e) AS e, arg_min(query_id, list_distance(e, q)) AS cell FROM v, m GROUP BY vec_id),
+asked AS (SELECT vec_id AS query_id, e AS point FROM v WHERE vec_id % 20 = 0),
+near AS (SELECT a.query_id, point, m.query_id AS cell FROM asked a, m
+         QUALIFY row_number() OVER (PARTITION BY a.query_id ORDER BY list_distance(q, point), m.query_id) <= {PROBED}),
+r AS (SELECT query_id, vec_id, list_distance(e, point) AS d FROM near JOIN c USING (cell))
+SELECT query_id, vec_id AS id, round(d, 6) AS distance FROM r
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY d, vec_id) <= {K}
+""",
+)
+def ivf_topk_batch(spark, root):
+    """Every twentieth vector as a query, in one scan of the probed cells."""
+    vectors = table(spark, root, "embeddings")
+    means = mean_vectors(spark, root, "label").orderBy("query_id").collect()  # one for each label
+    centres = np.array([r["vector"] for r in means])
+    cells = search.write_ivf(vectors, "embedding", centres, fresh_path(spark, "ivf"))
+    queries = vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    found = search.ivf_topk_batch(cells, centres, "vec_id", "embedding", queries, K, PROBED)
+    return found.select("query_id", "id", F.round("distance", 6).alias("distance"))
+
+
+@query("ivf_recall", "SELECT 128 AS cells, 10 AS probes, TRUE AS finds_half_or_more, TRUE AS all_cells_find_all")
+def ivf_recall(spark, root):
+    """Default cells and probes: recall of every twentieth vector's ten nearest against the full scan.
+
+    The given vectors hardly cluster, so a probe finds few more than its share of the cells.
+    """
+    vectors = table(spark, root, "embeddings")
+    queries = vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    centres = search.fit_centres(vectors, "embedding", 128)
+    cells = search.write_ivf(vectors, "embedding", centres, fresh_path(spark, "ivf"))
+    exact = cut_lineage(search.vector_topk(vectors, "vec_id", "embedding", queries, K).select("query_id", "id"))
+    wanted = exact.count()
+
+    def recall(probes):
+        found = search.ivf_topk_batch(cells, centres, "vec_id", "embedding", queries, K, probes)
+        return found.join(exact, ["query_id", "id"], "left_semi").count() / wanted
+
+    row = [(128, 10, recall(10) >= 0.5, recall(128) == 1.0)]
+    return spark.createDataFrame(row, "cells int, probes int, finds_half_or_more boolean, all_cells_find_all boolean")
+
+
 def last_break(mark: str, width: int) -> str:
     """Offset of the last ``mark`` in ``piece``, or -1."""
     return (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tidemark.operators import materialize as mat
@@ -406,3 +407,63 @@ def online_features_query(spark, root):
     }
     now = stamp("2024-02-08 00:00:00")
     return online_features(requests, stored, ["mix:total"], now, on_demand=[SUM])
+
+
+def _total(frame):
+    return pd.DataFrame({"total": frame["clicks__value"] + frame["views__value"]})
+
+
+def _halves(lists):
+    return {"half": [None if t is None else t / 2 for t in lists["total"]], "rows": [1] * len(lists["total"])}
+
+
+def _verdict(row):
+    return {"verdict": "none" if row["half"] is None else "high" if row["half"] > row["bar"] else "low"}
+
+
+#: A chain of one function of each kind, and an expression over the last.
+CHAIN = [
+    OnDemandView("sums", {"clicks": ["value"], "views": ["value"]}, {"total": "double"}, mode="pandas", function=_total),
+    OnDemandView("halves", {"sums": ["total"]}, {"half": "double", "rows": "int"}, mode="python", function=_halves),
+    OnDemandView("judged", {"halves": ["half"]}, {"verdict": "string"}, ["bar"], mode="singleton", function=_verdict),
+    OnDemandView("shout", {"judged": ["verdict"]}, {"loud": "upper(judged__verdict)"}),
+]
+CHAIN_REFS = ["sums:total", "halves:half", "halves:rows", "judged:verdict", "shout:loud"]
+CHAIN_SQL = """c + v AS sums__total, (c + v) / 2 AS halves__half, 1 AS halves__rows,
+  CASE WHEN c + v IS NULL THEN 'none' WHEN (c + v) / 2 > bar THEN 'high' ELSE 'low' END AS judged__verdict,
+  upper(judged__verdict) AS shout__loud"""
+
+
+@query(
+    "odfv_functions_historical",
+    f"""
+WITH spine AS (SELECT event_id, user_id, ts AS entity_ts, value AS bar FROM events WHERE event_type = 'purchase'),
+f AS (SELECT s.*, {newest_sql("click")} AS c, {newest_sql("view")} AS v FROM spine s)
+SELECT event_id, user_id, entity_ts, bar, {CHAIN_SQL} FROM f
+""",
+)
+def odfv_functions_historical(spark, root):
+    """Pandas, Python and singleton functions that read each other, in a training frame."""
+    events = table(spark, root, "events").filter("event_type = 'purchase'")
+    spine = events.select("event_id", "user_id", F.col("ts").alias("entity_ts"), F.col("value").alias("bar"))
+    return historical_features(spine, kind_views(spark, root), CHAIN_REFS, on_demand=CHAIN, full_names=True)
+
+
+@query(
+    "odfv_functions_online",
+    f"""
+WITH n AS (SELECT user_id, max_by(value, ts) FILTER (event_type = 'click') AS c, max_by(value, ts) FILTER (event_type = 'view') AS v
+           FROM events GROUP BY 1),
+f AS (SELECT o_orderkey, o_custkey AS user_id, o_totalprice / 5000 AS bar, c, v FROM orders LEFT JOIN n ON n.user_id = o_custkey)
+SELECT o_orderkey, user_id, bar, {CHAIN_SQL} FROM f
+""",
+)
+def odfv_functions_online(spark, root):
+    """The same functions behind a lookup."""
+    requests = table(spark, root, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias("user_id"), (F.col("o_totalprice") / 5000).alias("bar")
+    )
+    stored = {n: (mat.dedup_latest(df, ["user_id"], "ts"), view) for n, (df, view) in kind_views(spark, root).items()}
+    now = stamp("2024-02-08 00:00:00")
+    found = online_features(requests, stored, CHAIN_REFS, now, on_demand=CHAIN, full_names=True)
+    return found.drop("clicks__status", "views__status")
