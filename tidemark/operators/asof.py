@@ -206,20 +206,20 @@ def _splits(
         return lambda df: with_split(df, "__us", edges, "__split"), bool(edges), tied
 
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    sizes = reduce(DataFrame.unionAll, sides).filter(known).groupBy(*keys).agg(F.count("*").alias("__n"))
-    many = F.col("__n") > limit
-    crowded_keys = sizes.filter(many).count()
     scattered = F.when(~known, -1 - F.pmod(F.xxhash64(F.to_json("__spine")), F.lit(SPREAD)))
-    if not crowded_keys:
 
-        def whole(df: DataFrame) -> DataFrame:
-            return df.withColumn("__split", scattered.otherwise(0))
+    def whole(df: DataFrame) -> DataFrame:
+        return df.withColumn("__split", scattered.otherwise(0))
 
+    # no key has more rows than all keys together; only larger tables are counted by key
+    if reduce(DataFrame.unionAll, [side.select("__us") for side in sides]).count() <= limit:
         return whole, False, False
-
-    crowded = cut_lineage(
-        sizes.filter(many).select(*[F.col(k).alias(f"{k}__c") for k in keys])
-    ).withColumn("__crowded", F.lit(True))
+    sizes = reduce(DataFrame.unionAll, sides).filter(known).groupBy(*keys).agg(F.count("*").alias("__n"))
+    many = F.col("__n") > limit
+    crowded = cut_lineage(sizes.filter(many).select(*[F.col(k).alias(f"{k}__c") for k in keys]))
+    if crowded.isEmpty():
+        return whole, False, False
+    crowded = crowded.withColumn("__crowded", F.lit(True))
     same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"{k}__c") for k in keys])
 
     def marked(df: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,41 +101,66 @@ def fill_null_median(df: DataFrame, columns: Sequence[str], exact: bool = True)
     return df.fillna(known) if known else df
 
 
+#: So many distinct values of a bracket are looked at in the driver; larger brackets are narrowed first.
+MEDIAN_VALUES = 20_000
+
+
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    """Exact medians without gathering a column in one task.
+    """Exact medians of all columns at once, by narrowing brackets; nothing is sorted or gathered.
 
-    Two approximate ranks bracket the middle two percent, and only the distinct
-    values inside the bracket are counted and ranked.  A column without values
-    has none.
+    A pass counts the values under each column's bracket and finds two
+    approximate ranks around its median, which hold a fiftieth of the bracket's
+    rows; brackets narrow until each has few distinct values, which are counted
+    by one grouped pass.  A column without values has none.
     """
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    aggs = [F.count(c).alias(f"{c}__n") for c in columns]
-    aggs += [F.percentile_approx(c, [0.49, 0.51], 2000).alias(f"{c}__p") for c in columns]
-    seen = doubles.agg(*aggs).first()
-    brackets = {c: seen[f"{c}__p"] or (None, None) for c in columns}
-    medians: dict[str, float | None] = {
-        c: low for c, (low, high) in brackets.items() if low == high
-    }
-    open_ones = {c: p for c, p in brackets.items() if c not in medians}
-    if open_ones:
-        under = [F.count_if(F.col(c) < low).alias(c) for c, (low, _) in open_ones.items()]
-        below = doubles.agg(*under).first()
-        for c, (low, high) in open_ones.items():
-            medians[c] = _bracketed_median(doubles, c, seen[f"{c}__n"], below[c], low, high)
-    return medians
-
-
-def _bracketed_median(
-    df: DataFrame, column: str, rows: int, below: int, low: float, high: float
-) -> float:
-    """Median of ``rows`` values, ``below`` of which lie under the bracket."""
-    counts = (
-        df.filter(F.col(column).between(low, high))
-        .groupBy(column)
-        .agg(F.count("*").alias("weight"))
+    wide = [F.struct(F.count(c).alias("n"), F.percentile_approx(c, [0.49, 0.51], 2000).alias("p")).alias(c) for c in columns]
+    seen = doubles.agg(*wide).first() if columns else {}
+    rows = {c: seen[c]["n"] for c in columns}
+    medians: dict[str, float | None] = {c: None for c in columns if not rows[c]}
+    brackets = {c: tuple(seen[c]["p"]) for c in columns if rows[c]}
+    under: dict[str, int] = {}
+    while True:
+        medians |= {c: low for c, (low, high) in brackets.items() if low == high}
+        brackets = {c: b for c, b in brackets.items() if c not in medians}
+        if not brackets:
+            return medians
+        found = doubles.agg(*[_narrowed(c, *b).alias(c) for c, b in brackets.items()]).first()
+        wider = {c: b for c, b in brackets.items() if found[c]["values"] > MEDIAN_VALUES}
+        under = {c: found[c]["under"] for c in brackets}
+        closer = {c: _around(found[c], rows[c]) for c in wider}
+        for c in [c for c, b in wider.items() if closer[c] == b]:  # ties at both ends hold many values between them
+            medians[c] = _ranked_median(doubles, c, rows[c], under[c], *brackets.pop(c))
+            del wider[c], closer[c]
+        if not wider:
+            return medians | _counted_medians(doubles, brackets, rows, under)
+        brackets |= closer
+
+
+def _narrowed(column: str, low: float, high: float) -> Column:
+    """Rows under a bracket, and within it rows, about how many values, and ranks two hundredths apart."""
+    inside = F.when(F.col(column).between(low, high), F.col(column))
+    return F.struct(
+        F.count_if(F.col(column) < low).alias("under"),
+        F.count(inside).alias("rows"),
+        F.approx_count_distinct(inside, 0.05).alias("values"),
+        F.percentile_approx(inside, [i / 100 for i in range(101)], 5000).alias("p"),
     )
+
+
+def _around(found: Row, rows: int) -> tuple[float, float]:
+    """The ranks of a bracket that surely hold its median, from the hundredths of its rows."""
+    first, second = (rows - 1) // 2 - found["under"], rows // 2 - found["under"]
+    low = max(0, 100 * first // found["rows"] - 1)
+    high = min(100, -(-100 * (second + 1) // found["rows"]) + 1)
+    return found["p"][low], found["p"][high]
+
+
+def _ranked_median(df: DataFrame, column: str, rows: int, under: int, low: float, high: float) -> float:
+    """Median of ``rows`` values, ``under`` of which lie under the bracket, whose values are ranked split by split."""
+    counts = df.filter(F.col(column).between(low, high)).groupBy(column).agg(F.count("*").alias("weight"))
     ranked = ordered_total(counts, [], [column], F.col("weight"), "upto")
-    first, second = (rows - 1) // 2 - below, rows // 2 - below
+    first, second = (rows - 1) // 2 - under, rows // 2 - under
     found = ranked.agg(
         F.min(F.when(F.col("upto") > first, F.col(column))).alias("a"),
         F.min(F.when(F.col("upto") > second, F.col(column))).alias("b"),
@@ -142,6 +168,28 @@ def _bracketed_median(
     return (found["a"] + found["b"]) / 2
 
 
+def _counted_medians(
+    df: DataFrame, brackets: Mapping[str, tuple[float, float]], rows: Mapping[str, int], under: Mapping[str, int]
+) -> dict[str, float]:
+    """Medians from the counts of each bracket's few distinct values."""
+    if not brackets:
+        return {}
+    values = F.array(
+        *[F.struct(F.lit(c).alias("name"), F.when(F.col(c).between(*b), F.col(c)).alias("v")) for c, b in brackets.items()]
+    )
+    each = df.select(F.inline(values)).where("v is not null")
+    counts: dict[str, list] = {c: [] for c in brackets}
+    for row in each.groupBy("name", "v").agg(F.count("*").alias("n")).collect():
+        counts[row["name"]].append((row["v"], row["n"]))
+    out = {}
+    for c, found in counts.items():
+        held = np.array(sorted(found))
+        upto = np.cumsum(held[:, 1])
+        middle = [(rows[c] - 1) // 2 - under[c], rows[c] // 2 - under[c]]
+        out[c] = float(held[np.searchsorted(upto, middle, "right"), 0].mean())
+    return out
+
+
 def fill_by_type(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Missing features after a join: lists become empty lists, scalars stay NULL."""
     kinds = {f.name: f.dataType for f in df.schema}

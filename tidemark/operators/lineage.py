@@ -245,6 +245,9 @@ def audit_chain_verify(log: DataFrame, log_id: str, seq: str) -> DataFrame:
 
 # -- registry -------------------------------------------------------------------------------
 
+#: Marks of rows that lead from a view's inputs to their sources; no edges themselves.
+INPUT, NAMED = "input view", "named source"
+
 
 def _edges(df: DataFrame, src_type: str, src: Column, dst_type: str, dst: Column) -> DataFrame:
     return df.select(
@@ -279,37 +282,39 @@ def lineage_edges_direct(views: DataFrame, services: DataFrame) -> DataFrame:
     batch_source (name, table, path), stream_source, input_views and
     request_sources; ``services`` has one row per (service, view).
     """
-    name = F.col("name")
-    served = _edges(services, VIEW, F.col("view"), SERVICE, F.col("service"))
-    stored = views.filter(F.col("kind") != "stream")
-    batch = views.filter(F.col("kind") == "batch")
-    stream = views.filter(F.col("kind") == "stream")
-    on_demand = views.filter(F.col("kind") == "on_demand")
-    inputs = on_demand.select("name", F.explode("input_views").alias("input"))
-    named = batch.select(
-        F.col("name").alias("input"), F.col("batch_source.name").alias("source")
-    ).filter(F.col("source") != "")
-    parts = [
-        served,
-        _edges(
-            stored.select("name", F.explode("entities").alias("e")), ENTITY, F.col("e"), VIEW, name
-        ),
-        _edges(
-            stored.select("name", F.explode("features").alias("f")), FEATURE, F.col("f"), VIEW, name
-        ),
-        _edges(batch, SOURCE, source_name(F.col("batch_source")), VIEW, name),
-        _edges(stream, SOURCE, F.nullif("stream_source", F.lit("")), VIEW, name),
-        _edges(stream, SOURCE, F.nullif("batch_source.name", F.lit("")), VIEW, name),
-        _edges(
-            on_demand.select("name", F.explode("request_sources").alias("r")),
-            SOURCE,
-            F.col("r"),
-            VIEW,
-            name,
-        ),
-        _edges(inputs.join(named, "input"), SOURCE, F.col("source"), VIEW, name),
+    kind, source = F.col("kind"), F.col("batch_source")
+    stored, batch, stream, on_demand = kind != "stream", kind == "batch", kind == "stream", kind == "on_demand"
+
+    def edges(when: Column, src_type: str, sources: Column) -> Column:
+        """The view's edges from ``sources``, an array, if it is of the kind."""
+        to_view = F.transform(sources, lambda x: F.struct(F.lit(src_type).alias("src_type"), x.cast("string").alias("src")))
+        return F.when(when, to_view)
+
+    def present(value: Column) -> Column:
+        return F.nullif(value, F.lit(""))
+
+    # one array of edges for each view; those of inputs are led on to the inputs' own sources below
+    listed = [
+        edges(stored, ENTITY, F.col("entities")),
+        edges(stored, FEATURE, F.col("features")),
+        edges(batch, SOURCE, F.array(source_name(source))),
+        edges(stream, SOURCE, F.array(present(F.col("stream_source")), present(source["name"]))),
+        edges(on_demand, SOURCE, F.col("request_sources")),
+        edges(on_demand, INPUT, F.col("input_views")),
+        edges(batch, NAMED, F.array(present(source["name"]))),
     ]
-    return reduce(DataFrame.unionAll, parts).distinct()
+    empty = F.array().cast("array<struct<src_type:string,src:string>>")
+    every = F.flatten(F.array(*[F.coalesce(x, empty) for x in listed]))
+    opened = views.select(F.col("name").alias("dst"), F.explode(every).alias("e")).select("e.*", "dst")
+    opened = cut_lineage(opened.where(F.col("src").isNotNull()))
+    to_view = opened.where(~F.col("src_type").isin(INPUT, NAMED)).select(
+        "src_type", "src", F.lit(VIEW).alias("dst_type"), "dst"
+    )
+    named = opened.where(F.col("src_type") == NAMED).select(F.col("dst").alias("input"), F.col("src").alias("source"))
+    inputs = opened.where(F.col("src_type") == INPUT).select(F.col("src").alias("input"), "dst")
+    through = _edges(inputs.join(named, "input"), SOURCE, F.col("source"), VIEW, F.col("dst"))
+    served = _edges(services, VIEW, F.col("view"), SERVICE, F.col("service"))
+    return to_view.unionAll(through).unionAll(served).distinct()
 
 
 def lineage_edges_indirect(direct: DataFrame) -> DataFrame:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import CountVectorizerModel, Normalizer
-from pyspark.ml.functions import vector_to_array
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -115,16 +115,26 @@ def hashed_words(df: DataFrame, text: str, out: str, width: int) -> DataFrame:
     """Default embedding: word counts hashed into ``width`` places, scaled to length one.
 
     A word's place is the first eight digits of its SHA-256, modulo ``width``.
+    Words are cut in the JVM; a batch hashes each distinct word once and counts
+    all its documents' places together.
     """
 
-    def place(word: Column) -> Column:
-        digits = F.conv(F.substring(F.sha2(word, 256), 1, 8), 16, 10)
-        return (digits.cast("long") % width).cast("string")
+    @F.arrow_udf("array<float>")
+    def counted(words: pa.Array) -> pa.Array:
+        coded = words.flatten().dictionary_encode()
+        digests = (hashlib.sha256(w.encode()).hexdigest()[:8] for w in coded.dictionary.to_pylist())
+        places = np.array([int(d, 16) % width for d in digests], dtype=np.int64)
+        row = np.repeat(np.arange(len(words)), words.value_lengths().to_numpy())
+        found, times = np.unique(row * width + places[coded.indices.to_numpy()], return_counts=True)
+        counts = np.zeros(len(words) * width)
+        counts[found] = times
+        counts = counts.reshape(len(words), width)
+        norms = np.sqrt((counts**2).sum(axis=1, keepdims=True))
+        unit = counts / np.where(norms > 0, norms, 1.0)
+        offsets = np.arange(0, (len(words) + 1) * width, width, dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(unit.astype(np.float32).ravel()))
 
-    placed = df.withColumn("__places", F.transform(tokens(F.coalesce(F.col(text), F.lit(""))), place))
-    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(width)], "__places", "__counts")
-    scaled = Normalizer(p=2.0, inputCol="__counts", outputCol="__unit").transform(counter.transform(placed))
-    return scaled.withColumn(out, vector_to_array("__unit", "float32")).drop("__places", "__counts", "__unit")
+    return df.withColumn(out, counted(tokens(F.coalesce(F.col(text), F.lit("")))))
 
 
 def embed_text(
@@ -137,7 +147,7 @@ def embed_text(
 ) -> DataFrame:
     """Text to vectors, by a model given as a function over a batch of texts.
 
-    Without a model the hashed word counts are used, which stay in the JVM.
+    Without a model the hashed word counts are used.
     """
     if model is None:
         return hashed_words(df, text, out, width)
