@@ -237,3 +237,55 @@ def test_unknown_category_is_zero(spark):
     df = spark.createDataFrame([("One", None), ("??", 2.0), (None, 1.0)], "c string, n double")
     got = ml.encode_features(df, ["n"], {"c": {"Zero": 0, "One": 1}}).collect()
     assert [tuple(r) for r in got] == [(1.0, 0.0), (0.0, 2.0), (0.0, 1.0)]
+
+
+CASES = {
+    "select a from t": ["t"],
+    "SELECT a FROM t, u x, v AS y WHERE b > 1": ["t", "u", "v"],
+    "select 'from a' from b -- from c\n join d on 1=1": ["b", "d"],
+    "select 1 /* from x */ from y": ["y"],
+    "select 'it''s from x' from y": ["y"],
+    'select * from "a b"."c""d" join `e f` using (k)': ['a b.c"d', "e f"],
+    "select * from a.b.c c, (select * from d join e on d.x = e.x) s left join f on true, g": ["a.b.c", "d", "e", "f", "g"],
+    "with t as (select * from r) select * from T join u on 1 = 1": ["r", "u"],
+    "with t (x, y) as (select * from r), v as materialized (select p, q from t) select * from v": ["r"],
+    "with recursive t as (select 1 union all select n + 1 from t) select * from t, w": ["w"],
+    "select extract(year from d), trim(both 'x' from y), substring(z from 2) from t": ["t"],
+    "select * from a where x is distinct from b.y and exists (select 1 from c)": ["a", "c"],
+    "select * from generate_series(1, 3) g, t": ["t"],
+    "select * from (a join b on a.i = b.i) join (c) on true": ["a", "b", "c"],
+    "select f(x, y), z from t group by x, y order by p, q": ["t"],
+    "select * from t union select * from u intersect select a, b from v": ["t", "u", "v"],
+    "select * from t, t": ["t"],
+    "select * from only t, lateral (select * from u) x": ["t", "u"],
+    "insert into x select * from y": ["y"],
+    "select a, b as (c) from t": ["t"],
+    "select 1": [],
+    "": [],
+    "select 'unclosed from x": [],
+    "/* unclosed from x": [],
+    "select (select from) from (((": [],
+    ")))) from t": ["t"],
+    "select * from été, t$1": ["été", "t$1"],
+}
+
+
+def test_tables_of_queries(spark):
+    from tidemark.functions.queries import datasets_of_query, tables_of_query
+
+    rows = [*CASES.items(), (None, None)]
+    df = spark.createDataFrame(rows, "sql string, want array<string>")
+    for r in df.withColumn("got", tables_of_query(F.col("sql"))).collect():
+        assert r.got == r.want, r.sql
+    long = spark.createDataFrame([("select '" + "x''" * 200_000 + "' from t /* " + "y" * 500_000 + " */, u",)], "sql string")
+    assert long.select(tables_of_query(F.col("sql"))).first()[0] == ["t", "u"]
+    one = spark.createDataFrame([("select * from a join b.c on 1 = 1",)], "sql string")
+    named = one.select(F.inline(datasets_of_query(F.lit("ns"), F.lit("db"), F.col("sql")))).collect()
+    assert [tuple(r) for r in named] == [("ns", "db.a"), ("ns", "b.c")]
+
+
+def test_entity_ids_tell_values_apart(spark):
+    rows = [("a", "b"), ("a|b", ""), ("a", None), ("a", ""), (None, "a")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    ids = df.select(names.entity_id({"x": F.col("x"), "y": F.col("y")}), names.entity_id({"y": F.col("y"), "x": F.col("x")})).collect()
+    assert all(a == b for a, b in ids) and len({a for a, _ in ids}) == len(rows)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -73,3 +75,16 @@ def dataset_identity(uri: Column) -> Column:
 def table_of_query(sql: Column) -> Column:
     """First table named after FROM; empty when there is none."""
     return F.regexp_extract(sql, r"(?i)\bFROM\s+(\w+)", 1)
+
+
+def entity_id(keys: Mapping[str, Column]) -> Column:
+    """One id for an entity: sha256 of its key names and values, in order of the names.
+
+    NULL values are told from empty ones, and no value can pass for two.
+    """
+    parts = []
+    for name in sorted(keys):
+        value = keys[name].cast("string")
+        sized = F.concat(F.octet_length(value).cast("string"), F.lit(":"), value)
+        parts.append(F.concat(F.lit(f"{name}="), F.coalesce(sized, F.lit("-"))))
+    return F.sha2(F.concat_ws("|", *parts), 256)

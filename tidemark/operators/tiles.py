@@ -93,15 +93,25 @@ def _check(aggs: Sequence[Aggregation], hop: int) -> None:
             raise ValueError(f"window {agg.window} is not a multiple of the hop {hop}")
 
 
+def needed_partials(aggs: Sequence[Aggregation]) -> list[str]:
+    """``column__part`` of the partials that the aggregates are made from."""
+    more = {"count": (), "min": ("min",), "max": ("max",), "sum": ("sum",), "avg": ("sum",), "mean": ("sum",)}
+    found = []
+    for a in aggs:
+        for part in ("count", *more.get(a.function, ("sum", "sum_sq"))):
+            found.append(f"{a.column}__{part}")
+    return list(dict.fromkeys(found))
+
+
 def window_states(
     tiles: DataFrame,
     keys: Sequence[str],
-    columns: Sequence[str],
+    names: Sequence[str],
     hop: int,
     windows: Sequence[int],
     changes: bool = False,
 ) -> DataFrame:
-    """Merged partials of every window at its ends: ``END`` and ``column__part__seconds``.
+    """Merged partials ``names`` of every window at its ends: ``END`` and ``column__part__seconds``.
 
     Ends are the tiles' ends or, with ``changes``, also the ends at which a tile
     leaves one of the windows, so all places where the content of a window changes.
@@ -130,14 +140,13 @@ def window_states(
                         F.lit(own).alias("own"),
                     )
                 )
-    names = [f"{c}__{p}" for c in columns for p in PARTIALS]
     placed = tiles.select(*keys, *names, F.explode(F.array(*points)).alias("p")).select(
         *keys, "p.*", *(F.when(F.col("p.own"), F.col(n)).alias(n) for n in names)
     )
     group = [*keys, "window", "block"]
     on = Window.partitionBy(*group).orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
     back = Window.partitionBy(*group).orderBy(F.desc("at")).rangeBetween(Window.unboundedPreceding, 0)
-    merges = {f"{c}__{p}": a for c in columns for p, a in merge_partials(c).items()}
+    merges = {n: {"min": F.min, "max": F.max}.get(n.rpartition("__")[2], F.sum)(n) for n in names}
     running = {n: F.when(F.col("back"), a.over(back)).otherwise(a.over(on)) for n, a in merges.items()}
     states = placed.select(*keys, "window", "back", END, *(c.alias(n) for n, c in running.items()))
 
@@ -221,7 +230,8 @@ def _results(states: DataFrame, keys: Sequence[str], aggs: Sequence[Aggregation]
     """Final values of merged partials."""
     results = []
     for a in aggs:
-        parts = {p: F.col(f"{a.column}__{p}__{a.window}") for p in PARTIALS}
+        own = [f"{a.column}__{p}" for p in PARTIALS]
+        parts = {p: F.col(f"{n}__{a.window}") if f"{n}__{a.window}" in states.columns else F.lit(None) for p, n in zip(PARTIALS, own, strict=True)}
         results.append(from_partials(a.function, parts).alias(a.alias))
     return states.select(*keys, F.col(END).alias("window_end_ms"), *results)
 
@@ -235,7 +245,7 @@ def range_frame(
 ) -> DataFrame:
     """Trailing windows ending at each tile, from the tiles inside the window."""
     _check(aggs, hop)
-    return _results(window_states(tiles, keys, _columns(aggs), hop, _windows(aggs)), keys, aggs)
+    return _results(window_states(tiles, keys, needed_partials(aggs), hop, _windows(aggs)), keys, aggs)
 
 
 def window_changes(
@@ -247,7 +257,7 @@ def window_changes(
     that its windows are empty again.
     """
     _check(aggs, hop)
-    states = window_states(tiles, keys, _columns(aggs), hop, _windows(aggs), changes=True)
+    states = window_states(tiles, keys, needed_partials(aggs), hop, _windows(aggs), changes=True)
     return _results(states, keys, aggs)
 
 
@@ -261,7 +271,7 @@ def windowed_from_tiles(
     _check(aggs, hop)
     columns, step = _columns(aggs), hop * 1000
     tiles = cut_lineage(hop_partials(df, keys, ts, columns, hop))
-    states = window_states(tiles, keys, columns, hop, _windows(aggs), changes=True)
+    states = window_states(tiles, keys, needed_partials(aggs), hop, _windows(aggs), changes=True)
     bounds = _bounds(tiles)
     if bounds:
         first, last = (h + step for h in bounds)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import names
+from tidemark.functions.queries import datasets_of_query, tables_of_query
 from tidemark.operators import clean, joins
 from tidemark.operators import transform as tr
 from tidemark.operators.tiles import hop_start
@@ -226,6 +227,59 @@ def dataset_identity(spark, root):
     ).select("page_id", "d.namespace", "d.name", "from_table")
 
 
+@query(
+    "entity_ids",
+    """
+SELECT l_orderkey, l_linenumber, sha256('l_linenumber=' || length(l_linenumber::VARCHAR) || ':' || l_linenumber
+  || '|l_orderkey=' || length(l_orderkey::VARCHAR) || ':' || l_orderkey) AS entity FROM lineitem
+""",
+)
+def entity_ids(spark, root):
+    keys = {c: F.col(c) for c in ("l_orderkey", "l_linenumber")}
+    return table(spark, root, "lineitem").select(*keys, names.entity_id(keys).alias("entity"))
+
+
+def order_queries(spark, root):
+    """A query for each order: comments, strings, CTEs, quoted and dotted names, joins, lists, nesting, functions."""
+    text = '''WITH recent_{k} (a, b) AS (SELECT x, 'from "lost" --' FROM raw.orders_{c} /* from nowhere */),
+      "Other {k}" AS NOT MATERIALIZED (SELECT extract(year FROM day) AS y, p FROM days_{s})
+    SELECT r.a, (SELECT max(z) FROM limits l WHERE l.k IS DISTINCT FROM r.a) -- FROM comments
+    FROM recent_{k} r JOIN "Other {k}" o ON o.y = r.a, "My ""Db"""."Table {s}" AS t
+      LEFT JOIN (lake.parts_{p} p CROSS JOIN generate_series(1, 3) g(i)) USING (k), lateral (VALUES (1, 2)) v, days_{s}
+    WHERE r.b IN (SELECT c, d FROM customers_{c})
+    UNION ALL SELECT a, b FROM RECENT_{k}'''
+    orders = table(spark, root, "orders")
+    sql = F.lit(text)
+    for mark, column in (("{k}", "o_orderkey"), ("{c}", "o_custkey"), ("{s}", "o_orderstatus"), ("{p}", "o_orderpriority")):
+        value = F.regexp_replace(F.lower(F.col(column).cast("string")), "[^a-z0-9]+", "_")
+        sql = F.replace(sql, F.lit(mark), value)
+    return orders.withColumn("sql", sql)
+
+
+TABLES_SQL = """
+named AS (SELECT *, lower(o_orderstatus) AS s, regexp_replace(lower(o_orderpriority), '[^a-z0-9]+', '_', 'g') AS p FROM orders),
+read AS (SELECT o_orderkey, o_orderdate, unnest(['raw.orders_' || o_custkey, 'days_' || s, 'limits', 'My "Db".Table ' || s,
+  'lake.parts_' || p, 'customers_' || o_custkey]) AS name, generate_subscripts([1, 2, 3, 4, 5, 6], 1) - 1 AS place FROM named)"""
+
+
+@query("query_tables", f"WITH {TABLES_SQL} SELECT o_orderkey, place::INTEGER AS place, name FROM read")
+def query_tables(spark, root):
+    """All tables that each query reads, in order."""
+    found = order_queries(spark, root).select("o_orderkey", F.posexplode(tables_of_query(F.col("sql"))).alias("place", "name"))
+    return found
+
+
+@query("query_identities", f"""
+WITH {TABLES_SQL}
+SELECT o_orderkey, 'postgres://db:5432' AS namespace,
+       CASE WHEN contains(name, '.') THEN name ELSE 'shop.' || name END AS name FROM read
+""")
+def query_identities(spark, root):
+    """The datasets of each query as run inputs."""
+    inputs = datasets_of_query(F.lit("postgres://db:5432"), F.lit("shop"), F.col("sql"))
+    return order_queries(spark, root).select("o_orderkey", F.inline(inputs))
+
+
 @query(
     "date_functions",
     """
