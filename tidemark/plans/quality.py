@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import quality as q
+from tidemark.operators.profiles import DISTINCT_ERROR, RANK_ERROR, ProfileStore
 from tidemark.plans.catalog import query
 from tidemark.plans.columns import GAPPY, gappy
 from tidemark.session import fresh_path, table
@@ -27,6 +28,77 @@ def quality_counts(spark, root):
     return q.quality_counts(rows, ["quantity", "price", "one"])
 
 
+def profiled(spark, root, column="o_orderdate"):
+    """Orders profiled by year's end: old years first, then each new one, without reading the old ones again."""
+    store = ProfileStore(spark, fresh_path(spark, "profiles"))
+    orders = table(spark, root, "orders").withColumn("even", F.when(F.col("o_custkey") % 2 == 0, F.col("o_custkey")))
+    cut = [F.expr(f"TIMESTAMP_NTZ '{year}-01-01 00:00:00'") for year in (1996, 1998, 2000)]
+    at = F.col(column)
+    for part in (at < cut[0], (at >= cut[0]) & (at < cut[1]), (at >= cut[1]) & (at < cut[2]), at >= cut[2]):
+        store.add(orders.filter(part), F.date_trunc("month", at), ["o_totalprice", "even", "o_orderstatus"])
+    return store, orders
+
+
+@query(
+    "profile_counts",
+    """
+WITH o AS (SELECT *, CASE WHEN o_custkey % 2 = 0 THEN o_custkey END AS even FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01')
+SELECT 'o_totalprice' AS name, count(*) AS rows, count(*) - count(o_totalprice) AS nulls, false AS constant, true AS distinct_fits FROM o
+UNION ALL SELECT 'even', count(*), count(*) - count(even), false, true FROM o
+UNION ALL SELECT 'o_orderstatus', count(*), count(*) - count(o_orderstatus), false, true FROM o
+""",
+)
+def profile_counts(spark, root):
+    """Counts of the later years from stored months; distinct counts against exact ones."""
+    store, orders = profiled(spark, root)
+    later = orders.filter(F.col("o_orderdate") >= F.expr("TIMESTAMP_NTZ '1996-01-01 00:00:00'"))
+    names = ["o_totalprice", "even", "o_orderstatus"]
+    exact = later.agg(*[F.count_distinct(c).alias(c) for c in names]).unpivot([], names, "name", "exact")
+    fits = F.abs(F.col("distinct") - F.col("exact")) <= DISTINCT_ERROR * F.col("exact")
+    return store.counts("1996-01-01").join(exact, "name").select("name", "rows", "nulls", "constant", fits.alias("distinct_fits"))
+
+
+@query(
+    "profile_quantiles",
+    "SELECT unnest([0.1, 0.5, 0.9]::DOUBLE[]) AS rank, unnest(['o_totalprice', 'o_totalprice', 'o_totalprice']) AS name, TRUE AS fits",
+)
+def profile_quantiles(spark, root):
+    """Quantiles of all stored months: their exact ranks are within the bound."""
+    store, orders = profiled(spark, root)
+    ranks = [0.1, 0.5, 0.9]
+    found = store.quantiles(ranks)["o_totalprice"]
+    price, total = F.col("o_totalprice"), F.count("o_totalprice")
+    checks = [
+        F.struct(
+            F.lit(r).alias("rank"),
+            F.lit("o_totalprice").alias("name"),
+            ((F.count_if(price < v) / total <= r + RANK_ERROR) & (F.count_if(price <= v) / total >= r - RANK_ERROR)).alias("fits"),
+        )
+        for r, v in zip(ranks, found, strict=True)
+    ]
+    return orders.agg(F.array(*checks).alias("c")).select(F.inline("c"))
+
+
+@query(
+    "profile_suite",
+    """
+WITH r AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'),
+t AS (SELECT count(*) AS n, count(*) FILTER (o_totalprice < lo OR o_totalprice > hi) AS bad,
+             max(o_totalprice) AS top, min(o_totalprice) AS low, any_value(lo) AS lo, any_value(hi) AS hi
+      FROM orders, r WHERE o_orderdate >= TIMESTAMP '1996-01-01')
+SELECT 'between' AS kind, bad = 0 AS success, n AS rows, bad AS unexpected, NULL::DOUBLE AS observed FROM t
+UNION ALL SELECT 'max_between', top <= hi, n, 0, top FROM t
+UNION ALL SELECT 'min_between', low >= lo, n, 0, low FROM t
+""",
+)
+def profile_suite(spark, root):
+    """New orders checked by bounds of the stored months before them."""
+    store, orders = profiled(spark, root)
+    later = orders.filter(F.col("o_orderdate") >= F.expr("TIMESTAMP_NTZ '1996-01-01 00:00:00'"))
+    report = q.expectations(later, store.learn_suite(["o_totalprice"], last="1995-12-31"))
+    return report.select("kind", "success", "rows", "unexpected", "observed")
+
+
 @query(
     "training_checks",
     f"""
