@@ -236,3 +236,12 @@ def test_given_model(spark):
     df = spark.createDataFrame([(1, "abc"), (2, None)], "i long, t string")
     made = text.embed_text(df, "t", model=lambda ts: np.array([[len(t), 1.0] for t in ts]))
     assert {r.i: r.embedding for r in made.collect()} == {1: [3.0, 1.0], 2: [0.0, 1.0]}
+
+
+def test_hits_with_their_features(spark):
+    df = spark.createDataFrame([(1, [1.0], "a", 5), (2, [2.0], "b", None), (3, [9.0], "c", 7)], "id long, v array<double>, s string, n int")
+    one = spark.createDataFrame([(0, [1.2])], "query_id long, vector array<double>")
+    found = search.hit_features(search.vector_topk(df, "id", "v", one, 2), df, "id", ["s", "n"])
+    assert sorted((r["rank"], r.id, r.s, r.n) for r in found.collect()) == [(1, 1, "a", 5), (2, 2, "b", None)]
+    with pytest.raises(ValueError):
+        search.hit_features(search.vector_topk(df, "id", "v", one, 2), df, "id", ["rank"])

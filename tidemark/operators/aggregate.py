@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.splits import micros, ordered_total
 from tidemark.operators.windows import tie_break
+from tidemark.session import cut_lineage
 from tidemark.spec import Aggregation
 
 # Aggregate names that differ from the function they mean.
@@ -113,7 +114,7 @@ def roc_auc(df: DataFrame, label: str, score: str, rows_per_split: int | None =
     scores = df.groupBy(F.col(score).alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    ranked = ordered_total(scores, [], ["score"], F.col("neg"), "neg_upto", rows_per_split)
+    ranked = ordered_total(cut_lineage(scores), [], ["score"], F.col("neg"), "neg_upto", rows_per_split)
     wins = F.sum(F.col("pos") * (F.col("neg_upto") - F.col("neg") / 2.0))
     pairs = F.sum("pos").cast("double") * F.sum("neg")
     return ranked.agg((wins / F.when(pairs > 0, pairs)).alias("roc_auc"))

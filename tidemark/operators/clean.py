@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.splits import ordered_total, row_index
+from tidemark.operators.splits import ordered_total
 from tidemark.operators.windows import first_per_key
+from tidemark.session import cut_lineage
 
 # Columns recorded about a date moved under the EU policy, and the monitoring
 # tools that may be named there, the usual one first.
@@ -238,13 +239,21 @@ def ratio_features(df: DataFrame, ratios: Mapping[str, tuple[str, str]]) -> Data
 
 
 def label_encode(df: DataFrame, columns: Sequence[str], null_label: str = "nan") -> DataFrame:
-    """Replace strings by their rank among the sorted distinct values."""
-    for column in columns:
-        text = F.coalesce(F.col(column).cast("string"), F.lit(null_label))
-        labels = df.select(text.alias("__label")).distinct()
-        codes = row_index(labels, "__label", "__code")
-        encoded = df.withColumn("__text", text).join(codes, F.col("__text") == F.col("__label"))
-        df = encoded.withColumn(column, F.col("__code").cast("int")).select(*df.columns)
+    """Replace strings by their rank among the sorted distinct values.
+
+    The values of all columns are found in one pass and ranked together, column
+    by column.
+    """
+    if not columns:
+        return df
+    texts = {c: F.coalesce(F.col(c).cast("string"), F.lit(null_label)) for c in columns}
+    each = F.array(*[F.struct(F.lit(i).alias("__at"), t.alias("__label")) for i, t in enumerate(texts.values())])
+    labels = cut_lineage(df.select(F.inline(each)).distinct())
+    codes = cut_lineage(ordered_total(labels, ["__at"], ["__label"], F.lit(1), "__code"))
+    for i, (column, text) in enumerate(texts.items()):
+        own = codes.filter(F.col("__at") == i).select("__label", (F.col("__code") - 1).cast("int").alias("__code"))
+        encoded = df.withColumn("__text", text).join(own, F.col("__text") == F.col("__label"))
+        df = encoded.withColumn(column, F.col("__code")).select(*df.columns)
     return df
 
 

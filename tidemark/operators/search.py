@@ -188,6 +188,20 @@ def cosine_search(
     return found.withColumn("similarity", 1 - F.col("distance"))
 
 
+def hit_features(found: DataFrame, df: DataFrame, id_col: str, features: Sequence[str]) -> DataFrame:
+    """Hits with the requested columns of their rows.
+
+    The hits are written first, so that the join knows their size; only the
+    requested columns of the table are read.
+    """
+    hits = cut_lineage(found)
+    taken = [c for c in features if c in hits.columns]
+    if taken:
+        raise ValueError(f"the hits have columns {taken} already")
+    stored = df.select(F.col(id_col).alias("id"), *features)
+    return hits.join(stored, "id").select(*hits.columns, *features)
+
+
 def unit(vector: Column) -> Column:
     """Vector of length one; a zero vector stays as it is."""
     wide = vector.cast("array<double>")

@@ -282,9 +282,7 @@ def dataset_pipelines(spark, root):
 SEARCH = "brand#1"
 
 
-@query(
-    "registry_search",
-    f"""
+MATCHES_SQL = f"""
 WITH o AS (SELECT p_partkey, p_name AS name, p_type || ' part' AS description, p_brand, p_type,
              lower('brand=' || p_brand) AS t1, lower('type=' || p_type) AS t2 FROM part),
 j AS (SELECT *, {{q}} AS q FROM o),
@@ -303,11 +301,10 @@ s AS (SELECT *, CASE WHEN contains(lower(name), q) THEN 100.0::DOUBLE
 SELECT p_partkey, name, round(score, 6) AS match_score,
   CASE WHEN contains(t1, q) OR f1 >= 0.75 THEN p_brand END AS matched_brand,
   CASE WHEN contains(t2, q) OR f2 >= 0.75 THEN p_type END AS matched_type
-FROM s WHERE score IS NOT NULL ORDER BY score DESC, p_partkey LIMIT 50 OFFSET 50
-""".replace("{q}", f"'{SEARCH}'"),
-)
-def registry_search(spark, root):
-    """Second page of the matches, best first."""
+FROM s WHERE score IS NOT NULL """.replace("{q}", f"'{SEARCH}'")
+
+
+def matches(spark, root):
     part = table(spark, root, "part")
     tags = F.create_map(F.lit("brand"), "p_brand", F.lit("type"), "p_type")
     objects = part.select(
@@ -316,9 +313,11 @@ def registry_search(spark, root):
         F.concat("p_type", F.lit(" part")).alias("description"),
         tags.alias("tags"),
     )
-    found = ln.registry_search(objects, "Brand#1")
-    paged = ln.page(found, [F.desc("match_score"), F.asc("p_partkey")], 2, 50)
-    return paged.select(
+    return ln.registry_search(objects, "Brand#1")
+
+
+def shown(found):
+    return found.select(
         "p_partkey",
         "name",
         F.round("match_score", 6).alias("match_score"),
@@ -327,6 +326,18 @@ def registry_search(spark, root):
     )
 
 
+@query("registry_matches", MATCHES_SQL)
+def registry_matches(spark, root):
+    """All matches."""
+    return shown(matches(spark, root))
+
+
+@query("registry_search", MATCHES_SQL + "ORDER BY score DESC, p_partkey LIMIT 50 OFFSET 50")
+def registry_search(spark, root):
+    """Second page of the matches, best first."""
+    return shown(ln.page(matches(spark, root), [F.desc("match_score"), F.asc("p_partkey")], 2, 50))
+
+
 @query(
     "resolve_dataset",
     """

@@ -119,6 +119,23 @@ def validate_schema(spark, root):
     return q.validate_schema(orders, expected)
 
 
+@query(
+    "schema_states",
+    """
+SELECT 'o_orderkey' AS name, 'ok' AS state UNION ALL SELECT 'o_custkey', 'mismatch' UNION ALL SELECT 'o_totalprice', 'ok'
+UNION ALL SELECT 'o_colour', 'missing' UNION ALL SELECT 'o_orderdate', 'mismatch'
+""",
+)
+def schema_states(spark, root):
+    """What the check says of each expected column of the stored table."""
+    expected = {
+        "o_orderkey": T.IntegerType(), "o_custkey": T.StringType(), "o_totalprice": T.FloatType(),
+        "o_colour": T.StringType(), "o_orderdate": T.LongType(),
+    }
+    report = q.schema_report(table(spark, root, "orders"), expected)
+    return spark.createDataFrame(list(report.items()), "name string, state string")
+
+
 @query(
     "validate_json",
     """

@@ -123,6 +123,22 @@ def ivf_topk(spark, root):
     return found.select("id", F.round("distance", 6).alias("distance"))
 
 
+@query(
+    "hit_features",
+    f"""
+WITH {MEAN} SELECT vec_id AS id, round(list_distance(e, q), 6) AS distance, label, d.lang, d.source
+FROM v JOIN documents d ON d.doc_id = v.vec_id, m ORDER BY list_distance(e, q), vec_id LIMIT {K}
+""",
+)
+def hit_features(spark, root):
+    """Hits of a vector search with features of their rows."""
+    documents = table(spark, root, "documents").select(F.col("doc_id").alias("vec_id"), "lang", "source")
+    rows = table(spark, root, "embeddings").join(documents, "vec_id")
+    found = search.vector_topk(rows, "vec_id", "embedding", mean_vectors(spark, root), K)
+    hits = search.hit_features(found, rows, "vec_id", ["label", "lang", "source"])
+    return hits.select("id", F.round("distance", 6).alias("distance"), "label", "lang", "source")
+
+
 @query(
     "vector_score",
     f"""
