@@ -394,6 +394,40 @@ def test_language(spark, small):
     assert language.identify(odd, language.fit(documents.limit(0))).where("lang is null").count() == 3
 
 
+def test_language_fusion_against_plain_sums(spark, small):
+    """The fused chances from group sums in plain Python; one host holds a third of the pages."""
+    documents = spark.read.parquet(f"{small}/documents.parquet")
+    model = language.fit(documents)
+    texts = [r.text for r in documents.orderBy("doc_id").select("text").limit(40).collect()]
+    rows = []
+    for i, t in enumerate(texts):
+        host = "hot.example.fr" if i % 3 == 0 else f"h{i % 5}.site{i % 2}.de"
+        lang = f" lang='{('en', 'fr', 'xx')[i % 3]}'" if i % 4 else ""
+        rows.append((i, f"http://{host}/{i}" if i % 10 else None, f"<html{lang}><p>{t or ''}</p><script>no</script></html>", "clash"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, host string")
+    got = {r.page_id: r for r in language.identify(pages.repartition(3), model).collect()}
+    size, parts = len(model.languages), {}
+    soft = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    for i, url, markup, _ in rows:
+        logs = model.log_likelihood(language.page_text(markup))
+        host = re.match("http://([^/]*)", url)[1] if url else ""
+        mark = re.search("lang='(..)'", markup)
+        keys = {"h": host, "d": ".".join(host.split(".")[-2:]), "m": mark and mark[1], "s": host.rpartition(".")[2]}
+        parts[i] = (logs, soft(logs), {k: v for k, v in keys.items() if v})
+    base = (sum(p for _, p, _ in parts.values()) + 1.0) / (len(parts) + size)
+    for i, (logs, own, keys) in parts.items():
+        def others(kind):
+            same = [p for j, (_, p, k) in parts.items() if j != i and kind in keys and k.get(kind) == keys[kind]]
+            return sum(same) if same else np.zeros(size)
+        domain = (others("d") + 5 * base) / (others("d").sum() + 5)
+        host = (others("h") + 5 * domain) / (others("h").sum() + 5)
+        marks = [(others(k) + base) / (others(k).sum() + 1) / base for k in "ms"]
+        want = soft(logs + np.log(host) + np.log(marks[0]) + np.log(marks[1]))
+        assert got[i].score == pytest.approx(want.max(), abs=1e-6)
+        assert got[i].lang == model.languages[int(want.argmax())]
+    assert language.identify(pages.limit(0), model).count() == 0
+
+
 def test_components(spark):
     rnd = random.Random(4)
     links = [(rnd.randint(0, 300), rnd.randint(0, 300)) for _ in range(180)] + [(i, i + 1) for i in range(400, 460)]

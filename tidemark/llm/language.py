@@ -34,6 +34,8 @@ EVIDENCE = 40.0
 #: Weight, in pages, of the domain's prior in a host's, and of all pages' in a domain's.
 HOST_WEIGHT = DOMAIN_WEIGHT = 5.0
 MARK_WEIGHT = 1.0
+#: Parts of one that chances are counted in.
+UNITS = 1 << 32
 
 RAW = re.compile(r"<(script|style)\b", re.I)
 RAW_ENDS = {tag: re.compile(rf"</{tag}\s*+>", re.I) for tag in ("script", "style")}
@@ -186,14 +188,18 @@ def identify(pages: DataFrame, model: Model, page_id: str = "page_id", url: str
     )
     seen = cut_lineage(seen)
 
-    every = seen.agg(*(F.sum(f"p{i}").alias(f"p{i}") for i in range(size))).first()
-    sums = [float(every[i] or 0.0) for i in range(size)]
+    # chances are added as whole numbers, so that no order of rows changes a sum
+    summed = [F.sum(F.round(F.col(f"p{i}") * UNITS).cast("long")) for i in range(size)]
+    every = seen.agg(*summed).first()
+    sums = [float(every[i] or 0) / UNITS for i in range(size)]
     base = [(x + 1.0) / (sum(sums) + size) for x in sums]
 
     def grouped(key: str, letter: str) -> DataFrame:
-        return seen.where(F.col(key).isNotNull() & (F.col(key) != "")).groupBy(key).agg(
-            *(F.sum(f"p{i}").alias(f"{letter}{i}") for i in range(size))
+        """Sums by ``key``, written: the join sends them to the pages where they are small, and else splits hot keys."""
+        sums = seen.where(F.col(key).isNotNull() & (F.col(key) != "")).groupBy(key).agg(
+            *((x / UNITS).alias(f"{letter}{i}") for i, x in enumerate(summed))
         )
+        return cut_lineage(sums)
 
     joined = seen
     for key, letter in (("host", "h"), ("domain", "d"), ("declared", "m"), ("suffix", "s")):
