@@ -230,6 +230,36 @@ def test_cross_polytope_links(vectors):
     assert crosspolytope.near_duplicates(vectors.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("dims", [64, 384])
+def test_cross_polytope_recall_near_the_threshold(spark, dims):
+    """Pairs at cosine 0.9 to 0.92, none nearer: recall of the links, and of the sketches alone."""
+    rng = np.random.default_rng(11)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    a = unit(rng.normal(size=(500, dims)))
+    side = rng.normal(size=(500, dims))
+    side = unit(side - (side * a).sum(axis=1, keepdims=True) * a)
+    cosine = rng.uniform(0.9, 0.92, size=(500, 1))
+    b = cosine * a + np.sqrt(1 - cosine**2) * side
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([a, b]))]
+    found = crosspolytope.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    linked = found.where("vec_id >= 500 and component_id = vec_id - 500").count()
+    assert linked >= (0.98 if dims == 64 else 0.95) * 500
+    x, y = crosspolytope.sketches(a).view(np.uint64), crosspolytope.sketches(unit(b)).view(np.uint64)
+    assert (np.bitwise_count(x ^ y).sum(axis=1) <= crosspolytope.sketch_bound(0.9)).all()
+
+
+def test_crowded_buckets_of_near_copies_meet_whole(spark, monkeypatch):
+    """Small blocks and groups: a cluster of distinct near copies links every pair, through both meetings."""
+    monkeypatch.setattr("tidemark.llm.blocks.BLOCK_ROWS", 16)
+    rng = np.random.default_rng(12)
+    centre = rng.normal(size=32)
+    rows = [(i, (centre + 0.01 * rng.normal(size=32)).tolist()) for i in range(150)]
+    rows += [(1000 + i, rng.normal(size=32).tolist()) for i in range(50)]
+    found = crosspolytope.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in found.collect()}
+    assert all(got[i] == (149, 0) for i in range(150)) and all(got[1000 + i] == (0, 1000 + i) for i in range(50))
+
+
 def test_learned_partitions_find_the_nearest(spark, vectors, small):
     for df, dims in ((vectors, None), (spark.read.parquet(f"{small}/embeddings.parquet"), 64)):
         good = _usable(df.collect())

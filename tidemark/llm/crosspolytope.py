@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.blocks import dealt_tasks, unit_pairs
-from tidemark.llm.common import bounded_batches, merge_labels
+from tidemark.llm.blocks import GROUP_ROWS, dealt_tasks, unit_pairs
+from tidemark.llm.common import bounded_batches, merge_labels, sized
 from tidemark.llm.components import components
 from tidemark.llm.vectors import clean_vectors, matrix, unit_rows
 from tidemark.session import cut_lineage
@@ -37,6 +37,8 @@ TABLES, HASHES, PROBES = 10, 3, 8
 AXES = 3
 SEED = 20240229
 PAIRS_AT_ONCE = 1 << 17
+#: Bits of a vector's sketch, and how many standard deviations above its mean a linked pair's distance may be.
+SKETCH_BITS, SKETCH_DEVIATIONS = 128, 6.0
 
 
 def hadamard(rows: np.ndarray) -> np.ndarray:
@@ -89,6 +91,19 @@ def buckets(rows: np.ndarray, signs: np.ndarray) -> np.ndarray:
     return out
 
 
+def sketches(rows: np.ndarray) -> np.ndarray:
+    """Sides of ``SKETCH_BITS`` random planes that each row lies on, as two whole numbers a row."""
+    planes = np.random.default_rng([SEED, rows.shape[1], 1]).normal(size=(rows.shape[1], SKETCH_BITS))
+    bits = np.packbits(rows @ planes > 0, axis=1)
+    return bits.view(np.int64).reshape(len(rows), SKETCH_BITS // 64)
+
+
+def sketch_bound(cosine: float) -> int:
+    """Differing bits that a pair at ``cosine`` exceeds about once in 10 ** 8; nearer pairs differ in fewer."""
+    share = float(np.arccos(np.clip(cosine, -1, 1))) / np.pi
+    return int(np.ceil(SKETCH_BITS * share + SKETCH_DEVIATIONS * np.sqrt(SKETCH_BITS * share * (1 - share))))
+
+
 def _hash_batches(batches):
     for batch in batches:
         if not batch.num_rows:
@@ -97,7 +112,8 @@ def _hash_batches(batches):
         for dims in np.unique(lengths):
             rows = batch.filter(pa.array(lengths == dims))
             signs = rotations(int(dims))
-            found = buckets(unit_rows(matrix(rows.column(1), int(dims))), signs)
+            unit = unit_rows(matrix(rows.column(1), int(dims)))
+            found, sketch = buckets(unit, signs), sketches(unit)
             n, tables, probes = found.shape
             yield pa.RecordBatch.from_arrays(
                 [
@@ -106,8 +122,10 @@ def _hash_batches(batches):
                     pa.array(np.tile(np.repeat(np.arange(tables, dtype=np.int32), probes), n)),
                     pa.array(found.reshape(-1)),
                     pa.array(np.tile(np.arange(probes) == 0, n * tables)),
+                    pa.array(np.repeat(sketch[:, 0], tables * probes)),
+                    pa.array(np.repeat(sketch[:, 1], tables * probes)),
                 ],
-                names=["rep", "dims", "table", "code", "own"],
+                names=["rep", "dims", "table", "code", "own", "left", "right"],
             )
 
 
@@ -115,10 +133,12 @@ def linked_pairs(classes: DataFrame, cosine: float = COSINE) -> tuple[DataFrame,
     """(rep, linked) with the sizes of the linked classes summed, and links (a, b) that join them.
 
     ``classes`` has (rep, v, dims, size): distinct vectors with a number and how many share them.
+    Rows of a bucket meet twice: first their sketches, which travel in the bucket
+    rows, then the vectors of those rows only that a sketch puts near another.
     """
     hashed = cut_lineage(
         classes.select("rep", "v", "dims").mapInArrow(
-            _hash_batches, "rep long, dims int, table int, code long, own boolean"
+            _hash_batches, "rep long, dims int, table int, code long, own boolean, left long, right long"
         )
     )
     place = ["dims", "table", "code"]
@@ -128,8 +148,15 @@ def linked_pairs(classes: DataFrame, cosine: float = COSINE) -> tuple[DataFrame,
         .where("bucket_rows > 1 and own_there")
         .drop("own_there")
     )
-    met = hashed.join(shared, place).join(classes.select("rep", "v", "size"), "rep")
-    met = cut_lineage(met.withColumn("key", F.xxhash64(*place)))
+    met = cut_lineage(hashed.join(shared, place).withColumn("key", F.xxhash64(*place)))
+    bound = sketch_bound(cosine)
+
+    def sift(table: pa.Table) -> pa.Table:
+        return _sifted(table, bound).drop_columns(["key", "left", "right", "task"])
+
+    kept = "rep long, dims int, table int, code long, own boolean, block int, low int, high int, unit long"
+    near = dealt_tasks(met, "key", "rep").groupBy("task").applyInArrow(sift, kept)
+    near, tasks = sized(near.join(classes.select("rep", "v", "size"), "rep"), GROUP_ROWS)
 
     def compare(table: pa.Table) -> pa.Table:
         outs = []
@@ -141,12 +168,27 @@ def linked_pairs(classes: DataFrame, cosine: float = COSINE) -> tuple[DataFrame,
             {"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "linked": pa.array([], pa.int64())}
         )
 
-    found = dealt_tasks(met, "key", "rep").groupBy("task").applyInArrow(compare, "a long, b long, linked long")
-    found = cut_lineage(found)
+    dealt = near.groupBy(F.pmod("unit", F.lit(tasks)).alias("task"))
+    found = cut_lineage(dealt.applyInArrow(compare, "a long, b long, linked long"))
     counts = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("linked").alias("linked"))
     return counts, found.where("b is not null").select("a", "b")
 
 
+def _sifted(table: pa.Table, bound: int) -> pa.Table:
+    """Rows whose sketch differs from another's of their unit in at most ``bound`` bits."""
+    table = table.sort_by([("unit", "ascending"), ("rep", "ascending"), ("own", "descending")])
+    get = {c: table[c].to_numpy() for c in ("unit", "rep", "block", "low", "high", "own", "left", "right")}
+    alive = np.zeros(len(get["unit"]), dtype=bool)
+    for at, other in unit_pairs(get["unit"], get["block"], get["low"] != get["high"]):
+        wanted = (get["own"][at] | get["own"][other]) & (get["rep"][at] != get["rep"][other])
+        at, other = at[wanted], other[wanted]
+        apart = np.bitwise_count(get["left"][at].view(np.uint64) ^ get["left"][other].view(np.uint64)).astype(np.int64)
+        apart += np.bitwise_count(get["right"][at].view(np.uint64) ^ get["right"][other].view(np.uint64))
+        alive[at[apart <= bound]] = True
+        alive[other[apart <= bound]] = True
+    return table.filter(pa.array(alive))
+
+
 def _compare(table: pa.Table, dims: int, cosine: float) -> pa.Table:
     """Rows (a, NULL, linked): sizes linked to a; rows (a, b, NULL): a joined to b."""
     table = table.sort_by([("unit", "ascending"), ("rep", "ascending"), ("own", "descending")])
