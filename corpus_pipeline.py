@@ -8,7 +8,8 @@ Defined results: NULL and empty texts pass the toxicity stage, which finds
 nothing in them, and are judged by the quality model like any other; rows with a
 NULL id can't be told apart by id, so each of them is judged by its own text; an
 id that stands on several texts keeps one row for each group of near-duplicates
-whose smallest id it is; an empty table gives no rows.
+whose smallest id it is; an empty table gives no rows.  Other columns pass through
+under any name.
 """
 
 from __future__ import annotations
@@ -28,17 +29,15 @@ ORACLE_SQL = None
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model doesn't call toxic."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.with_score(docs, model, "toxicity_score").where(
-        F.col("toxicity_score") < toxicity.THRESHOLD
-    ).select(*docs.columns)
+    name = free_name(docs, "toxicity_score")
+    return toxicity.with_score(docs, model, name).where(F.col(name) < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ranking doesn't put below its cut."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.with_score(docs, model, "quality_score").where(
-        F.col("quality_score") >= quality.THRESHOLD
-    ).select(*docs.columns)
+    name = free_name(docs, "quality_score")
+    return quality.with_score(docs, model, name).where(F.col(name) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,7 +68,8 @@ def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     A cut may leave part of a character's bytes; such bytes go as well.
     """
-    out = substrings.remove_repeats(docs, as_text=True).withColumnRenamed("kept", "text")
+    out = substrings.remove_repeats(docs, as_text=True)
+    out = out.withColumnRenamed(out.columns[-1], "text")  # what stays is the last column, whatever its free name
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
