@@ -289,3 +289,27 @@ def test_entity_ids_tell_values_apart(spark):
     df = spark.createDataFrame(rows, "x string, y string")
     ids = df.select(names.entity_id({"x": F.col("x"), "y": F.col("y")}), names.entity_id({"y": F.col("y"), "x": F.col("x")})).collect()
     assert all(a == b for a, b in ids) and len({a for a, _ in ids}) == len(rows)
+
+
+def test_a_hot_view_is_joined_in_parts(spark, monkeypatch):
+    rows = [("feature", f"f{i}", "featureView", "hot") for i in range(40)] + [("entity", f"e{i}", "featureView", "hot") for i in range(7)]
+    rows += [("dataSource", f"s{i}", "featureView", "hot") for i in range(9)] + [("entity", "e0", "featureView", "cold")]
+    rows += [("featureView", "hot", "featureService", f"v{i}") for i in range(30)] + [("featureView", "cold", "featureService", "v0")]
+    rows += [("featureView", "alone", "featureService", "v9"), ("dataSource", "s0", "featureView", "unserved")]
+    direct = spark.createDataFrame(rows, "src_type string, src string, dst_type string, dst string")
+    feeds = [(t, s) for t, s, k, v in rows if k == "featureView" and v == "hot"]
+    want = {(t, s, "featureService", f"v{i}") for t, s in feeds for i in range(30)} | {("entity", "e0", "featureService", "v0")}
+    want |= {("entity", f"e{i}", "dataSource", f"s{j}") for i in range(7) for j in range(9)}
+    for part in (5, 10_000):
+        monkeypatch.setattr(ln, "PART_EDGES", part)
+        found = [tuple(r) for r in ln.lineage_edges_indirect(direct).collect()]
+        assert len(found) == len(want) and set(found) == want
+
+
+def test_levels_of_a_graph_with_circles(spark):
+    pairs = [(1, 2), (2, 3), (3, 1), (3, 4), (4, 4), (4, 5), (6, 1)]
+    edges = spark.createDataFrame(pairs, "src long, dst long")
+    start = spark.createDataFrame([(1,)], "node long")
+    found = {(r.level, r.src, r.dst) for r in ln.lineage_graph_depth(edges, start, 9).collect()}
+    assert found == {(0, 1, 2), (1, 2, 3), (2, 3, 1), (2, 3, 4), (3, 4, 4), (3, 4, 5), }
+    assert ln.lineage_graph_depth(edges, start, 0).count() == 1

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, fresh_path
 
 EDGE = ["src_type", "src", "dst_type", "dst"]
 
@@ -247,6 +247,8 @@ def audit_chain_verify(log: DataFrame, log_id: str, seq: str) -> DataFrame:
 
 #: Marks of rows that lead from a view's inputs to their sources; no edges themselves.
 INPUT, NAMED = "input view", "named source"
+#: So many edges of one view are joined as one part.
+PART_EDGES = 10_000
 
 
 def _edges(df: DataFrame, src_type: str, src: Column, dst_type: str, dst: Column) -> DataFrame:
@@ -317,48 +319,65 @@ def lineage_edges_direct(views: DataFrame, services: DataFrame) -> DataFrame:
     return to_view.unionAll(through).unionAll(served).distinct()
 
 
+def _led_through(into: DataFrame, onward: DataFrame) -> DataFrame:
+    """Distinct (src_type, src, dst) of ``into`` (src_type, src, via) and ``onward`` (via, dst).
+
+    The edges of one view are dealt in parts by hash, and each part of its feeds
+    meets each part of its services once: no task makes all pairs of a hot view.
+    """
+    feeds = into.select("src_type", "src", "via").distinct()
+    outs = onward.select("via", "dst").distinct()
+    sizes = feeds.select("via", F.lit(1).alias("in"), F.lit(0).alias("out")).unionAll(
+        outs.select("via", F.lit(0).alias("in"), F.lit(1).alias("out"))
+    )
+    sizes = sizes.groupBy("via").agg(F.sum("in").alias("ins"), F.sum("out").alias("outs")).where("ins > 0 and outs > 0")
+    # only views with more edges on a side than a part holds are in this list: at most edges / part
+    hot = cut_lineage(sizes.where((F.col("ins") > PART_EDGES) | (F.col("outs") > PART_EDGES)))
+    part = lambda n: F.coalesce(F.ceil(F.col(n) / PART_EDGES), F.lit(1)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), part(n) - 1))
+    marked = feeds.join(hot, "via", "left")
+    left = marked.withColumn("i", F.pmod(F.xxhash64("src_type", "src"), part("ins")).cast("int")).withColumn("o", every("outs"))
+    marked = outs.join(hot, "via", "left")
+    right = marked.withColumn("o", F.pmod(F.xxhash64("dst"), part("outs")).cast("int")).withColumn("i", every("ins"))
+    met = left.select("src_type", "src", "via", "i", "o").join(right.select("via", "dst", "i", "o"), ["via", "i", "o"])
+    return met.select("src_type", "src", "dst").distinct()
+
+
 def lineage_edges_indirect(direct: DataFrame) -> DataFrame:
     """What feeds a service through its views, and the sources behind an entity."""
-    into_view = direct.filter(F.col("dst_type") == VIEW)
-    served = direct.filter(F.col("dst_type") == SERVICE).select(
-        F.col("src").alias("dst"), F.col("dst").alias("service")
-    )
-    through = into_view.join(served, "dst")
-    to_service = through.select(
-        "src_type", "src", F.lit(SERVICE).alias("dst_type"), F.col("service").alias("dst")
-    )
-    entities = into_view.filter(F.col("src_type") == ENTITY).select("src", "dst").distinct()
-    sources = (
-        into_view.filter(F.col("src_type") == SOURCE)
-        .select("dst", F.col("src").alias("source"))
-        .distinct()
-    )
-    to_source = _edges(entities.join(sources, "dst"), ENTITY, F.col("src"), SOURCE, F.col("source"))
-    return to_service.unionAll(to_source).distinct()
+    into_view = direct.filter(F.col("dst_type") == VIEW).select("src_type", "src", F.col("dst").alias("via"))
+    served = direct.filter(F.col("dst_type") == SERVICE).select(F.col("src").alias("via"), "dst")
+    to_service = _led_through(into_view, served).select("src_type", "src", F.lit(SERVICE).alias("dst_type"), "dst")
+    sources = into_view.filter(F.col("src_type") == SOURCE).select("via", F.col("src").alias("dst"))
+    to_source = _led_through(into_view.filter(F.col("src_type") == ENTITY), sources)
+    return to_service.unionAll(to_source.select("src_type", "src", F.lit(SOURCE).alias("dst_type"), "dst"))
 
 
 def lineage_graph_depth(edges: DataFrame, start: DataFrame, depth: int = 2) -> DataFrame:
     """Edges (level, src, dst) met within ``depth`` steps of the start nodes.
 
     True breadth-first levels: every node is expanded once, at the level it is
-    first met.  ``start`` has one column ``node``.  Frontiers are checkpointed,
-    so the plan of a level does not hold those before it.
+    first met.  ``start`` has one column ``node``.  Each level's edges are written
+    as they are found, and the next frontier is read from them; edges already
+    met aren't looked at again, as their sources were all expanded.
     """
-    edges = cut_lineage(edges.select("src", "dst").distinct())
+    spark = edges.sparkSession
+    rest = cut_lineage(edges.select("src", "dst").distinct())
+    path, kind = fresh_path(spark, "levels"), rest.schema.simpleString().removeprefix("struct<").removesuffix(">")
+    schema = "level int, " + kind.replace(":", " ").replace(",", ", ")
     frontier = cut_lineage(start.select("node").distinct())
     visited = frontier
-    found = []
     for level in range(depth + 1):
-        step = edges.join(frontier.withColumnRenamed("node", "src"), "src", "left_semi")
-        found.append(step.select(F.lit(level).alias("level"), "src", "dst"))
+        step = rest.join(frontier.withColumnRenamed("node", "src"), "src", "left_semi")
+        step.select(F.lit(level).alias("level"), "src", "dst").write.parquet(f"{path}/step-{level}")
         if level == depth:
             break
-        reached = step.select(F.col("dst").alias("node")).distinct()
-        frontier = cut_lineage(reached.join(visited, "node", "left_anti"))
+        met = spark.read.schema(schema).parquet(f"{path}/step-{level}")
+        frontier = cut_lineage(met.select(F.col("dst").alias("node")).distinct().join(visited, "node", "left_anti"))
         if frontier.isEmpty():
             break
         visited = visited.unionAll(frontier)
-    return reduce(DataFrame.unionAll, found)
+    return spark.read.schema(schema).parquet(*(f"{path}/step-{i}" for i in range(level + 1)))
 
 
 def dataset_pipelines(
