@@ -279,6 +279,55 @@ def test_learned_partitions_find_the_nearest(spark, vectors, small):
     assert learned_partitions.search(vectors.limit(0), F.col("vec_id") % 10 == 0).count() == 0
 
 
+def _recall(rows, found, queries, k=10):
+    hit = total = 0
+    own = {}
+    for r in found.collect():
+        own.setdefault(r.query_id, set()).add(r.vec_id)
+    for q in queries:
+        gap = ((rows - rows[q]) ** 2).sum(axis=1)
+        gap[q] = np.inf
+        near = set(np.argsort(gap, kind="stable")[:k].tolist())
+        hit, total = hit + len(near & own.get(q, set())), total + k
+    return hit / total
+
+
+def test_crowded_parts_are_split_by_a_second_level(spark):
+    rng = np.random.default_rng(4)
+    rows = rng.normal(size=(60, 24))[rng.integers(0, 60, 6000)] + 0.4 * rng.normal(size=(6000, 24))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    placed = learned_partitions.clean_vectors(df, "vec_id", "embedding")
+    routes, placed = learned_partitions.build(placed, 10, 0.94, split_rows=300)
+    parts = {r["part"]: r["n"] for r in placed.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    assert sum(parts.values()) == 6000 and routes.below
+    # a part is cut in two at least wherever the first level left more than 300 rows
+    split = {p // learned_partitions.SUBPARTS for p in parts if p % learned_partitions.SUBPARTS}
+    assert split == set(routes.below)
+    found = learned_partitions.search(df, F.col("vec_id") % 50 == 0, split_rows=300)
+    assert _recall(rows, found, range(0, 6000, 50)) >= 0.9
+    again = learned_partitions.search(df, F.col("vec_id") % 50 == 0, split_rows=300)
+    assert rows_of(found) == rows_of(again)
+
+
+def test_a_query_goes_on_until_its_list_is_full():
+    rng = np.random.default_rng(2)
+    rows = rng.normal(size=(400, 8))
+    top = learned_partitions.fit(rows, 100_000)
+    top.probes = 1
+    below = learned_partitions.fit(rows, 100_000)
+    routes = learned_partitions.Routes(top, {0: below})
+    everything = sorted(
+        p * learned_partitions.SUBPARTS + s for p in range(8) for s in (range(below.second.shape[1]) if p == 0 else [0])
+    )
+    sizes = dict.fromkeys(everything, 3)
+    own = routes.parts(rows[:20], True)
+    for row, found in zip(rows, own, strict=False):
+        more = routes.fill(row, found, sizes, 11)
+        assert more[: len(found)] == found and len(set(more)) == len(more)
+        assert 11 <= 3 * len(more) < 11 + 3 or more == found
+        assert sorted(routes.fill(row, found, sizes, 10**6)) == everything
+
+
 @pytest.mark.parametrize(("module", "label", "least"), [(quality, "quality", 0.97), (toxicity, "toxic", 0.95)])
 def test_classifiers_on_the_held_out_fold(spark, awkward, empty, module, label, least):
     documents, labels = (spark.read.parquet(f"{MEDIUM}/{n}.parquet") for n in ("documents", "labels"))

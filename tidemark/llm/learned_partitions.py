@@ -7,6 +7,12 @@ several most probable ones, whose rows are compared with it in double precision.
 How many parts a query needs is measured on sample rows that the network hasn't
 seen.
 
+A part with too many rows is cut again in the same way, by a second network that
+learns from a bounded sample of that part's rows; its number of parts to probe is
+measured on sample rows of its own and on those that come from other parts.  So
+the first level's parts may grow with the table while the last ones stay small.
+A query whose parts hold too few rows for its list goes on to further parts.
+
 Defined results: vectors that are NULL, zero or not finite take no part, nor do
 rows without an id; a row repeated exactly counts once; only vectors of one
 length are compared, those of less common lengths without partitions; with fewer
@@ -15,7 +21,8 @@ candidates than asked for, all are returned.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import io
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +36,11 @@ from tidemark.session import cut_lineage
 #: At most this many rows are learned from; a part has at least so many of them.
 SAMPLE_ROWS = 8_000
 LEAST_SAMPLE_ROWS_PER_PART = 40
-#: Rows that a part should have, as far as the sample allows.
+#: Rows that a part should have, as far as the sample allows; parts with more than SPLIT_ROWS are split again.
 ROWS_PER_PART = 512
+SPLIT_ROWS = 65_536
+#: Numbers kept free for the parts of a part, more than a sample can make.
+SUBPARTS = 4_096
 GRAPH_NEIGHBOURS = 10
 HIDDEN, EPOCHS, RATE = 128, 40, 2e-3
 TARGET_RECALL = 0.94
@@ -143,11 +153,54 @@ def train(rows: np.ndarray, target: np.ndarray, seed: int = 0) -> Router:
     return Router(dims, centre, scale, *weights)
 
 
-def fit(sample: np.ndarray, rows: int, neighbours: int = NEIGHBOURS, target_recall: float = TARGET_RECALL) -> Router:
+@dataclass
+class Routes:
+    """The first level's router, and those of its parts that are split again."""
+
+    top: Router
+    below: dict[int, Router] = field(default_factory=dict)
+
+    def parts(self, rows: np.ndarray, every: bool) -> list[list[int]]:
+        """Each row's most probable part, or all those that it is sent to as a query."""
+        order = self.top.order(rows)[:, : self.top.probes if every else 1]
+        found: list[list[int]] = [[] for _ in rows]
+        for part in np.unique(order).tolist():
+            places = np.flatnonzero((order == part).any(axis=1))
+            own = np.zeros((len(places), 1), dtype=np.int64)
+            if part in self.below:
+                router = self.below[part]
+                own = router.order(rows[places])[:, : router.probes if every else 1]
+            for i, subs in zip(places, (part * SUBPARTS + own).tolist(), strict=True):
+                found[i] += subs
+        return found
+
+    def fill(self, row: np.ndarray, found: list[int], sizes: dict[int, int], least: int) -> list[int]:
+        """``found`` and further parts, most probable first, until they hold ``least`` rows or all are named."""
+        held, named = sum(sizes.get(p, 0) for p in found), set(found)
+        found = list(found)
+        for part in self.top.order(row[None, :])[0].tolist():
+            for own in self.below[part].order(row[None, :])[0].tolist() if part in self.below else [0]:
+                if held >= least:
+                    return found
+                number = part * SUBPARTS + own
+                if number not in named and sizes.get(number):
+                    found.append(number)
+                    held += sizes[number]
+        return found
+
+
+def fit(
+    sample: np.ndarray,
+    rows: int,
+    neighbours: int = NEIGHBOURS,
+    target_recall: float = TARGET_RECALL,
+    visitors: np.ndarray | None = None,
+) -> Router:
     """Partitions for a table of ``rows`` rows from a sample of them.
 
-    A fifth of the sample isn't learned from; as queries, these rows tell how many
-    parts hold ``target_recall`` of their neighbours among all sample rows.
+    A fifth of the sample isn't learned from; as queries, these rows (and
+    ``visitors``, rows from elsewhere) tell how many parts hold
+    ``target_recall`` of their neighbours among all sample rows.
     """
     learned = max(1, len(sample) * 4 // 5)
     wanted = max(2, min(rows // ROWS_PER_PART, learned // LEAST_SAMPLE_ROWS_PER_PART))
@@ -166,32 +219,84 @@ def fit(sample: np.ndarray, rows: int, neighbours: int = NEIGHBOURS, target_reca
     for j in range(near.shape[1]):
         target[line, part[near[:, j]]] += 1
     router = train(own, target / target.sum(axis=1, keepdims=True))
-    order = router.order(sample)
     held = np.arange(learned, len(sample))
-    gap = (sample * sample).sum(axis=1)[None, :] - 2 * sample[held] @ sample.T
+    asked = sample[held] if visitors is None else np.concatenate([sample[held], visitors])
+    gap = (sample * sample).sum(axis=1)[None, :] - 2 * asked @ sample.T
     gap[np.arange(len(held)), held] = np.inf
     nearest = np.argsort(gap, axis=1, kind="stable")[:, : min(neighbours, len(sample) - 1)]
-    rank = np.argsort(order[held], axis=1, kind="stable")
-    needed = np.take_along_axis(rank, order[:, 0][nearest], axis=1)
+    rank = np.argsort(router.order(asked), axis=1, kind="stable")
+    needed = np.take_along_axis(rank, router.order(sample)[:, 0][nearest], axis=1)
     reached = [(needed < m).mean() for m in range(1, parts + 1)]
     router.probes = 1 + next(i for i, r in enumerate(reached) if r >= target_recall)
     return router
 
 
-def build(vectors: DataFrame, neighbours: int, target_recall: float) -> Router | None:
-    """A router for the most common vector length; None without vectors."""
+def build(
+    vectors: DataFrame, neighbours: int, target_recall: float, split_rows: int = SPLIT_ROWS
+) -> tuple[Routes, DataFrame] | None:
+    """Routes for the most common vector length, and the rows placed by them; None without vectors."""
     sizes = vectors.groupBy("dims").agg(F.count(F.lit(1)).alias("n"))
     common = sizes.orderBy(F.col("n").desc(), "dims").first()
     if common is None:
         return None
+    keyed = vectors.withColumnRenamed("vec_id", "key")
     same = vectors.where(F.col("dims") == common["dims"])
     sample = same.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).select("v").toArrow()
-    return fit(matrix(sample["v"], common["dims"]), common["n"], neighbours, target_recall)
+    rows = matrix(sample["v"], common["dims"])
+    top = fit(rows, common["n"], neighbours, target_recall)
+    placed = cut_lineage(_routed(keyed, Routes(top)))
+    # one row for each part of the first level, 128 at most
+    counts = placed.where("part >= 0").groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    crowded = {r["part"] // SUBPARTS: r["n"] for r in counts.where(F.col("n") > split_rows).collect()}
+    if not crowded:
+        return Routes(top), placed
+    # both levels may lose some: each is allowed half
+    each = 1 - (1 - target_recall) / 2
+    top = fit(rows, common["n"], neighbours, each)
+    routes = Routes(top, _below(placed, top, rows[max(1, len(rows) * 4 // 5) :], crowded, neighbours, each))
+    return routes, cut_lineage(_routed(keyed, routes))
+
+
+def _below(
+    placed: DataFrame, top: Router, held: np.ndarray, crowded: dict[int, int], neighbours: int, target_recall: float
+) -> dict[int, Router]:
+    """A router for each crowded part, fitted in its own task on SAMPLE_ROWS of its rows at most.
+
+    The routers that come back have a bounded size: 128 of them, each with
+    HIDDEN x (dims + 128) weights of four bytes.
+    """
+    spark, dims = placed.sparkSession, top.dims
+    sent = top.order(held)[:, : top.probes]
+    visits = {p * SUBPARTS: held[(sent[:, 1:] == p).any(axis=1)] for p in crowded}
+    sizes = spark.createDataFrame([(p * SUBPARTS, n) for p, n in crowded.items()], "part long, n long")
+    # a share by hash leaves few rows more than wanted, so that no task has to sort a whole part
+    span = 1 << 30
+    print_ = F.xxhash64("key", F.lit(11))
+    thin = placed.join(F.broadcast(sizes), "part").where(
+        F.pmod(print_, F.lit(span)) < F.least(F.lit(1.0), F.lit(1.2 * SAMPLE_ROWS) / F.col("n")) * span
+    )
+    place = F.row_number().over(Window.partitionBy("part").orderBy(print_, "key", "v"))
+    sample = thin.withColumn("place", place).where(F.col("place") <= SAMPLE_ROWS).select("part", "v", "n", "place")
+
+    def learn(own: pa.Table) -> pa.Table:
+        own = own.sort_by("place")
+        part, n = own["part"][0].as_py(), own["n"][0].as_py()
+        router = fit(matrix(own["v"], dims), n, neighbours, target_recall, visits[part])
+        kept = io.BytesIO()
+        shared = (router.centre, router.first, router.first_bias, router.second, router.second_bias)
+        np.savez(kept, *(a.astype(np.float32) for a in shared), np.array([router.scale, router.probes]))
+        return pa.table({"part": own["part"][:1], "router": pa.array([kept.getvalue()], pa.binary())})
+
+    found = {}
+    for row in sample.groupBy("part").applyInArrow(learn, "part long, router binary").toLocalIterator():
+        centre, first, first_bias, second, second_bias, (scale, probes) = np.load(io.BytesIO(row["router"])).values()
+        router = Router(dims, centre, float(scale), first, first_bias, second, second_bias, int(probes))
+        found[row["part"] // SUBPARTS] = router
+    return found
 
 
-def _routed(vectors: DataFrame, router: Router, every: bool) -> DataFrame:
-    """(key, v, part): the most probable part, or a row for each of the probed ones."""
-    probes = router.probes if every else 1
+def _routed(vectors: DataFrame, routes: Routes, sizes: dict[int, int] | None = None, least: int = 0) -> DataFrame:
+    """(key, v, part): the most probable part or, given the parts' ``sizes``, a row for each of the probed ones."""
 
     def run(batches):
         for batch in batches:
@@ -199,11 +304,11 @@ def _routed(vectors: DataFrame, router: Router, every: bool) -> DataFrame:
                 continue
             lengths = batch.column(2).to_numpy(zero_copy_only=False)
             parts: list[list[int]] = [[-int(d)] for d in lengths]
-            usual = np.flatnonzero(lengths == router.dims)
+            usual = np.flatnonzero(lengths == routes.top.dims)
             if len(usual):
-                rows = matrix(batch.column(1).take(pa.array(usual)), router.dims)
-                for i, own in zip(usual, router.order(rows)[:, :probes].tolist(), strict=True):
-                    parts[i] = own
+                rows = matrix(batch.column(1).take(pa.array(usual)), routes.top.dims)
+                for i, row, own in zip(usual, rows, routes.parts(rows, sizes is not None), strict=True):
+                    parts[i] = own if sizes is None else routes.fill(row, own, sizes, least)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(parts, pa.list_(pa.int64()))], names=["key", "v", "parts"]
             )
@@ -246,6 +351,7 @@ def search(
     target_recall: float = TARGET_RECALL,
     vec_id: str = "vec_id",
     vector: str = "embedding",
+    split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's nearest other rows found, by Euclidean distance.
 
@@ -254,17 +360,20 @@ def search(
     spark = df.sparkSession
     bounded_batches(spark)
     vectors = cut_lineage(clean_vectors(df, vec_id, vector).dropDuplicates(["vec_id", "v"]))
-    router = build(vectors, neighbours, target_recall)
-    if router is None:
+    built = build(vectors, neighbours, target_recall, split_rows)
+    if built is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     asked = vectors.where(is_query).withColumn("print", F.xxhash64("v"))
     looks = asked.groupBy("print", "v", "dims").agg(F.min("vec_id").alias("key"))
     looks = cut_lineage(looks)
-    placed = cut_lineage(_routed(vectors.withColumnRenamed("vec_id", "key"), router, every=False))
-    sent = cut_lineage(_routed(looks, router, every=True))
-    blocks = placed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("row_blocks"))
+    routes, placed = built
+    counts = cut_lineage(placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")))
+    # a number for each part, 128 x 128 at most
+    held = {r["part"]: r["n"] for r in counts.where("part >= 0").collect()}
+    sent = cut_lineage(_routed(looks, routes, held, neighbours + 1))
+    blocks = counts.select("part", F.ceil(F.col("n") / BLOCK_ROWS).alias("row_blocks"))
     query_blocks = sent.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("query_blocks"))
-    # a row for each part, a few hundred at most
+    # a row for each part, 128 x 128 at most beside those of other lengths
     sizes = F.broadcast(blocks.join(query_blocks, "part"))
     candidates = placed.join(sizes, "part").select(
         "key", "v", "part",
