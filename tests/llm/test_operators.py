@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import (
-    bpe, crosspolytope, extraction, language, learned_partitions, packing, quality, simhash, substrings, suffix_sort, toxicity,
+    bpe, common, crosspolytope, extraction, language, learned_partitions, packing, quality, simhash, substrings, suffix_sort, toxicity,
 )
 from tidemark.llm.components import components
 
@@ -163,8 +163,10 @@ def _removed(rows, length=50):
         yield doc, len(text), np.frombuffer(text, np.uint8)[~gone].tobytes()
 
 
-@pytest.mark.parametrize("hot", [(64, 20_000), (1, 2)])
-def test_repeated_strings_go(awkward, empty, monkeypatch, hot):
+@pytest.mark.parametrize(("hot", "per_task"), [((64, 20_000), None), ((1, 2), None), ((1, 2), 1)])
+def test_repeated_strings_go(awkward, empty, monkeypatch, hot, per_task):
+    for name in ("CHUNKS_PER_TASK", "BUCKETS_PER_TASK", "ANSWERS_PER_TASK") if per_task else ():
+        monkeypatch.setattr(substrings, name, per_task)  # more tasks than the session's shuffle partitions
     monkeypatch.setattr(substrings, "CHUNK_HOT", hot[0])
     monkeypatch.setattr(substrings, "ALL_HOT", hot[1])
     monkeypatch.setattr(substrings, "CHUNK_BYTES", 5_000)
@@ -177,6 +179,14 @@ def test_repeated_strings_go(awkward, empty, monkeypatch, hot):
     assert substrings.remove_repeats(empty).count() == 0
 
 
+def test_partitions_follow_from_the_size_once_it_needs_more(spark):
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(1000).withColumn("chunk", F.col("id") % 500)
+    assert common.in_tasks(rows, "chunk", 16 * usual, 16) is rows
+    wide = common.in_tasks(rows, "chunk", 16 * usual + 1, 16)
+    assert wide.rdd.getNumPartitions() == usual + 1 and wide.count() == 1000
+
+
 def test_suffix_sort_orders_and_groups(monkeypatch):
     rng = np.random.default_rng(3)
     rows = rng.integers(97, 99, size=(30, 24)).astype(np.uint8)

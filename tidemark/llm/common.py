@@ -75,6 +75,17 @@ def labelled_sample(
     return texts.join(F.broadcast(chosen), "doc_id")
 
 
+def in_tasks(df: DataFrame, key: str, groups: int, per_task: int) -> DataFrame:
+    """The rows by ``key``, in so many partitions that each has about ``per_task`` of its ``groups`` at most.
+
+    Where the session's own number of shuffle partitions is enough, Spark deals
+    the rows as usual; tables that outgrow it get partitions by their size.
+    """
+    wanted = -(-groups // per_task)
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(wanted, key) if wanted > usual else df
+
+
 def sized(df: DataFrame, rows_per_group: int) -> tuple[DataFrame, int]:
     """The written rows, and how many groups of about ``rows_per_group`` they make."""
     written = cut_lineage(df)

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, free_name, text_or_empty
+from tidemark.llm.common import bounded_batches, free_name, in_tasks, text_or_empty
 from tidemark.llm.suffix_sort import Suffixes, powers
 
 LENGTH = 50
@@ -42,6 +42,8 @@ CHUNK_BYTES = 3 << 20
 ENTRY_BYTES = 8 << 20
 #: Bytes of text whose questions (step 2 and 3) one task answers.
 TASK_BYTES = 1 << 20
+#: Chunks, buckets and answering tasks that one Spark task takes at most.
+CHUNKS_PER_TASK, BUCKETS_PER_TASK, ANSWERS_PER_TASK = 16, 8, 32
 #: Bytes that are hashed at a time.
 STRIDE = 1 << 19
 #: Surroundings of an anchor within a chunk, and in all, from which it goes on string by string.
@@ -477,15 +479,15 @@ def remove_repeats(
         F.col(doc_id).cast("long").alias("doc"),
         text_or_empty(text).alias("whole"),
     ).withColumn("chunk", F.pmod(F.xxhash64("doc", "whole"), F.lit(chunks)).cast("long"))
-    by_chunk = docs.groupBy("chunk")
+    by_chunk = in_tasks(docs, "chunk", chunks, CHUNKS_PER_TASK).groupBy("chunk")
     entries = by_chunk.applyInArrow(
         _send(length, buckets), "chunk long, bucket long, anchors binary, arounds binary, docs binary, hots binary"
     )
-    flags = entries.groupBy("bucket").applyInArrow(_judge, ANSWER)
+    flags = in_tasks(entries, "bucket", buckets, BUCKETS_PER_TASK).groupBy("bucket").applyInArrow(_judge, ANSWER)
     asked = by_chunk.cogroup(flags.groupBy("chunk")).applyInArrow(_ask(length, buckets), ASKED)
     tasks = max(1, -(-size // TASK_BYTES))
     dealt = asked.withColumn("task", F.pmod(F.xxhash64("key", "second"), F.lit(tasks)).cast("int"))
-    answers = dealt.groupBy("task").applyInArrow(_answer(length), ANSWER)
+    answers = in_tasks(dealt, "task", tasks, ANSWERS_PER_TASK).groupBy("task").applyInArrow(_answer(length), ANSWER)
     kinds = [f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*renamed).schema]
     schema = ", ".join(
         [*kinds, "n_bytes long", "spans array<struct<start:bigint,end:bigint>>", "kept " + ("string" if as_text else "binary")]
