@@ -37,19 +37,23 @@ TABLES, HASHES, PROBES = 10, 3, 8
 AXES = 3
 SEED = 20240229
 PAIRS_AT_ONCE = 1 << 17
+#: Numbers that are rotated together, so that they stay in a core's cache.
+ROTATED_AT_ONCE = 1 << 16
 #: Bits of a vector's sketch, and how many standard deviations above its mean a linked pair's distance may be.
 SKETCH_BITS, SKETCH_DEVIATIONS = 128, 6.0
 
 
-def hadamard(rows: np.ndarray) -> np.ndarray:
-    """Walsh-Hadamard transform of rows whose length is a power of two, by sums and differences."""
-    size, half = rows.shape[1], 1
+def hadamard(columns: np.ndarray) -> np.ndarray:
+    """Walsh-Hadamard transform of columns whose length is a power of two, by sums and differences."""
+    size, half = len(columns), 1
     while half < size:
-        halves = rows.reshape(len(rows), size // (2 * half), 2, half)
-        rows = np.stack([halves[:, :, 0] + halves[:, :, 1], halves[:, :, 0] - halves[:, :, 1]], axis=2)
-        rows = rows.reshape(len(halves), size)
+        halves = columns.reshape(size // (2 * half), 2, half, -1)
+        turned = np.empty_like(halves)
+        np.add(halves[:, 0], halves[:, 1], out=turned[:, 0])
+        np.subtract(halves[:, 0], halves[:, 1], out=turned[:, 1])
+        columns = turned.reshape(columns.shape)
         half *= 2
-    return rows / np.sqrt(size)
+    return columns / np.sqrt(size)
 
 
 def rotations(dims: int) -> np.ndarray:
@@ -66,31 +70,43 @@ def buckets(rows: np.ndarray, signs: np.ndarray) -> np.ndarray:
     don't depend on the rows beside it.
     """
     width = signs.shape[-1]
-    padded = np.zeros((len(rows), width))
-    padded[:, : rows.shape[1]] = rows
     axes = min(AXES, 2 * width)
     choices = list(product(range(axes), repeat=HASHES))
     probes = min(PROBES, len(choices))
     out = np.empty((len(rows), len(signs), probes), dtype=np.int64)
-    for table, own in enumerate(signs):
-        lost = np.zeros((len(rows), len(choices)))
-        code = np.zeros((len(rows), len(choices)), dtype=np.int64)
-        for h, rounds in enumerate(own):
-            turned = padded
-            for sign in rounds:
-                turned = hadamard(turned * sign)
-            both = np.concatenate([turned, -turned], axis=1)
-            best = np.argsort(-both, axis=1, kind="stable")[:, :axes]
-            value = np.take_along_axis(both, best, axis=1)
-            loss = (value[:, :1] - value) ** 2
-            for c, choice in enumerate(choices):
-                lost[:, c] += loss[:, choice[h]]
-                code[:, c] = code[:, c] * (2 * width) + best[:, choice[h]]
-        order = np.argsort(lost, axis=1, kind="stable")[:, :probes]
-        out[:, table] = np.take_along_axis(code, order, axis=1)
+    step = max(1, ROTATED_AT_ONCE // width)
+    for first in range(0, len(rows), step):
+        own = rows[first : first + step]
+        padded = np.zeros((width, len(own)))
+        padded[: own.shape[1]] = own.T
+        for table, hashes in enumerate(signs):
+            lost = np.zeros((len(choices), len(own)))
+            code = np.zeros((len(choices), len(own)), dtype=np.int64)
+            for h, rounds in enumerate(hashes):
+                turned = padded
+                for sign in rounds:
+                    turned = hadamard(turned * sign[:, None])
+                best, value = _foremost(np.concatenate([turned, -turned]).T.copy(), axes)
+                loss = (value[0] - value) ** 2
+                own_choice = [choice[h] for choice in choices]
+                lost += loss[own_choice]
+                code = code * (2 * width) + best[own_choice]
+            order = np.argsort(lost.T.copy(), axis=1, kind="stable")[:, :probes]
+            out[first : first + step, table] = np.take_along_axis(code.T, order, axis=1)
     return out
 
 
+def _foremost(values: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and values (rank, row) of each row's ``count`` largest, the first of equal ones first; ``values`` is used up."""
+    line = np.arange(len(values))
+    best, value = np.empty((count, len(values)), dtype=np.int64), np.empty((count, len(values)))
+    for k in range(count):
+        best[k] = values.argmax(axis=1)
+        value[k] = values[line, best[k]]
+        values[line, best[k]] = -np.inf
+    return best, value
+
+
 def sketches(rows: np.ndarray) -> np.ndarray:
     """Sides of ``SKETCH_BITS`` random planes that each row lies on, as two whole numbers a row."""
     planes = np.random.default_rng([SEED, rows.shape[1], 1]).normal(size=(rows.shape[1], SKETCH_BITS))
