@@ -218,6 +218,29 @@ def _usable(rows):
     return {k: v for k, v in good.items() if np.isfinite(v).all() and v.any()}
 
 
+@pytest.mark.parametrize("dims", [1, 2, 5, 64, 100])
+def test_cross_polytope_buckets_name_the_foremost_axes(monkeypatch, dims):
+    """Against the transform as a matrix; blocks of rows change nothing."""
+    rows = np.random.default_rng(dims).normal(size=(40, dims))
+    signs = crosspolytope.rotations(dims)
+    width = signs.shape[-1]
+    place = np.arange(width)
+    matrix = np.where(np.bitwise_count(place[:, None] & place) % 2, -1.0, 1.0) / np.sqrt(width)
+    found = crosspolytope.buckets(rows, signs)
+    padded = np.zeros((40, width))
+    padded[:, :dims] = rows
+    for table, hashes in enumerate(signs):
+        axes = np.stack(np.unravel_index(found[:, table, 0], [2 * width] * len(hashes)))
+        for own, rounds in zip(axes, hashes, strict=True):
+            turned = padded
+            for sign in rounds:
+                turned = (turned * sign) @ matrix
+            both = np.concatenate([turned, -turned], axis=1)
+            assert np.allclose(both[np.arange(40), own], both.max(axis=1))  # a foremost axis, whichever of equal ones
+    monkeypatch.setattr(crosspolytope, "ROTATED_AT_ONCE", 3 * width)
+    assert (crosspolytope.buckets(rows, signs) == found).all()
+
+
 def test_cross_polytope_links(vectors):
     rows = vectors.collect()
     good = _usable(rows)
@@ -461,8 +484,10 @@ def test_difference_decides_on_marked_pages():
     assert extraction.main_lines(card(1), card(2)) == ["see also 1", "real text " * 9 + "1"]
 
 
-@pytest.mark.parametrize("parts", [1, 2, 7])
-def test_second_neighbours_across_tasks(spark, parts):
+@pytest.mark.parametrize("parts, size", [(1, 8 << 20), (2, 8 << 20), (7, 8 << 20), (1, 10)])
+def test_second_neighbours_across_tasks(spark, monkeypatch, parts, size):
+    """Also where texts leave a task in batches of few characters."""
+    monkeypatch.setattr(extraction, "ARROW_BYTES", size)
     template = "<p>" + "a long template line " * 20 + "</p>"
     rows = [(i, f"http://h.example/{i}", f"{template}<p>short {i}</p>") for i in range(7)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, host_of, text_or_empty
+from tidemark.llm.common import ARROW_BYTES, bounded_batches, host_of, text_or_empty
 from tidemark.session import fresh_path
 
 #: What stands between the blocks of a text.
@@ -425,7 +425,7 @@ def _neighbours(batches):
         kinds += [pa.list_(pa.string()), pa.int64(), pa.string(), pa.list_(pa.string())]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=COLUMNS)
 
-    page_kind, seen = None, 0
+    page_kind, seen, characters = None, 0, 0
     for batch in batches:
         page_kind = batch.column(3).type
         for *page, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -434,12 +434,16 @@ def _neighbours(batches):
             if len(held) == 3:
                 before, page, after = held
                 rows.append(made(page, *_nearer(page, before, after)))
+                characters += len(rows[-1][5])
                 del held[0]
+                if characters > ARROW_BYTES:  # a batch of packed pages may hold many times its bytes of text
+                    yield batch_of(rows)
+                    rows, characters = [], 0
             elif seen == 2:
                 rows.append(border(0, held[0], held[1]))
         if rows:
             yield batch_of(rows)
-            rows = []
+            rows, characters = [], 0
     if seen == 1:
         yield batch_of([border(2, held[0], None)])
     elif seen:
