@@ -155,16 +155,15 @@ def linked_pairs(classes: DataFrame, cosine: float = COSINE) -> tuple[DataFrame,
     hashed = cut_lineage(
         classes.select("rep", "v", "dims").mapInArrow(
             _hash_batches, "rep long, dims int, table int, code long, own boolean, left long, right long"
-        )
+        ).withColumn("key", F.xxhash64("dims", "table", "code"))
     )
-    place = ["dims", "table", "code"]
     shared = (
-        hashed.groupBy(*place)
+        hashed.groupBy("key")
         .agg(F.count(F.lit(1)).alias("bucket_rows"), F.max("own").alias("own_there"))
         .where("bucket_rows > 1 and own_there")
         .drop("own_there")
     )
-    met = cut_lineage(hashed.join(shared, place).withColumn("key", F.xxhash64(*place)))
+    met = cut_lineage(hashed.join(shared, "key"))
     bound = sketch_bound(cosine)
 
     def sift(table: pa.Table) -> pa.Table:
