@@ -107,6 +107,14 @@ def _foremost(values: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     return best, value
 
 
+def bucket_keys(code: np.ndarray, table: np.ndarray, dims: int) -> np.ndarray:
+    """One number for (dims, table, code), small where there are few dimensions, so that it packs well.
+
+    Up to 65,536 dimensions buckets share one only where the lengths differ by a multiple of 4096, which never link.
+    """
+    return (code * TABLES + table) * (1 << 12) + dims
+
+
 def sketches(rows: np.ndarray) -> np.ndarray:
     """Sides of ``SKETCH_BITS`` random planes that each row lies on, as two whole numbers a row."""
     planes = np.random.default_rng([SEED, rows.shape[1], 1]).normal(size=(rows.shape[1], SKETCH_BITS))
@@ -135,13 +143,12 @@ def _hash_batches(batches):
                 [
                     pa.array(np.repeat(rows.column(0).to_numpy(zero_copy_only=False), tables * probes)),
                     pa.array(np.full(n * tables * probes, dims, dtype=np.int32)),
-                    pa.array(np.tile(np.repeat(np.arange(tables, dtype=np.int32), probes), n)),
-                    pa.array(found.reshape(-1)),
+                    pa.array(bucket_keys(found, np.arange(tables)[None, :, None], int(dims)).reshape(-1)),
                     pa.array(np.tile(np.arange(probes) == 0, n * tables)),
                     pa.array(np.repeat(sketch[:, 0], tables * probes)),
                     pa.array(np.repeat(sketch[:, 1], tables * probes)),
                 ],
-                names=["rep", "dims", "table", "code", "own", "left", "right"],
+                names=["rep", "dims", "key", "own", "left", "right"],
             )
 
 
@@ -154,8 +161,8 @@ def linked_pairs(classes: DataFrame, cosine: float = COSINE) -> tuple[DataFrame,
     """
     hashed = cut_lineage(
         classes.select("rep", "v", "dims").mapInArrow(
-            _hash_batches, "rep long, dims int, table int, code long, own boolean, left long, right long"
-        ).withColumn("key", F.xxhash64("dims", "table", "code"))
+            _hash_batches, "rep long, dims int, key long, own boolean, left long, right long"
+        )
     )
     shared = (
         hashed.groupBy("key")
@@ -167,9 +174,9 @@ def linked_pairs(classes: DataFrame, cosine: float = COSINE) -> tuple[DataFrame,
     bound = sketch_bound(cosine)
 
     def sift(table: pa.Table) -> pa.Table:
-        return _sifted(table, bound).drop_columns(["key", "left", "right", "task"])
+        return _sifted(table, bound).drop_columns(["left", "right", "task"])
 
-    kept = "rep long, dims int, table int, code long, own boolean, block int, low int, high int, unit long"
+    kept = "key long, rep long, dims int, own boolean, block int, low int, high int, unit long"
     near = dealt_tasks(met, "key", "rep").groupBy("task").applyInArrow(sift, kept)
     near, tasks = sized(near.join(classes.select("rep", "v", "size"), "rep"), GROUP_ROWS)
 
@@ -207,7 +214,7 @@ def _sifted(table: pa.Table, bound: int) -> pa.Table:
 def _compare(table: pa.Table, dims: int, cosine: float) -> pa.Table:
     """Rows (a, NULL, linked): sizes linked to a; rows (a, b, NULL): a joined to b."""
     table = table.sort_by([("unit", "ascending"), ("rep", "ascending"), ("own", "descending")])
-    get = {c: table[c].to_numpy() for c in ("unit", "rep", "block", "low", "high", "own", "size", "table", "code")}
+    get = {c: table[c].to_numpy() for c in ("unit", "rep", "block", "low", "high", "own", "size", "key")}
     nodes, first, node = np.unique(get["rep"], return_index=True, return_inverse=True)
     rows = unit_rows(matrix(table["v"].take(pa.array(first)), dims))
     size = get["size"][first]
@@ -228,7 +235,7 @@ def _compare(table: pa.Table, dims: int, cosine: float) -> pa.Table:
             if len(new):
                 coded[new] = len(codes) + np.arange(len(new))
                 codes = np.concatenate([codes, buckets(rows[new], signs)])
-            here = _first_meeting(codes[coded[node[x]]], codes[coded[node[y]]], get["table"][x], get["code"][x])
+            here = _first_meeting(codes[coded[node[x]]], codes[coded[node[y]]], get["key"][x], dims)
             x, y = node[x[here]], node[y[here]]
             parent = merge_labels(parent, x, y)
             linked += np.bincount(x, size[y], len(nodes)).astype(np.int64)
@@ -244,8 +251,8 @@ def _compare(table: pa.Table, dims: int, cosine: float) -> pa.Table:
     )
 
 
-def _first_meeting(a: np.ndarray, b: np.ndarray, table: np.ndarray, code: np.ndarray) -> np.ndarray:
-    """Whether (table, code) is the first place where the pairs meet, one of them in its own bucket."""
+def _first_meeting(a: np.ndarray, b: np.ndarray, key: np.ndarray, dims: int) -> np.ndarray:
+    """Whether the bucket ``key`` is the first place where the pairs meet, one of them in its own bucket."""
     a_in_b = (a[:, :, :1] == b).any(axis=2)
     b_in_a = (b[:, :, :1] == a).any(axis=2)
     first = (a_in_b | b_in_a).argmax(axis=1)
@@ -254,7 +261,7 @@ def _first_meeting(a: np.ndarray, b: np.ndarray, table: np.ndarray, code: np.nda
     least = np.minimum(
         np.where(a_in_b[line, first], a[line, first, 0], none), np.where(b_in_a[line, first], b[line, first, 0], none)
     )
-    return (first == table) & (least == code)
+    return bucket_keys(least, first, dims) == key
 
 
 def near_duplicates(
