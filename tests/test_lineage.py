@@ -313,3 +313,11 @@ def test_levels_of_a_graph_with_circles(spark):
     found = {(r.level, r.src, r.dst) for r in ln.lineage_graph_depth(edges, start, 9).collect()}
     assert found == {(0, 1, 2), (1, 2, 3), (2, 3, 1), (2, 3, 4), (3, 4, 4), (3, 4, 5), }
     assert ln.lineage_graph_depth(edges, start, 0).count() == 1
+
+
+def test_queries_are_read_by_every_core(spark, small):
+    from tidemark.plans.transforms import order_queries
+
+    orders = order_queries(spark, small)
+    assert orders.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert orders.select("o_orderkey", "sql").distinct().count() == spark.read.parquet(f"{small}/orders.parquet").count()

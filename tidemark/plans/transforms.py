@@ -248,7 +248,7 @@ def order_queries(spark, root):
       LEFT JOIN (lake.parts_{p} p CROSS JOIN generate_series(1, 3) g(i)) USING (k), lateral (VALUES (1, 2)) v, days_{s}
     WHERE r.b IN (SELECT c, d FROM customers_{c})
     UNION ALL SELECT a, b FROM RECENT_{k}'''
-    orders = table(spark, root, "orders")
+    orders = spread_table(spark, root, "orders")
     sql = F.lit(text)
     for mark, column in (("{k}", "o_orderkey"), ("{c}", "o_custkey"), ("{s}", "o_orderstatus"), ("{p}", "o_orderpriority")):
         value = F.regexp_replace(F.lower(F.col(column).cast("string")), "[^a-z0-9]+", "_")
