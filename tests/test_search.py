@@ -245,3 +245,12 @@ def test_hits_with_their_features(spark):
     assert sorted((r["rank"], r.id, r.s, r.n) for r in found.collect()) == [(1, 1, "a", 5), (2, 2, "b", None)]
     with pytest.raises(ValueError):
         search.hit_features(search.vector_topk(df, "id", "v", one, 2), df, "id", ["rank"])
+
+
+def test_embedding_counts_a_slice_at_a_time(spark, monkeypatch):
+    rows = [(i, f"w{i} w{i % 3} w{i} " + "x " * (i % 5) if i % 4 else None) for i in range(23)]
+    df = spark.createDataFrame(rows, "i long, t string").coalesce(1)
+    whole = {r.i: r.embedding for r in text.embed_text(df, "t", width=16).collect()}
+    monkeypatch.setattr(text, "SLICE_ROWS", 5)
+    assert {r.i: r.embedding for r in text.embed_text(df, "t", width=16).collect()} == whole
+    assert whole[0] == [0.0] * 16 and sum(x * x for x in whole[1]) == pytest.approx(1.0)

@@ -18,6 +18,8 @@ from tidemark.session import cut_lineage
 
 # Where a chunk may end, best first.
 BREAKS = (". ", "\n\n", "\n", " ")
+#: So many documents are counted at once.
+SLICE_ROWS = 256
 CHUNK = "array<struct<text:string,start_char:int,end_char:int>>"
 
 
@@ -115,24 +117,29 @@ def hashed_words(df: DataFrame, text: str, out: str, width: int) -> DataFrame:
     """Default embedding: word counts hashed into ``width`` places, scaled to length one.
 
     A word's place is the first eight digits of its SHA-256, modulo ``width``.
-    Words are cut in the JVM; a batch hashes each distinct word once and counts
-    all its documents' places together.
+    Words are cut in the JVM; a slice of a batch hashes each distinct word once and
+    counts all its documents' places together, so that beside the batch only a
+    slice's words are held more than once.
     """
 
-    @F.arrow_udf("array<float>")
-    def counted(words: pa.Array) -> pa.Array:
+    def unit_counts(words: pa.Array) -> np.ndarray:
         coded = words.flatten().dictionary_encode()
         digests = (hashlib.sha256(w.encode()).hexdigest()[:8] for w in coded.dictionary.to_pylist())
         places = np.array([int(d, 16) % width for d in digests], dtype=np.int64)
         row = np.repeat(np.arange(len(words)), words.value_lengths().to_numpy())
-        found, times = np.unique(row * width + places[coded.indices.to_numpy()], return_counts=True)
-        counts = np.zeros(len(words) * width)
-        counts[found] = times
-        counts = counts.reshape(len(words), width)
+        counts = np.bincount(row * width + places[coded.indices.to_numpy()], minlength=len(words) * width)
+        counts = counts.astype(np.float64).reshape(len(words), width)
         norms = np.sqrt((counts**2).sum(axis=1, keepdims=True))
-        unit = counts / np.where(norms > 0, norms, 1.0)
+        return (counts / np.where(norms > 0, norms, 1.0)).astype(np.float32).ravel()
+
+    @F.arrow_udf("array<float>")
+    def counted(words: pa.Array) -> pa.Array:
+        unit = np.zeros(len(words) * width, dtype=np.float32)
+        for at in range(0, len(words), SLICE_ROWS):
+            own = unit_counts(words.slice(at, SLICE_ROWS))
+            unit[at * width : at * width + len(own)] = own
         offsets = np.arange(0, (len(words) + 1) * width, width, dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(unit.astype(np.float32).ravel()))
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(unit))
 
     return df.withColumn(out, counted(tokens(F.coalesce(F.col(text), F.lit("")))))
 
