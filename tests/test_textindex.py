@@ -130,3 +130,37 @@ def test_batched_cells_against_a_scan(spark):
 
 def np_nearest(centres, rows):
     return {i: min(range(len(centres)), key=lambda c: (math.dist(centres[c], v), c)) for i, v in rows if v and len(v) == 2}
+
+
+def test_terms_that_go_on_in_other_tasks(spark, rows, frame, index, monkeypatch):
+    monkeypatch.setattr(textindex, "WORDS_PER_TASK", 500)
+    monkeypatch.setattr(textindex, "SLICE_ROWS", 16)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        small = textindex.write_index(frame.repartition(3), "id", ["a", "b"], fresh_path(spark, "cut"), buckets=8, block=4)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    blocks = spark.read.schema(small.schema).parquet(f"{small.path}/blocks").orderBy("term", "block").collect()
+    assert len({b.block >> 32 for b in blocks if b.term == "the"}) > 1
+    got = {}
+    for b in blocks:
+        assert len(b.ids) == len(b.impacts) == len(b.places) == b.n <= 4 and b.top == b.impacts[0]
+        got.setdefault(b.term, []).extend(zip(b.ids, b.impacts, b.places))
+    for term, held in got.items():
+        assert [(-x, i) for i, x, _ in held] == sorted((-x, i) for i, x, _ in held)
+        want = [
+            (i, [f * textindex.FIELD + at for f, own in enumerate(map(words, fields)) for at, w in enumerate(own) if w == term])
+            for i, *fields in rows
+        ]
+        assert sorted((i, p) for i, _, p in held) == [(i, p) for i, p in want if p]
+    queries = spark.createDataFrame(list(enumerate(QUERIES)), "query_id long, text string")
+    assert sorted(map(tuple, small.bm25(queries, 3).collect())) == sorted(map(tuple, index.bm25(queries, 3).collect()))
+
+
+def test_postings_are_made_where_the_rows_are(spark, frame):
+    split = frame.select("id", F.array(search.tokens(F.coalesce("a", F.lit("")))).alias("words")).withColumn("length", F.size(F.col("words")[0]))
+    plan = textindex._postings_of(split)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    twice = split.where("id = 903").unionAll(split.where("id in (903, 904)"))
+    got = {(r.id, r.term): r.places for r in textindex._postings_of(twice).collect()}
+    assert got == {(903, "rat"): [0, 0, 1, 1, 2, 2], (904, "dog"): [0]}
