@@ -321,3 +321,22 @@ def test_queries_are_read_by_every_core(spark, small):
     orders = order_queries(spark, small)
     assert orders.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
     assert orders.select("o_orderkey", "sql").distinct().count() == spark.read.parquet(f"{small}/orders.parquet").count()
+
+
+def test_training_reads_cells_and_counts_every_row(spark, monkeypatch):
+    from pyspark.ml.classification import GBTClassifier
+
+    df = spark.range(4000).select(
+        "id", (F.col("id") % 20).alias("a"), ((F.col("id") * 7 % 1000) / 10).alias("b")
+    )
+    df = df.withColumn("y", ((F.col("a") > 14) & (F.col("b") >= 0)).cast("int"))
+    seen, fit = [], GBTClassifier._fit
+
+    def kept(self, rows):
+        seen.append(rows.agg(F.count("*").alias("cells"), F.sum("__rows").alias("rows")).first())
+        return fit(self, rows)
+
+    monkeypatch.setattr(GBTClassifier, "_fit", kept)
+    model = ml.train_classifier(df, ["a", "b"], "y", depth=3, rounds=3)
+    assert seen[0].rows == 4000 and seen[0].cells <= 20 * 32 * 2
+    assert ml.probability(model, df).filter((F.col("probability_1") >= 0.5).cast("int") != F.col("y")).count() == 0

@@ -59,7 +59,8 @@ FROM s
 )
 def train_classifier(spark, root):
     """Held-out rows, class weight, and whether the AUC of the full training run is 0.7 or more."""
-    split = cut_lineage(ml.stratified_split(order_features(spark, root), "o_orderkey", "label"))
+    rows = cut_lineage(order_features(spark, root))  # the split reads them several times
+    split = cut_lineage(ml.stratified_split(rows, "o_orderkey", "label"))
     train, test = split.filter(~F.col("is_test")), split.filter("is_test")
     model = ml.train_classifier(train, FEATURES, "label")
     scored = cut_lineage(ml.probability(model, test))
