@@ -340,3 +340,21 @@ def test_training_reads_cells_and_counts_every_row(spark, monkeypatch):
     model = ml.train_classifier(df, ["a", "b"], "y", depth=3, rounds=3)
     assert seen[0].rows == 4000 and seen[0].cells <= 20 * 32 * 2
     assert ml.probability(model, df).filter((F.col("probability_1") >= 0.5).cast("int") != F.col("y")).count() == 0
+
+
+def test_tasks_follow_from_edges_and_pairs(spark, monkeypatch):
+    views = spark.range(40).select(
+        F.concat(F.lit("v"), "id").alias("name"), F.lit("batch").alias("kind"), F.array(F.concat(F.lit("e"), F.col("id") % 3)).alias("entities"),
+        F.array(F.lit("f")).alias("features"), F.struct(F.lit("s").alias("name"), F.lit("").alias("table"), F.lit("").alias("path")).alias("batch_source"),
+        F.lit("").alias("stream_source"), F.array().cast("array<string>").alias("input_views"), F.array().cast("array<string>").alias("request_sources"),
+    )
+    services = spark.range(200).select(F.concat(F.lit("x"), F.col("id") % 7).alias("service"), F.concat(F.lit("v"), F.col("id") % 40).alias("view"))
+    direct = sorted(map(tuple, ln.lineage_edges_direct(views, services).collect()))
+    indirect = sorted(map(tuple, ln.lineage_edges_indirect(ln.lineage_edges_direct(views, services)).collect()))
+    assert len(direct) == len(set(direct)) and len(indirect) == len(set(indirect)) == 5 * 7 + 3
+    monkeypatch.setattr(ln, "EDGES_PER_TASK", 20)
+    monkeypatch.setattr(ln, "PAIRS_PER_TASK", 50)
+    edges = ln.lineage_edges_direct(views, services)
+    assert edges.rdd.getNumPartitions() >= 320 // 20
+    assert sorted(map(tuple, edges.collect())) == direct
+    assert sorted(map(tuple, ln.lineage_edges_indirect(edges).collect())) == indirect

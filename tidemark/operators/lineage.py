@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.splits import split_count
 from tidemark.session import cut_lineage, fresh_path
 
 EDGE = ["src_type", "src", "dst_type", "dst"]
@@ -249,6 +250,22 @@ def audit_chain_verify(log: DataFrame, log_id: str, seq: str) -> DataFrame:
 INPUT, NAMED = "input view", "named source"
 #: So many edges of one view are joined as one part.
 PART_EDGES = 10_000
+#: So many rows are told apart, and so many pairs made, by one task.
+EDGES_PER_TASK, PAIRS_PER_TASK = 1_000_000, 5_000_000
+
+
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """Distinct rows of a table or a plain selection of one, which is counted first.
+
+    Where the session's tasks would hold more than ``EDGES_PER_TASK`` rows, their
+    number follows from the rows.
+    """
+    tasks = split_count(df.count(), EDGES_PER_TASK)
+    return (df.repartition(tasks, *df.columns) if tasks > _shuffle_tasks(df) else df).distinct()
+
+
+def _shuffle_tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _edges(df: DataFrame, src_type: str, src: Column, dst_type: str, dst: Column) -> DataFrame:
@@ -316,7 +333,7 @@ def lineage_edges_direct(views: DataFrame, services: DataFrame) -> DataFrame:
     inputs = opened.where(F.col("src_type") == INPUT).select(F.col("src").alias("input"), "dst")
     through = _edges(inputs.join(named, "input"), SOURCE, F.col("source"), VIEW, F.col("dst"))
     served = _edges(services, VIEW, F.col("view"), SERVICE, F.col("service"))
-    return to_view.unionAll(through).unionAll(served).distinct()
+    return distinct_rows(cut_lineage(to_view.unionAll(through).unionAll(served)))
 
 
 def _led_through(into: DataFrame, onward: DataFrame) -> DataFrame:
@@ -324,13 +341,16 @@ def _led_through(into: DataFrame, onward: DataFrame) -> DataFrame:
 
     The edges of one view are dealt in parts by hash, and each part of its feeds
     meets each part of its services once: no task makes all pairs of a hot view.
+    The number of tasks follows from the number of pairs.
     """
-    feeds = into.select("src_type", "src", "via").distinct()
-    outs = onward.select("via", "dst").distinct()
+    feeds = cut_lineage(distinct_rows(into.select("src_type", "src", "via")))
+    outs = cut_lineage(distinct_rows(onward.select("via", "dst")))
     sizes = feeds.select("via", F.lit(1).alias("in"), F.lit(0).alias("out")).unionAll(
         outs.select("via", F.lit(0).alias("in"), F.lit(1).alias("out"))
     )
     sizes = sizes.groupBy("via").agg(F.sum("in").alias("ins"), F.sum("out").alias("outs")).where("ins > 0 and outs > 0")
+    sizes = cut_lineage(sizes)
+    tasks = split_count(sizes.agg(F.sum(F.col("ins") * F.col("outs"))).first()[0] or 0, PAIRS_PER_TASK, _shuffle_tasks(sizes))
     # only views with more edges on a side than a part holds are in this list: at most edges / part
     hot = cut_lineage(sizes.where((F.col("ins") > PART_EDGES) | (F.col("outs") > PART_EDGES)))
     part = lambda n: F.coalesce(F.ceil(F.col(n) / PART_EDGES), F.lit(1)).cast("int")
@@ -339,7 +359,11 @@ def _led_through(into: DataFrame, onward: DataFrame) -> DataFrame:
     left = marked.withColumn("i", F.pmod(F.xxhash64("src_type", "src"), part("ins")).cast("int")).withColumn("o", every("outs"))
     marked = outs.join(hot, "via", "left")
     right = marked.withColumn("o", F.pmod(F.xxhash64("dst"), part("outs")).cast("int")).withColumn("i", every("ins"))
-    met = left.select("src_type", "src", "via", "i", "o").join(right.select("via", "dst", "i", "o"), ["via", "i", "o"])
+    unit = ["via", "i", "o"]
+    left, right = left.select("src_type", "src", *unit), right.select("dst", *unit)
+    if tasks > _shuffle_tasks(sizes):
+        left, right = left.repartition(tasks, *unit), right.repartition(tasks, *unit)
+    met = left.join(right, unit)
     return met.select("src_type", "src", "dst").distinct()
 
 

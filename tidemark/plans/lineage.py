@@ -170,7 +170,7 @@ def registry(spark, root):
         F.concat(F.lit("service-"), "l_suppkey").alias("service"),
         F.concat(F.lit("view-"), "l_partkey").alias("view"),
     )
-    return views, services.distinct()
+    return views, ln.distinct_rows(services)
 
 
 DIRECT = """
