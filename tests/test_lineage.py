@@ -358,3 +358,31 @@ def test_tasks_follow_from_edges_and_pairs(spark, monkeypatch):
     assert edges.rdd.getNumPartitions() >= 320 // 20
     assert sorted(map(tuple, edges.collect())) == direct
     assert sorted(map(tuple, ln.lineage_edges_indirect(edges).collect())) == indirect
+
+
+def test_long_queries_take_time_by_their_length(spark):
+    from time import monotonic
+
+    from tidemark.functions.queries import tables_of_query
+
+    names = [f"t{i}" for i in range(20_000)]
+    deep = "select * from " + "(" * 20_000 + "u" + ")" * 20_000
+    texts = spark.createDataFrame([("select * from " + ", ".join(names),), (deep,)], "sql string").coalesce(1)
+    began = monotonic()
+    assert [r[0] for r in texts.select(tables_of_query(F.col("sql"))).collect()] == [names, ["u"]]
+    assert monotonic() - began < 15
+
+
+def test_queries_of_orders_hold_their_keys(spark, tmp_path):
+    from tidemark.plans.transforms import order_queries
+
+    rows = [(7, 12, "O", "1-URGENT"), (-8, 3, "F", "4-NOT SPECIFIED"), (None, 1, "P", "5-LOW"), (9, 1, None, "5-LOW")]
+    orders = spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    found = {r.o_orderkey: r.sql for r in order_queries(spark, str(tmp_path)).collect()}
+    assert found[None] is None and found[9] is None
+    for key, cust, status, priority in ((7, "12", "o", "1_urgent"), (-8, "3", "f", "4_not_specified")):
+        marked = str(key).replace("-", "_")
+        assert found[key].startswith(f"WITH recent_{marked} (a, b) AS (SELECT x, 'from \"lost\" --' FROM raw.orders_{cust} /*")
+        assert f"days_{status})\n" in found[key] and f"lake.parts_{priority} p" in found[key] and "{" not in found[key]
+        assert found[key].endswith(f"customers_{cust})\n    UNION ALL SELECT a, b FROM RECENT_{marked}")

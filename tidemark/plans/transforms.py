@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -249,11 +251,12 @@ def order_queries(spark, root):
     WHERE r.b IN (SELECT c, d FROM customers_{c})
     UNION ALL SELECT a, b FROM RECENT_{k}'''
     orders = spread_table(spark, root, "orders")
-    sql = F.lit(text)
-    for mark, column in (("{k}", "o_orderkey"), ("{c}", "o_custkey"), ("{s}", "o_orderstatus"), ("{p}", "o_orderpriority")):
-        value = F.regexp_replace(F.lower(F.col(column).cast("string")), "[^a-z0-9]+", "_")
-        sql = F.replace(sql, F.lit(mark), value)
-    return orders.withColumn("sql", sql)
+    values = {
+        mark: F.regexp_replace(F.lower(F.col(column).cast("string")), "[^a-z0-9]+", "_")
+        for mark, column in (("{k}", "o_orderkey"), ("{c}", "o_custkey"), ("{s}", "o_orderstatus"), ("{p}", "o_orderpriority"))
+    }
+    parts = re.split(r"(\{[kcsp]\})", text)  # joined once: replacing a mark goes through the whole text
+    return orders.withColumn("sql", F.concat(*(values.get(part, F.lit(part)) for part in parts)))
 
 
 TABLES_SQL = """
